@@ -10,6 +10,7 @@ from checks.raw_sql import CITY_SQL, RAW_SQL
 from ledgerloom.config import Settings
 from ledgerloom.plans.model import Model, model_of
 from ledgerloom.plans.warehouse import Warehouse
+from ledgerloom.sources.readers import spread
 from ledgerloom.sources.workspace import session_folder
 
 SETTINGS = Settings(
@@ -31,6 +32,7 @@ def given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = {name: given(spark, sf_dir, name) for name in ("lineitem", "orders", "nation")}
+    tables["lineitem"] = spread(tables["lineitem"])
     return spark.sql(RAW_SQL, **tables)
 
 
@@ -43,6 +45,8 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     sf_dir = sf_dir.rstrip("/")
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _warehouses:
+        # the JVM never compiles methods above 8000 bytes: rather split such a stage up
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
         folder = session_folder(spark, f"warehouse-{len(_warehouses)}")
         _warehouses[key] = Warehouse(
             spark, folder, SETTINGS, raw_transactions(spark, sf_dir), city_lookup(spark, sf_dir)

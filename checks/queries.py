@@ -157,8 +157,8 @@ add(
 add(
     "stg_transaction",
     on("RawTransactions", staging.stage_transactions),
-    """select *, CustomerID is null as HasInvalidCustomerID, TransactionDate is null as HasInvalidDate,
-              TransactionAmount is null as HasInvalidAmount from stg_transaction""",
+    f"""select *, {_dmy('TransactionDate')} as TransactionDay, CustomerID is null as HasInvalidCustomerID,
+              TransactionDate is null as HasInvalidDate, TransactionAmount is null as HasInvalidAmount from stg_transaction""",
 )
 add(
     "stg_customer",
@@ -206,10 +206,8 @@ add(
 
 def _calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The date dimension of the years that the transactions touch."""
-    dates = warehouse(spark, sf_dir).table("Stg_Transaction").select(
-        cleanse.parse_dmy(F.col("TransactionDate")).alias("d")
-    )
-    return calendar.with_calendar_columns(calendar.whole_years_of(dates, "d"), date(1999, 8, 31))
+    staged = warehouse(spark, sf_dir).table("Stg_Transaction")
+    return calendar.with_calendar_columns(calendar.whole_years_of(staged, "TransactionDay"), date(1999, 8, 31))
 
 
 _CALENDAR_STEP = f"""

@@ -13,7 +13,6 @@ from ledgerloom.functions.cleanse import (
     location_code,
     location_or_default,
     normalize_gender,
-    parse_dmy,
     parse_dob,
 )
 from ledgerloom.operators.keys import with_surrogate_key
@@ -72,7 +71,7 @@ def location_history(stg_txn: DataFrame) -> DataFrame:
     located = stg_txn.where(F.col("CustomerID").isNotNull()).select(
         "CustomerID",
         location_or_default(F.col("CustLocation")).alias("Location"),
-        parse_dmy(F.col("TransactionDate")).alias("_date"),
+        F.col("TransactionDay").alias("_date"),
     )
     return (
         located.groupBy("CustomerID", F.upper("Location").alias("LocationMatch"))

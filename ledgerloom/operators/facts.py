@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.cleanse import location_code, location_or_default, parse_dmy, parse_money
+from ledgerloom.functions.cleanse import location_code, location_or_default, parse_money
 from ledgerloom.operators.scd2 import scd2_join
 from ledgerloom.operators.skew import hot_keys, skew_join
 
@@ -14,10 +14,10 @@ _SPREAD = ["TransactionID", "Date", "TransactionAmount", "AccountBalance"]
 
 def dated_transactions(stg_txn: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Transactions with a customer and a date that the calendar holds, typed once."""
-    typed = stg_txn.where(F.col("CustomerID").isNotNull() & F.col("TransactionDate").isNotNull()).select(
+    typed = stg_txn.where(F.col("CustomerID").isNotNull() & F.col("TransactionDay").isNotNull()).select(
         "TransactionID",
         "CustomerID",
-        parse_dmy(F.col("TransactionDate")).alias("Date"),
+        F.col("TransactionDay").alias("Date"),
         "CustLocation",
         F.upper(location_or_default(F.col("CustLocation"))).alias("LocationMatch"),
         parse_money(F.col("TransactionAmount")).alias("TransactionAmount"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.cleanse import clean_nan, customer_id, location_code
+from ledgerloom.functions.cleanse import clean_nan, customer_id, location_code, parse_dmy
 
 
 def add_flags(df: DataFrame, flags: dict[str, str]) -> DataFrame:
@@ -14,6 +14,11 @@ def add_flags(df: DataFrame, flags: dict[str, str]) -> DataFrame:
 
 
 def stage_transactions(raw: DataFrame) -> DataFrame:
+    """Cleansed text, quality flags, and the date read once as ``TransactionDay``.
+
+    Reading d/m/yyyy text is the dearest expression of the load, and the customer
+    history and the fact both need it, so it is kept as a typed column here.
+    """
     clean = raw.where(F.col("TransactionID").isNotNull()).select(
         F.trim("TransactionID").alias("TransactionID"),
         customer_id(F.col("CustomerID")).alias("CustomerID"),
@@ -22,8 +27,9 @@ def stage_transactions(raw: DataFrame) -> DataFrame:
         clean_nan(F.col("CustAccountBalance"), trim_test=False).alias("AccountBalance"),
         clean_nan(F.col("CustLocation")).alias("CustLocation"),
     )
+    dated = clean.withColumn("TransactionDay", parse_dmy(F.col("TransactionDate")))
     return add_flags(
-        clean,
+        dated,
         {
             "HasInvalidCustomerID": "CustomerID",
             "HasInvalidDate": "TransactionDate",

@@ -44,6 +44,16 @@ def read_raw(spark: SparkSession, source: str | dict) -> DataFrame:
     return table.select([F.col(name).cast("string").alias(name) for name in RAW_COLUMNS])
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of a source out to all cores if it comes in fewer pieces than that.
+
+    Files with one row group each are read by one task, however many cores wait. A source
+    of many pieces, as any large one is, is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def segment_rules(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(SEGMENT_ROWS, SEGMENT_SCHEMA)
 
