@@ -9,7 +9,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.lake import SETTINGS, given, model, warehouse
+from checks.lake import SETTINGS, model, warehouse
 from checks.oracle import _activity as _activity_sql
 from checks.oracle import _clean, _code, _dmy, _merged, _money, _pct, sql
 from checks.oracle import _spine as _spine_sql
@@ -18,8 +18,7 @@ from ledgerloom.operators import dimensions, facts, quality, reports, scd2, seed
 from ledgerloom.plans import dashboards, measures, transitions
 from ledgerloom.plans.model import report_view, snapshot_wide
 from ledgerloom.sources.readers import read_raw, read_seed_csv, sample_rows
-from ledgerloom.sources.sinks import describe_schema, stage_metrics
-from ledgerloom.sources.workspace import session_folder
+from ledgerloom.sources.sinks import stage_metrics
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -45,11 +44,15 @@ def on_model(then: Callable) -> Query:
 
 # ---------------------------------------------------------------- raw and staging
 
+def _raw_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lake = warehouse(spark, sf_dir)
+    lake.table("RawTransactions")  # written on first use
+    return read_raw(spark, lake.path("RawTransactions"))
+
+
 add(
     "raw_scan",
-    lambda s, d: read_raw(s, warehouse(s, d)._path("RawTransactions"))
-    if warehouse(s, d).table("RawTransactions")
-    else None,
+    _raw_scan,
     """select TransactionID, CustomerID, CustomerDOB, CustGender, CustLocation, CustAccountBalance,
               TransactionDate, TransactionTime, TransactionAmount from raw""",
 )
@@ -104,7 +107,7 @@ add(
 def _seed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw table as a CSV seed, written once per load and read back leniently."""
     lake = warehouse(spark, sf_dir)
-    path = lake._path("seed_csv")
+    path = lake.path("seed_csv")
     if path not in _seeds_written:
         lake.table("RawTransactions").write.mode("overwrite").csv(path, header=True)
         _seeds_written.add(path)
@@ -656,7 +659,7 @@ add(
         )
     ),
     """select CustomerID as "Customer ID", YearMonth as "Year Month", TotalTransactionAmount as "Total Transaction Amt",
-              ChurnFlag as "Churn Flag" from w""".replace('"Customer ID"', '"Customer ID"'),
+              ChurnFlag as "Churn Flag" from w""",
 )
 add(
     "table_counts",
@@ -680,11 +683,13 @@ add(
 )
 add(
     "top_states_other",
-    lambda s, d: reports.top_n_other(
-        model(s, d).dim_customer.where("IsCurrent")
-        .groupBy("LocationKey").agg(F.count(F.lit(1)).alias("Customers"))
-        .join(model(s, d).dim_location.select("LocationKey", "State"), "LocationKey", "left"),
-        "State", "Customers", 3,
+    on_model(
+        lambda m: reports.top_n_other(
+            reports.customers_by_place(m.dim_customer, m.dim_location).withColumnRenamed("CustomerCount", "Customers"),
+            "State",
+            "Customers",
+            3,
+        )
     ),
     """select case when rk <= 3 then State else 'Other' end as StateGroup, cast(sum(n) as bigint) as Customers from
        (select State, n, dense_rank() over (order by n desc) as rk from
@@ -919,6 +924,33 @@ add(
     _trend_sql(["total_customers", "churn_rate"], "State", "Year = 1999"),
 )
 
+_PATTERNS = [
+    "churned_customers",
+    "churn_rate",
+    "hibernating_customers",
+    "hibernating_rate",
+    "customers_with_complaints",
+    "complaint_rate",
+    "total_customers",
+]
+for _by in ("SegmentName", "State"):
+    add(
+        f"churn_and_complaints_by_{_by.lower()}",
+        on_model(lambda m, b=_by: measures.measures(m, _PATTERNS, by=[b])),
+        f"select * from (select {_by}, "
+        + ", ".join(f"{MEASURE_SQL[n]} as {n}" for n in _PATTERNS)
+        + f" from w, k group by {_by}) where total_customers is not null",
+    )
+add(
+    "customers_by_state",
+    on_model(lambda m: reports.customers_by_place(m.dim_customer, m.dim_location)),
+    _share(
+        "State",
+        """(select l.State from dim_customer c left join dim_location l on l.LocationCode = c.LocationCode where c.IsCurrent)""",
+        "CustomerCount",
+    ),
+)
+
 # ---------------------------------------------------------------- transitions
 
 for _period, _point in (("month", "p"), ("quarter", "q"), ("year", "y")):

@@ -42,6 +42,17 @@ def distribution(
     return grouped if top is None else grouped.orderBy(F.desc(count), *by).limit(top)
 
 
+def customers_by_place(dim_customer: DataFrame, dim_location: DataFrame, attribute: str = "State") -> DataFrame:
+    """Current customers by an attribute of their location, with shares.
+
+    They are counted by location key first, so only the counts meet the location names.
+    """
+    per_key = dim_customer.where("IsCurrent").groupBy("LocationKey").agg(F.count(F.lit(1)).alias("_n"))
+    named = per_key.join(dim_location.select("LocationKey", attribute), "LocationKey", "left")
+    counts = named.groupBy(attribute).agg(F.sum("_n").alias("CustomerCount"))
+    return counts.withColumn("Pct", share_of_total("CustomerCount", 2))
+
+
 def with_percent_text(df: DataFrame, digits: int = 2, col: str = "Pct") -> DataFrame:
     return df.withColumn(col, fmt_pct(F.col(col), digits))
 

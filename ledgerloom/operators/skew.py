@@ -11,14 +11,17 @@ HOT_SHARE = 1.0 / 1000
 def hot_keys(counts: DataFrame, keys: list[str], rows: str, share: float = HOT_SHARE) -> DataFrame:
     """Keys holding at least ``share`` of all rows, with the number of slices to cut each into.
 
-    At most ``1 / share`` keys can pass that test, whatever the data, so the result is
-    safe to broadcast. ``counts`` has one row per key (or finer) and its row count.
+    ``counts`` has one row per key (or finer) and its row count; give a written table. At
+    most ``1 / share`` keys can pass the test, whatever the data, so they are read to the
+    driver and come back as a local table that is safe to broadcast.
     """
     per_key = counts.groupBy(*keys).agg(F.sum(rows).alias("_rows"))
     total = counts.agg(F.sum(rows)).first()[0] or 0
-    return per_key.where(F.col("_rows") >= F.lit(max(total * share, 1.0))).select(
-        *keys, F.ceil(F.col("_rows") / F.lit(max(total * share, 1.0))).cast("int").alias("_slices")
+    enough = max(total * share, 1.0)
+    hot = per_key.where(F.col("_rows") >= F.lit(enough)).select(
+        *keys, F.ceil(F.col("_rows") / F.lit(enough)).cast("int").alias("_slices")
     )
+    return counts.sparkSession.createDataFrame(hot.collect(), hot.schema)
 
 
 def skew_join(
@@ -33,7 +36,7 @@ def skew_join(
     """Join ``big`` to ``small`` on ``keys``, cutting hot keys of ``big`` into slices.
 
     The rows of ``small`` for a hot key are repeated once per slice (``hot`` bounds the
-    repeats); all other keys have one slice. The slice of a row of ``big`` is a hash of
+    repeats); all other keys have one slice. Without hot keys an inner join stays plain. The slice of a row of ``big`` is a hash of
     ``spread_by``, so a recomputed task sends it to the same place. Rows of ``big`` with
     a NULL key cannot match and are spread by the same hash. ``condition`` is an extra
     test on the joined rows, for inner joins.
@@ -42,6 +45,9 @@ def skew_join(
         raise ValueError("skew_join does inner and left joins")
     if condition is not None and how != "inner":
         raise ValueError("an extra condition needs an inner join")
+    if how == "inner" and hot.isEmpty():
+        joined = big.join(small, keys, how)
+        return joined if condition is None else joined.where(condition)
     hot = F.broadcast(hot)
     missing_key = F.lit(False)
     for key in keys:

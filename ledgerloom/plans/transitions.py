@@ -5,26 +5,35 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.plans.model import CUSTOMER_ATTRIBUTES, LOCATION_ATTRIBUTES, Model
 from ledgerloom.plans.measures import Where, _split, _test
+from ledgerloom.plans.model import CUSTOMER_ATTRIBUTES, LOCATION_ATTRIBUTES, Model
 
 PERIODS = ("month", "quarter", "year")
 
 
-def _attributes(model: Model, rows: DataFrame, names: set[str]) -> DataFrame:
-    """Add customer and location attributes to rows with a CustomerKey."""
+def _counted(
+    model: Model, rows: DataFrame, counts: dict[str, Column], keys: list[str], by: list[str], where: Where
+) -> DataFrame:
+    """Count rows with a CustomerKey by customer and location attributes.
+
+    Rows are counted by location key before the location names join, so a place that
+    holds many customers is a few rows by then.
+    """
+    names = set(by) | set(where)
     unknown = names - set(CUSTOMER_ATTRIBUTES) - set(LOCATION_ATTRIBUTES)
     if unknown:
         raise ValueError(f"not attributes of a customer: {sorted(unknown)}")
-    if not names:
-        return rows
-    places = sorted(names & set(LOCATION_ATTRIBUTES))
-    people = sorted(names & set(CUSTOMER_ATTRIBUTES))
-    customer = model.dim_customer.select("CustomerKey", *people, *(["LocationKey"] if places else []))
-    rows = rows.join(customer, "CustomerKey", "left")
+    places, people = sorted(names & set(LOCATION_ATTRIBUTES)), sorted(names & set(CUSTOMER_ATTRIBUTES))
+    picked = people + (["LocationKey"] if places else [])
+    if picked:
+        rows = rows.join(model.dim_customer.select("CustomerKey", *picked), "CustomerKey", "left")
+    counted = rows.groupBy(*keys, *picked).agg(*[column.alias(name) for name, column in counts.items()])
     if places:
-        rows = rows.join(model.dim_location.select("LocationKey", *places), "LocationKey", "left")
-    return rows
+        counted = counted.join(model.dim_location.select("LocationKey", *places), "LocationKey", "left")
+    for name, value in where.items():
+        counted = counted.where(_test(value, F.col(name)))
+    none = F.lit(0).cast("bigint")
+    return counted.groupBy(*keys, *by).agg(*[F.coalesce(F.sum(name), none).alias(name) for name in counts])
 
 
 def _period_start(model: Model, period: str) -> int | None:
@@ -56,12 +65,11 @@ def segment_migration(
     model: Model, period: str, by: list[str] | None = None, where: Where | None = None
 ) -> DataFrame:
     """Customers whose segment differs between the two ends of the period; NULL if none."""
-    by = list(by or [])
     moved = segment_pairs(model, period).where(F.col("FromSegment") != F.col("ToSegment"))
-    described = _attributes(model, moved, set(by) | set(where or {}))
-    for name, value in (where or {}).items():
-        described = described.where(_test(value, F.col(name)))
-    return described.groupBy(*by).agg(F.nullif(F.count(F.lit(1)), F.lit(0)).alias(f"segment_migration_{period}"))
+    name = f"segment_migration_{period}"
+    by = list(by or [])
+    counted = _counted(model, moved, {name: F.count(F.lit(1))}, [], by, where or {})
+    return counted.withColumn(name, F.nullif(F.col(name), F.lit(0)))
 
 
 def segment_flow(model: Model, period: str) -> DataFrame:
@@ -104,7 +112,7 @@ def _next_months(model: Model, months: list[int] | None = None) -> DataFrame:
     return narrow.withColumn("HasNextMonth", expected.isNotNull()).withColumns(later)
 
 
-def _transition_counts(model: Model) -> list[Column]:
+def _transition_counts(model: Model) -> dict[str, Column]:
     key = model.segment_keys
 
     def rows(test: Column) -> Column:
@@ -113,14 +121,14 @@ def _transition_counts(model: Model) -> list[Column]:
     def in_segment(code: str, column: str = "SegmentKey") -> Column:
         return F.col(column) == key.get(code)
 
-    return [
-        rows(F.col("IsNew")).alias("NewCustomers"),
-        rows(F.col("IsNew") & F.col("NextIsActive")).alias("NewRetained"),
-        rows(in_segment("RF_Potential")).alias("PotentialLoyalists"),
-        rows(in_segment("RF_Potential") & in_segment("RF_Loyal", "NextSegmentKey")).alias("LoyalConversions"),
-        rows(in_segment("RF_Hibernating")).alias("HibernatingCustomers"),
-        rows(in_segment("RF_Hibernating") & F.col("NextTransacts")).alias("WonBack"),
-    ]
+    return {
+        "NewCustomers": rows(F.col("IsNew")),
+        "NewRetained": rows(F.col("IsNew") & F.col("NextIsActive")),
+        "PotentialLoyalists": rows(in_segment("RF_Potential")),
+        "LoyalConversions": rows(in_segment("RF_Potential") & in_segment("RF_Loyal", "NextSegmentKey")),
+        "HibernatingCustomers": rows(in_segment("RF_Hibernating")),
+        "WonBack": rows(in_segment("RF_Hibernating") & F.col("NextTransacts")),
+    }
 
 
 def _rate(part: str, whole: str, name: str) -> Column:
@@ -149,16 +157,13 @@ def transitions(model: Model, by: list[str] | None = None, per_month: bool = Fal
         rows = _next_months(model).where("HasNextMonth")
         if len(chosen.months) < len(model.months):
             rows = rows.where(F.col("DateKey").isin(*chosen.months) if chosen.months else F.lit(False))
-        keys = ["DateKey", *by]
+        keys = ["DateKey"]
     else:
         a = model.anchors(chosen.months)
         two = [k for k in (a.previous, a.last) if k is not None]
         rows = _next_months(model, two).where(F.col("DateKey") == F.lit(a.previous))
-        keys = by
-    described = _attributes(model, rows, set(by) | set(chosen.other))
-    for name, value in chosen.other.items():
-        described = described.where(_test(value, F.col(name)))
-    counted = described.groupBy(*keys).agg(*_transition_counts(model))
+        keys = []
+    counted = _counted(model, rows, _transition_counts(model), keys, by, chosen.other)
     return counted.select("*", *[_rate(*names) for names in _RATES])
 
 

@@ -7,6 +7,7 @@ and means that a lost executor costs the tasks of one layer only.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -36,6 +37,7 @@ TABLES = (
     "Monthly_Activity",
     "Fact_CustomerSnapshot",
 )
+INDEPENDENT = ("Stg_Transaction", "Stg_Customer", "Stg_Location", "City_Lookup", "Dim_Date", "Dim_Segment")
 
 
 class MissingTable(RuntimeError):
@@ -47,7 +49,8 @@ class Warehouse:
 
     With ``raw`` and ``city_lookup`` a table is built the first time it is asked for,
     together with what it needs. Without them the warehouse only reads what an earlier
-    load wrote, and a table that is not there is an error.
+    load wrote, and a table that is not there is an error. ``land_raw=False`` uses a raw
+    table that is stored already in place of a copy of it.
     """
 
     def __init__(
@@ -57,21 +60,23 @@ class Warehouse:
         settings: Settings,
         raw: DataFrame | None = None,
         city_lookup: DataFrame | None = None,
+        land_raw: bool = True,
     ) -> None:
         self.spark = spark
         self.directory = directory.rstrip("/")
         self.settings = settings
         self._raw = raw
         self._city_lookup = city_lookup
+        self._land_raw = land_raw
         self._tables: dict[str, DataFrame] = {}
         self._builders: dict[str, Callable[[], DataFrame]] = {
-            "RawTransactions": lambda: write_stage(self._source("raw", self._raw), self._path("RawTransactions")),
-            "City_Lookup": lambda: write_stage(self._source("city_lookup", self._city_lookup), self._path("City_Lookup")),
+            "RawTransactions": self._raw_transactions,
+            "City_Lookup": lambda: write_stage(self._source("city_lookup", self._city_lookup), self.path("City_Lookup")),
             "Stg_Transaction": lambda: self._stage("Stg_Transaction", stage_transactions),
             "Stg_Customer": lambda: self._stage("Stg_Customer", stage_customers),
             "Stg_Location": lambda: self._stage("Stg_Location", stage_locations),
             "Dim_Date": self._dim_date,
-            "Dim_Segment": lambda: self._dim("Dim_Segment", segment_rules(self.spark)),
+            "Dim_Segment": self._dim_segment,
             "Dim_Location": self._dim_location,
             "Location_History": self._location_history,
             "Dim_Customer": self._dim_customer,
@@ -88,10 +93,13 @@ class Warehouse:
         return self._tables[name]
 
     def load(self) -> dict[str, DataFrame]:
-        """Build or read all tables, in order."""
+        """Build or read all tables. Those that need only the sources are built at the same time."""
+        self.table("RawTransactions")
+        with ThreadPoolExecutor(len(INDEPENDENT)) as together:
+            list(together.map(self.table, INDEPENDENT))
         return {name: self.table(name) for name in TABLES}
 
-    def _path(self, name: str) -> str:
+    def path(self, name: str) -> str:
         return f"{self.directory}/{name}"
 
     def _source(self, name: str, df: DataFrame | None) -> DataFrame:
@@ -101,12 +109,22 @@ class Warehouse:
 
     def _stored(self, name: str) -> DataFrame:
         try:
-            return self.spark.read.parquet(self._path(name))
+            return self.spark.read.parquet(self.path(name))
         except AnalysisException as cause:
             raise MissingTable(f"{name} not found in {self.directory}: run the step that loads it first") from cause
 
     def _stage(self, name: str, flow: Callable[[DataFrame], DataFrame]) -> DataFrame:
-        return write_stage(load_stamped(flow(self.table("RawTransactions"))).drop("ETLBatchID"), self._path(name))
+        return write_stage(load_stamped(flow(self.table("RawTransactions"))).drop("ETLBatchID"), self.path(name))
+
+    def _raw_transactions(self) -> DataFrame:
+        raw = self._source("raw", self._raw)
+        return write_stage(raw, self.path("RawTransactions")) if self._land_raw else raw
+
+    def _slices(self) -> int:
+        """Groups per month such that all months together fill the shuffle partitions."""
+        first, last = self.settings.start, self.settings.cutoff
+        months = (last.year - first.year) * 12 + last.month - first.month + 1
+        return max(1, int(self.spark.conf.get("spark.sql.shuffle.partitions")) // months)
 
     def _dim(self, name: str, df: DataFrame) -> DataFrame:
         return write_dim(df, name, self.directory)
@@ -115,11 +133,19 @@ class Warehouse:
         s = self.settings
         return self._dim("Dim_Date", build_dim_date(self.spark, s.calendar_start, s.calendar_end, s.as_of).coalesce(1))
 
+    def _dim_segment(self) -> DataFrame:
+        stamps = {
+            "StartDate": F.coalesce("StartDate", F.current_date()),
+            "CreatedDate": F.current_timestamp(),
+            "ModifiedDate": F.lit(None).cast("timestamp"),
+        }
+        return self._dim("Dim_Segment", segment_rules(self.spark).coalesce(1).withColumns(stamps))
+
     def _dim_location(self) -> DataFrame:
         return self._dim("Dim_Location", build_dim_location(self.table("Stg_Location"), self.table("City_Lookup")))
 
     def _location_history(self) -> DataFrame:
-        return write_stage(location_history(self.table("Stg_Transaction")), self._path("Location_History"))
+        return write_stage(location_history(self.table("Stg_Transaction")), self.path("Location_History"))
 
     def _dim_customer(self) -> DataFrame:
         history, people, places = (self.table(n) for n in ("Location_History", "Stg_Customer", "Dim_Location"))
@@ -134,14 +160,14 @@ class Warehouse:
             self.settings.scd_join,
         )
         stamped = load_stamped(with_transaction_key(fact))
-        return write_fact(stamped, "Fact_Transaction", self.directory, "year_month")
+        return write_fact(stamped, "Fact_Transaction", self.directory, "year_month", "CustomerKey", self._slices())
 
     def _monthly_activity(self) -> DataFrame:
         activity = monthly_activity(self.table("Fact_Transaction"), self.settings.cutoff)
-        return write_stage(activity, self._path("Monthly_Activity"))
+        return write_stage(activity, self.path("Monthly_Activity"))
 
     def _snapshot(self) -> DataFrame:
-        return write_snapshot(self.staged_snapshot(), self.directory)
+        return write_snapshot(self.staged_snapshot(), self.directory, slices=self._slices())
 
     def staged_snapshot(self) -> DataFrame:
         """The scored customer-months before they are written, with CustomerID."""
@@ -159,15 +185,25 @@ class Warehouse:
         last = present.agg(F.coalesce(F.max("TransactionKey"), F.lit(0))).first()[0]
         keyed = with_transaction_key(fact_rows).withColumn("TransactionKey", F.col("TransactionKey") + F.lit(last + 1))
         self._tables["Fact_Transaction"] = append_fact(
-            load_stamped(keyed).select(*present.columns), "Fact_Transaction", self.directory, "year_month"
+            load_stamped(keyed).select(*present.columns),
+            "Fact_Transaction",
+            self.directory,
+            "year_month",
+            "CustomerKey",
+            self._slices(),
         )
         return self._tables["Fact_Transaction"]
 
 
 def run_warehouse_load(
-    spark: SparkSession, raw: DataFrame, city_lookup: DataFrame, directory: str, settings: Settings
+    spark: SparkSession,
+    raw: DataFrame,
+    city_lookup: DataFrame,
+    directory: str,
+    settings: Settings,
+    land_raw: bool = True,
 ) -> Warehouse:
     """Load every table from raw transactions and return the loaded warehouse."""
-    warehouse = Warehouse(spark, directory, settings, raw, city_lookup)
+    warehouse = Warehouse(spark, directory, settings, raw, city_lookup, land_raw)
     warehouse.load()
     return warehouse

@@ -20,21 +20,36 @@ def write_dim(df: DataFrame, name: str, directory: str) -> DataFrame:
     return write_stage(df, os.path.join(directory, name))
 
 
-def write_fact(df: DataFrame, name: str, directory: str, partition_by: str) -> DataFrame:
-    """Replace a partitioned fact.
-
-    The rebalance hint groups rows by partition value before the write and lets adaptive
-    execution cut large values into several files and join small ones, so neither a hot
-    month nor a thin one shapes the layout.
+def _laid_out(df: DataFrame, partition_by: str, cluster_by: str | None, slices: int) -> DataFrame:
+    """Rows grouped for a partitioned write.
+
+    The rebalance hint brings the rows of a partition value together and lets adaptive
+    execution cut large groups into several files and join small ones, so neither a hot
+    month nor a thin one shapes the layout. ``cluster_by`` also keeps the rows of one of
+    its values in the same one of ``slices`` groups, and so in few files: a later
+    aggregation by it then combines most rows before its shuffle.
     """
+    if cluster_by is None:
+        return df.hint("rebalance", F.col(partition_by))
+    slice_of = F.pmod(F.xxhash64(cluster_by), F.lit(slices)).cast("int")
+    grouped = df.withColumn("_slice", slice_of).hint("rebalance", F.col(partition_by), F.col("_slice"))
+    return grouped.drop("_slice")
+
+
+def write_fact(
+    df: DataFrame, name: str, directory: str, partition_by: str, cluster_by: str | None = None, slices: int = 1
+) -> DataFrame:
+    """Replace a partitioned fact."""
     path = os.path.join(directory, name)
-    df.hint("rebalance", F.col(partition_by)).write.mode("overwrite").partitionBy(partition_by).parquet(path)
+    _laid_out(df, partition_by, cluster_by, slices).write.mode("overwrite").partitionBy(partition_by).parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
-def append_fact(df: DataFrame, name: str, directory: str, partition_by: str) -> DataFrame:
+def append_fact(
+    df: DataFrame, name: str, directory: str, partition_by: str, cluster_by: str | None = None, slices: int = 1
+) -> DataFrame:
     path = os.path.join(directory, name)
-    df.hint("rebalance", F.col(partition_by)).write.mode("append").partitionBy(partition_by).parquet(path)
+    _laid_out(df, partition_by, cluster_by, slices).write.mode("append").partitionBy(partition_by).parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
@@ -75,9 +90,10 @@ def snapshot_rows(staged: DataFrame, batch_id: int = 1) -> DataFrame:
     )
 
 
-def write_snapshot(staged: DataFrame, directory: str, batch_id: int = 1) -> DataFrame:
+def write_snapshot(staged: DataFrame, directory: str, batch_id: int = 1, slices: int = 1) -> DataFrame:
     """Truncate and reload the snapshot, one directory per month."""
-    return write_fact(snapshot_rows(staged, batch_id), "Fact_CustomerSnapshot", directory, "DateKey")
+    rows = snapshot_rows(staged, batch_id)
+    return write_fact(rows, "Fact_CustomerSnapshot", directory, "DateKey", "CustomerKey", slices)
 
 
 def observed(df: DataFrame, stage: str) -> tuple[DataFrame, Observation]:
