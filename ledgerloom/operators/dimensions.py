@@ -16,7 +16,7 @@ from ledgerloom.functions.cleanse import (
     parse_dob,
 )
 from ledgerloom.operators.keys import with_surrogate_key
-from ledgerloom.operators.skew import hot_keys, skew_join
+from ledgerloom.operators.skew import balanced_join
 
 # Fixed values of the location dimension.
 COUNTRY, LOCATION_TYPE, UNKNOWN = "India", "City", "Unknown"
@@ -123,10 +123,12 @@ def customer_rows(
     people = customer_demographics(stg_customer, settings.dob_policy)
     places = dim_location.select("LocationKey", F.col("LocationCode").alias("_code"))
     versions = scd2_versions(history).withColumn("_code", location_code(F.col("Location")))
-    per_place = history.groupBy(location_code(F.col("Location")).alias("_code")).agg(F.count(F.lit(1)).alias("_n"))
-    hot = hot_keys(per_place, ["_code"], "_n")  # a city may be home to a large share of the customers
     described = versions.join(people, "CustomerID")
-    located = skew_join(described, places, ["_code"], hot, ["CustomerID", "LocationMatch"], how="left")
+    # a city may be home to a large share of the customers
+    per_place = history.groupBy(location_code(F.col("Location")).alias("_code")).agg(F.count(F.lit(1)).alias("_n"))
+    located = balanced_join(
+        described, places, ["_code"], per_place, "_n", spread_by=["CustomerID", "LocationMatch"], how="left"
+    )
     aged = located.withColumn("Age", age_years(F.col("DateOfBirth"), settings.as_of))
     return aged.select(
         *(["CustomerKey"] if "CustomerKey" in history.columns else []),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.cleanse import location_code, location_or_default, parse_money
 from ledgerloom.operators.scd2 import scd2_join
-from ledgerloom.operators.skew import hot_keys, skew_join
+from ledgerloom.operators.skew import balanced_join
 
 _SPREAD = ["TransactionID", "Date", "TransactionAmount", "AccountBalance"]
 
@@ -52,9 +52,8 @@ def build_fact_transaction(
         by_place = dim_customer.groupBy(location_code(F.col("Location")).alias("LocationCode")).agg(
             F.sum("DatedRows").alias("DatedRows")
         )
-        hot = hot_keys(by_place, ["LocationCode"], "DatedRows")
-        coded = joined.drop("DatedRows").withColumn("LocationCode", location_code(F.col("CustLocation")))
-        located = skew_join(coded, places, ["LocationCode"], hot, _SPREAD, how="left")
+        coded = joined.withColumn("LocationCode", location_code(F.col("CustLocation")))
+        located = balanced_join(coded, places, ["LocationCode"], by_place, "DatedRows", _SPREAD, how="left")
     return located.select(
         "CustomerKey",
         "DateKey",

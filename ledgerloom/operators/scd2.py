@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.keys import with_surrogate_key
-from ledgerloom.operators.skew import hot_keys, skew_join
+from ledgerloom.operators.skew import balanced_join
 
 FAR_FUTURE = date(9999, 12, 31)
 
@@ -31,14 +31,13 @@ def scd2_join(
     another pass over the facts.
     """
     spread_by = spread_by or [date_col]
+    counts = versions.select(key, *([version] if mode == "version_key" else []), "DatedRows")
+    small = versions.drop("DatedRows")
     if mode == "version_key":
-        keys = [key, version]
-        hot = hot_keys(versions, keys, "DatedRows")
-        return skew_join(facts, versions, keys, hot, spread_by)
+        return balanced_join(facts, small, [key, version], counts, "DatedRows", spread_by)
     if mode == "date_range":
-        hot = hot_keys(versions, [key], "DatedRows")
         inside = F.col(date_col).between(F.col("StartDate"), F.coalesce("EndDate", F.lit(FAR_FUTURE)))
-        return skew_join(facts, versions, [key], hot, spread_by, condition=inside)
+        return balanced_join(facts, small, [key], counts, "DatedRows", spread_by, condition=inside)
     raise ValueError(f"unknown mode {mode!r}")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators.keys import with_surrogate_key
 from ledgerloom.operators.quantile import exact_percentile
-from ledgerloom.operators.skew import hot_keys, skew_join
+from ledgerloom.operators.skew import balanced_join, hot_keys, skew_join, spark_broadcasts
 from tests.conftest import values
 
 
@@ -62,6 +62,27 @@ def test_skew_join_cuts_the_hot_key_into_many_tasks(spark, hot_data):
     assert max(sizes) < 2 * sum(sizes) / 8
 
 
+@pytest.mark.parametrize("threshold", ["10485760", "-1"])
+def test_balanced_join_equals_plain_join(spark, hot_data, tmp_path, threshold):
+    big, small = hot_data
+    small.write.parquet(str(tmp_path / "s"))
+    small = spark.read.parquet(str(tmp_path / "s"))
+    counts = big.where("k is not null").groupBy("k").agg(F.count("*").alias("n"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        assert spark_broadcasts(small) == (threshold != "-1")
+        for how in ("inner", "left"):
+            joined = balanced_join(big, small, ["k"], counts, "n", ["row"], how)
+            plain = big.join(small, "k", how)
+            assert joined.count() == plain.count()
+            assert joined.select("k", "row", "v").exceptAll(plain.select("k", "row", "v")).count() == 0
+        some = balanced_join(big, small, ["k"], counts, "n", ["row"], condition=F.col("v") < 0)
+        assert some.count() == 40000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_skew_join_refuses_what_it_cannot_do(spark, hot_data):
     big, small = hot_data
     with pytest.raises(ValueError):

@@ -33,8 +33,16 @@ MOVER = [
 ]
 
 
-@pytest.fixture(scope="module")
-def star(spark):
+@pytest.fixture(scope="module", params=["10485760", "-1"], ids=["broadcast", "shuffle"])
+def star(spark, request):
+    """The star with both kinds of join: small sides broadcast, and hot keys cut."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", request.param)
+    yield _star(spark)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def _star(spark):
     base = raw(spark, MOVER)
     stg = staging.stage(base)
     cities = spark.createDataFrame([("a", "STATE A", "North")], "CityName string, State string, Region string")
