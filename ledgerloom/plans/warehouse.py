@@ -114,7 +114,8 @@ class Warehouse:
             raise MissingTable(f"{name} not found in {self.directory}: run the step that loads it first") from cause
 
     def _stage(self, name: str, flow: Callable[[DataFrame], DataFrame]) -> DataFrame:
-        return write_stage(load_stamped(flow(self.table("RawTransactions"))).drop("ETLBatchID"), self.path(name))
+        staged = flow(self.table("RawTransactions")).withColumn("LoadDate", F.current_timestamp())
+        return write_stage(staged, self.path(name))
 
     def _raw_transactions(self) -> DataFrame:
         raw = self._source("raw", self._raw)
@@ -131,7 +132,8 @@ class Warehouse:
 
     def _dim_date(self) -> DataFrame:
         s = self.settings
-        return self._dim("Dim_Date", build_dim_date(self.spark, s.calendar_start, s.calendar_end, s.as_of).coalesce(1))
+        days = build_dim_date(self.spark, s.calendar_start, s.calendar_end, s.as_of).coalesce(1)
+        return self._dim("Dim_Date", days.withColumn("CreatedDate", F.current_timestamp()))
 
     def _dim_segment(self) -> DataFrame:
         stamps = {
