@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerloom.llm import minhash
+from ledgerloom.llm import minhash, packing, sharding
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,5 +16,24 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), words=3, percent=85)
 
 
-QUERIES = {f.__name__: f for f in (op10_minhash_near_dedup,)}
+def op1_karmarkar_karp_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op5_minimax_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shard_by_bytes(_table(spark, sf_dir, "documents"), shards=40)
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+QUERIES = {f.__name__: f for f in (op1_karmarkar_karp_packing, op5_minimax_sharding, op10_minhash_near_dedup,)}
 ORACLES: dict[str, str] = {}
