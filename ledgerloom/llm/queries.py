@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import minhash, packing, sharding
+from ledgerloom.llm import decontaminate, minhash, packing, sharding
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), words=3, percent=85)
 
@@ -35,5 +39,5 @@ def op5_minimax_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_karmarkar_karp_packing, op5_minimax_sharding, op10_minhash_near_dedup,)}
+QUERIES = {f.__name__: f for f in (op1_karmarkar_karp_packing, op5_minimax_sharding, op8_benchmark_decontamination, op10_minhash_near_dedup,)}
 ORACLES: dict[str, str] = {}
