@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import decontaminate, minhash, packing, sharding
+import corpus_pipeline
+from ledgerloom.llm import decontaminate, langid, minhash, packing, pii, sharding
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +17,10 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op9_feistel_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.counted(_table(spark, sf_dir, "documents"))
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), words=3, percent=85)
 
@@ -26,6 +31,10 @@ def op1_karmarkar_karp_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op2_byte_network_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(_table(spark, sf_dir, "documents"))
+
+
 def op5_minimax_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard_by_bytes(_table(spark, sf_dir, "documents"), shards=40)
     return placed.select(
@@ -39,5 +48,16 @@ def op5_minimax_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_karmarkar_karp_packing, op5_minimax_sharding, op8_benchmark_decontamination, op10_minhash_near_dedup,)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_karmarkar_karp_packing,
+        op2_byte_network_language_id,
+        op5_minimax_sharding,
+        op8_benchmark_decontamination,
+        op9_feistel_pii,
+        op10_minhash_near_dedup,
+    )
+}
+QUERIES["pipeline"] = corpus_pipeline.run
 ORACLES: dict[str, str] = {}
