@@ -9,7 +9,7 @@ from ledgerloom.llm import decontaminate, langid, minhash, packing, pii
 from ledgerloom.llm.storage import stored
 
 #: A document whose best language has less than this mean probability is no text of any.
-LEAST_LANGUAGE_SCORE = 0.4
+LEAST_LANGUAGE_SCORE = 0.3
 PII_KEY = "corpus"
 
 

@@ -6,13 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ledgerloom.llm import decontaminate, langid, minhash, packing, pii, sharding
+from ledgerloom.llm import chat, decontaminate, langid, licenses, minhash, packing, pii, sharding
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(_table(spark, sf_dir, "documents"))
+
+
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -35,6 +39,15 @@ def op2_byte_network_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_table(spark, sf_dir, "documents"))
 
 
+def op4_relational_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = r"\### Assistant: </turn> ok"
+    own = spark.createDataFrame(
+        [(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string"
+    )
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
+    return chat.digests(chat.format_conversations(rows))
+
+
 def op5_minimax_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard_by_bytes(_table(spark, sf_dir, "documents"), shards=40)
     return placed.select(
@@ -53,11 +66,38 @@ QUERIES = {
     for f in (
         op1_karmarkar_karp_packing,
         op2_byte_network_language_id,
+        op4_relational_chat_formatting,
         op5_minimax_sharding,
+        op7_license_scan,
         op8_benchmark_decontamination,
         op9_feistel_pii,
         op10_minhash_near_dedup,
     )
 }
 QUERIES["pipeline"] = corpus_pipeline.run
-ORACLES: dict[str, str] = {}
+
+#: Every mark costs its own length; escapes cost a character for each backslash and control string.
+_OP4_SQL = r"""
+with rows as (
+    select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+    union all values
+        (-7, 0, 'user', '\### Assistant: </turn> ok'),
+        (-7, 1, 'assistant', '\### Assistant: </turn> ok')
+), placed as (
+    select *, lag(role) over (partition by conv_id order by turn, role, text) as before from rows
+), sized as (
+    select *,
+        length(regexp_replace(replace(text, '\', '\\'), '<(turn>|says/>|next/>|/turn>)', '<_\1', 'g')) as chars,
+        case when before = role then length('<next/>') else length('<turn><says/></turn>') + length(role) end as marks
+    from placed
+)
+select conv_id,
+    count(*)::bigint as n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+    coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+    sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+    sum(chars + marks)::bigint as formatted_chars
+from sized group by conv_id
+"""
+
+ORACLES: dict[str, str] = {"op4_relational_chat_formatting": _OP4_SQL}
