@@ -1,15 +1,17 @@
 """Near-duplicate documents: MinHash bands, checked signatures, exact sets, star components.
 
 Documents with equal shingle sets form a class, and one of them stands for it from then on.
-Classes that share a band bucket are candidates. A bucket never becomes all its pairs:
-leaders of the bucket are compared with its other members, and what the links join needs
-no more comparison. Members that are still apart go on with further leaders until none are
-left, so that no link between two components is missed, however large the bucket.
+Classes that share a band bucket are candidates. A bucket never becomes all its pairs: its
+members are compared with a leader. Two members linked to the leader are in one component.
+Links of a member that is not linked to it are found by what it has and lacks against the
+leader: such links need shared differences, which an index of prefixes finds exactly.
+Members far from the leader go on with further leaders until none are left.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +26,9 @@ from ledgerloom.llm.words import SPACED, mix, shingle_sets
 ROWS, BANDS = 5, 32
 #: A signature may fall short of the threshold by so much (over six deviations) before sets are compared.
 SLACK = 0.2
+#: Members from this similarity to the leader on are done after one comparison (``_NEAR``).
+#: As 1 - similarity is a metric, all their links are to members from ``_APART`` on.
+_NEAR, _APART = 0.75, 0.55
 _SALT = np.uint64(0xD6E8FEB86659FD93)
 _SEEDS = np.random.default_rng(7919).integers(1, 1 << 62, (2, ROWS * BANDS), dtype=np.uint64)
 _FACTORS, _SHIFTS = _SEEDS[0] * np.uint64(2) + np.uint64(1), _SEEDS[1]
@@ -98,40 +103,109 @@ def _alike(least: float):
     return work
 
 
-def _linked(words: int, table: np.ndarray, percent: int):
-    """Pairs of texts whose full sets have 100 * intersection >= percent * union."""
+def _compared(words: int, table: np.ndarray, percent: int):
+    """Documents against their leader on full sets, with what they lack and have beyond it.
+
+    Of a pair with similarity from ``_APART`` on, one row: whether it is ``near``, whether it
+    is ``linked``, the leader's size, the weight ``100 * lacking + percent * added`` and the
+    differing shingles, added before lacking, each by hash.
+    """
 
     def work(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, held = None, None
         for part in parts:
-            keep = []
-            # Rows come sorted by their second document, so that its set is made once.
-            for b, text_a, text_b in zip(*(part.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
-                if b != last:
-                    last, held = b, next(shingle_sets([text_b], words, table))
-                own = next(shingle_sets([text_a], words, table))
-                both = len(np.intersect1d(own, held, assume_unique=True))
-                keep.append(100 * both >= percent * (len(own) + len(held) - both))
-            yield part.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+            rows = []
+            # Rows come sorted by leader, so that its set is made once.
+            for node, leader, text, model in zip(*(part.column(i).to_pylist() for i in range(4)), strict=True):
+                if leader != last:
+                    last, held = leader, next(shingle_sets([model], words, table))
+                own = next(shingle_sets([text], words, table))
+                added = np.setdiff1d(own, held, assume_unique=True)
+                lacking = np.setdiff1d(held, own, assume_unique=True)
+                both, union = len(own) - len(added), len(held) + len(added)
+                if both < _APART * union:
+                    continue
+                weight = 100 * len(lacking) + percent * len(added)
+                rows.append(
+                    (
+                        node,
+                        leader,
+                        both >= _NEAR * union,
+                        100 * both >= percent * union,
+                        len(held),
+                        weight,
+                        np.concatenate([added, lacking]).view(np.int64),
+                    )
+                )
+            columns = list(zip(*rows, strict=True)) if rows else [[]] * 7
+            kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+                ["node", "leader", "near", "linked", "size", "weight", "diff"],
+            )
 
     return work
 
 
-def _linked_pairs(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, words: int, table, percent: int) -> DataFrame:
-    """Of the ``pairs`` (a, b) those that are links, by size, then signature, then full sets."""
-    side = lambda x: nodes.select(F.col("node").alias(x), F.col("n_shingles").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"))
-    near = (
-        pairs.join(side("a"), "a")
-        .join(side("b"), "b")
-        .where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
-        .select("a", "b", "sa", "sb")
-        .mapInArrow(_alike(percent / 100 - SLACK), "a long, b long")
+def _met(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, words: int, table, percent: int) -> DataFrame:
+    """The ``pairs`` (node, leader) compared: by size, then by signature, then on full sets."""
+    side = lambda x, n: nodes.select(F.col("node").alias(x), F.col("n_shingles").alias(f"n{n}"), F.col("sketch").alias(f"s{n}"))
+    maybe = (
+        pairs.join(side("node", 1), "node")
+        .join(side("leader", 2), "leader")
+        .where(F.least("n1", "n2") >= F.greatest("n1", "n2") * _APART)
+        .select("node", "leader", "s1", "s2")
+        .mapInArrow(_alike(_APART - SLACK), "node long, leader long")
+    )
+    return (
+        maybe.join(texts, "node")
+        .join(texts.select(F.col("node").alias("leader"), F.col("text").alias("model")), "leader")
+        .select("node", "leader", "text", "model")
+        .mapInArrow(
+            _compared(words, table, percent),
+            "node long, leader long, near boolean, linked boolean, size long, weight long, diff array<long>",
+        )
+    )
+
+
+def _links_apart_from_leader(met: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between members of one leader, at least one of which is not linked to it.
+
+    With the leader's size n, and lacking and added shingles of two members counted in their
+    weights w, the pair is linked exactly if (100 + percent) * shared differences
+    >= w1 + w2 - (100 - percent) * n. A member that is not linked to the leader has
+    w1 > (100 - percent) * n, so its partner shares more than w2 / (100 + percent) of its own
+    differences with it, and one of them is among the partner's first
+    ``len(diff) - w2 // (100 + percent)``. Only these are indexed.
+    """
+    both = 100 + percent
+    groups = met.where("not linked").select("leader").distinct()
+    of = met.join(groups, "leader").withColumn("length", F.size("diff"))
+    index = of.select(
+        "leader",
+        F.explode(F.slice("diff", F.lit(1), (F.col("length") - F.floor(F.col("weight") / both)).cast("int"))).alias("e"),
+        F.col("node").alias("b"),
+        F.col("linked").alias("b_linked"),
+        F.col("weight").alias("w2"),
+        F.col("length").alias("l2"),
+    )
+    probe = of.where("not linked").select(
+        "leader", F.explode("diff").alias("e"), F.col("node").alias("a"), "size", F.col("weight").alias("w1"), F.col("length").alias("l1")
     )
+    need = F.col("w1") + F.col("w2") - F.col("size") * (100 - percent)
+    maybe = (
+        probe.join(index, ["leader", "e"])
+        .where((F.col("a") != F.col("b")) & (F.col("b_linked") | (F.col("b") < F.col("a"))))
+        .where(need <= F.least("l1", "l2") * both)
+        .select("leader", "a", "b", need.alias("need"))
+        .distinct()
+    )
+    side = lambda x, d: of.select("leader", F.col("node").alias(x), F.col("diff").alias(d))
     return (
-        near.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
-        .join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
-        .select("a", "b", "ta", "tb")
-        .mapInArrow(_linked(words, table, percent), "a long, b long")
+        maybe.join(side("a", "d1"), ["leader", "a"])
+        .join(side("b", "d2"), ["leader", "b"])
+        .where(F.size(F.array_intersect("d1", "d2")) * both >= F.col("need"))
+        .select("a", "b")
     )
 
 
@@ -145,6 +219,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, table: n
     nothing and kept, with a null component. ``doc_id`` names a document: rows that repeat
     it are kept or dropped together. Other columns are ignored.
     """
+    if percent < 80:
+        raise ValueError("the bands are made for similarities from 0.8 on")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     marked = stored(signatures(docs, words, table), "signatures")
     classes = stored(
@@ -163,46 +239,36 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, table: n
         "texts",
     )
 
-    links = tested = roots = None
-    slots = 1
-    live = live.withColumn("root", F.col("node"))
+    links, slots = [], 1
     while not live.isEmpty():
         slot = F.pmod(F.xxhash64("node"), F.lit(slots))
-        leaders = live.groupBy("bucket", slot.alias("slot")).agg(F.min_by("root", "node").alias("own"), F.min("node").alias("leader"))
-        leaders = leaders.select("bucket", "leader", "own")
-        pairs = (
-            live.join(leaders, "bucket")
-            .where("node != leader and root != own")
-            .select(F.greatest("node", "leader").alias("a"), F.least("node", "leader").alias("b"))
-            .distinct()
-        )
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        found = stored(_linked_pairs(pairs, nodes, texts, words, table, percent), "links")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        if not found.isEmpty():
-            links = found if links is None else links.unionByName(found)
-            roots = components(links, "a", "b", "near")
-        # A leader has met all its bucket; the rest goes on where it is in several components.
-        rest = live.drop("root").join(
-            leaders.select("bucket", F.col("leader").alias("node")), ["bucket", "node"], "left_anti"
-        )
-        if roots is not None:
-            rest = rest.join(roots, "node", "left")
-        else:
-            rest = rest.withColumn("root", F.lit(None).cast("long"))
-        rest = stored(rest.select("bucket", "node", F.coalesce("root", "node").alias("root")), "rest")
-        apart = rest.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y")
-        live = stored(rest.join(apart.select("bucket"), "bucket"), "buckets")
+        leaders = live.groupBy("bucket", slot.alias("slot")).agg(F.min("node").alias("leader")).select("bucket", "leader")
+        pairs = live.join(leaders, "bucket").where("node != leader").select("node", "leader").distinct()
+        met = stored(_met(pairs, nodes, texts, words, table, percent), "met")
+        apart = _links_apart_from_leader(met, percent)
+        direct = met.where("linked").select(F.col("node").alias("a"), F.col("leader").alias("b"))
+        links.append(stored(direct.unionByName(apart), "links"))
+        # Links of a near member lie within what was compared with its leader, so it is done in
+        # this bucket, as the leader is; the others go on with further leaders.
+        near = met.where("near").select("node", "leader").join(leaders, "leader").select("bucket", "node")
+        done = near.unionByName(leaders.select("bucket", F.col("leader").alias("node")))
+        rest = live.join(done, ["bucket", "node"], "left_anti")
+        several = rest.groupBy("bucket").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x < y")
+        live = stored(rest.join(several.select("bucket"), "bucket"), "buckets")
         slots = min(slots * 16, 256)
 
     named = classes.withColumn("root", F.col("node"))
-    if roots is not None:
+    if links:
+        roots = components(reduce(DataFrame.unionByName, links), "a", "b", "near")
         named = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     return (
         marked.select("doc_id", "n_shingles", "low", "high")
         .join(named.select("low", "high", "root"), ["low", "high"], "left")
         .withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id")))
-        .select("doc_id", "n_shingles", "component_id", (F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))).alias("kept"))
+        .select(
+            "doc_id",
+            "n_shingles",
+            "component_id",
+            F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"),
+        )
     )
