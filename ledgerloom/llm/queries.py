@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ledgerloom.llm import chat, decontaminate, langid, licenses, minhash, packing, pii, sharding
+from ledgerloom.llm import chat, decontaminate, langid, licenses, minhash, packing, pii, sharding, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +39,10 @@ def op2_byte_network_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_table(spark, sf_dir, "documents"))
 
 
+def op3_grammar_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op4_relational_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = r"\### Assistant: </turn> ok"
     own = spark.createDataFrame(
@@ -66,6 +70,7 @@ QUERIES = {
     for f in (
         op1_karmarkar_karp_packing,
         op2_byte_network_language_id,
+        op3_grammar_toxicity,
         op4_relational_chat_formatting,
         op5_minimax_sharding,
         op7_license_scan,
