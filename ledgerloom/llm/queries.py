@@ -6,13 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ledgerloom.llm import chat, decontaminate, langid, licenses, minhash, packing, pii, sharding, toxicity
+from ledgerloom.llm import chat, covertree, decontaminate, langid, licenses, minhash, packing, pii, sharding, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op6_cover_tree_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covertree.embedding_links(_table(spark, sf_dir, "embeddings"), cosine=0.9)
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(_table(spark, sf_dir, "documents"))
 
@@ -73,6 +77,7 @@ QUERIES = {
         op3_grammar_toxicity,
         op4_relational_chat_formatting,
         op5_minimax_sharding,
+        op6_cover_tree_near_dedup,
         op7_license_scan,
         op8_benchmark_decontamination,
         op9_feistel_pii,
