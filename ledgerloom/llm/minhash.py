@@ -173,30 +173,42 @@ def _links_apart_from_leader(met: DataFrame, percent: int) -> DataFrame:
 
     With the leader's size n, and lacking and added shingles of two members counted in their
     weights w, the pair is linked exactly if (100 + percent) * shared differences
-    >= w1 + w2 - (100 - percent) * n. A member that is not linked to the leader has
-    w1 > (100 - percent) * n, so its partner shares more than w2 / (100 + percent) of its own
-    differences with it, and one of them is among the partner's first
-    ``len(diff) - w2 // (100 + percent)``. Only these are indexed.
+    >= w1 + w2 - (100 - percent) * n =: need. A member that is not linked to the leader has
+    a positive excess = w1 - (100 - percent) * n, so its partner shares more than
+    w2 / (100 + percent) differences with it, and it shares excess / 100 at least with any
+    partner. In one common order of shingles the first shared one therefore lies in the
+    first part of both, and what follows it on either side bounds how many are shared.
     """
     both = 100 + percent
-    groups = met.where("not linked").select("leader").distinct()
-    of = met.join(groups, "leader").withColumn("length", F.size("diff"))
+    several = met.groupBy("leader").agg(F.count("*").alias("n"), F.min("linked").alias("all")).where("n > 1 and not all")
+    excess = F.col("weight") - F.col("size") * (100 - percent)
+    of = (
+        met.join(several.select("leader"), "leader")
+        .withColumn("length", F.size("diff"))
+        .withColumn("apart", F.greatest(F.ceil(excess / 100), F.lit(1)))
+    )
+    shared = F.greatest(F.floor(F.col("weight") / both) + 1, F.col("apart"))
+    first = lambda least: F.slice("diff", F.lit(1), F.greatest(F.lit(0), F.col("length") - least + 1).cast("int"))
     index = of.select(
-        "leader",
-        F.explode(F.slice("diff", F.lit(1), (F.col("length") - F.floor(F.col("weight") / both)).cast("int"))).alias("e"),
+        F.col("leader"),
         F.col("node").alias("b"),
         F.col("linked").alias("b_linked"),
         F.col("weight").alias("w2"),
         F.col("length").alias("l2"),
+        F.posexplode(first(shared)).alias("j", "e"),
     )
     probe = of.where("not linked").select(
-        "leader", F.explode("diff").alias("e"), F.col("node").alias("a"), "size", F.col("weight").alias("w1"), F.col("length").alias("l1")
+        F.col("leader"),
+        F.col("node").alias("a"),
+        excess.alias("x1"),
+        F.col("length").alias("l1"),
+        F.posexplode(first(F.col("apart"))).alias("i", "e"),
     )
-    need = F.col("w1") + F.col("w2") - F.col("size") * (100 - percent)
+    need = F.col("x1") + F.col("w2")
     maybe = (
         probe.join(index, ["leader", "e"])
         .where((F.col("a") != F.col("b")) & (F.col("b_linked") | (F.col("b") < F.col("a"))))
-        .where(need <= F.least("l1", "l2") * both)
+        .where(need <= F.least(F.col("l1") - F.col("i"), F.col("l2") - F.col("j")) * both)
         .select("leader", "a", "b", need.alias("need"))
         .distinct()
     )
@@ -249,12 +261,19 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, table: n
         direct = met.where("linked").select(F.col("node").alias("a"), F.col("leader").alias("b"))
         links.append(stored(direct.unionByName(apart), "links"))
         # Links of a near member lie within what was compared with its leader, so it is done in
-        # this bucket, as the leader is; the others go on with further leaders.
-        near = met.where("near").select("node", "leader").join(leaders, "leader").select("bucket", "node")
-        done = near.unionByName(leaders.select("bucket", F.col("leader").alias("node")))
-        rest = live.join(done, ["bucket", "node"], "left_anti")
-        several = rest.groupBy("bucket").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x < y")
-        live = stored(rest.join(several.select("bucket"), "bucket"), "buckets")
+        # this bucket, as the leader is. Where one leader has met all others, so are they.
+        seen = met.select("node", "leader", "near").join(leaders, "leader")
+        done = seen.where("near").select("bucket", "node").unionByName(leaders.select("bucket", F.col("leader").alias("node")))
+        rest = stored(live.join(done, ["bucket", "node"], "left_anti"), "rest")
+        covered = rest.join(seen, ["bucket", "node"]).groupBy("bucket", "leader").agg(F.count("*").alias("c"))
+        open_ = (
+            rest.groupBy("bucket")
+            .agg(F.min("node").alias("x"), F.max("node").alias("y"), F.count("*").alias("n"))
+            .where("x < y")
+            .join(covered.groupBy("bucket").agg(F.max("c").alias("c")), "bucket", "left")
+            .where(F.coalesce("c", F.lit(0)) < F.col("n"))
+        )
+        live = stored(rest.join(open_.select("bucket"), "bucket"), "buckets")
         slots = min(slots * 16, 256)
 
     named = classes.withColumn("root", F.col("node"))
