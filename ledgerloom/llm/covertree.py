@@ -118,6 +118,12 @@ class Links:
         second = np.stack([np.full(len(b), a[0] + self.shift * sides[0]), b + self.shift * sides[1]])
         self.pairs += [first, second]
 
+    def add_within(self, a: np.ndarray) -> None:
+        """All of ``a``, of the first side, with each other."""
+        weights = self.weights[0][a]
+        self.counts[0][a] += weights.sum() - weights
+        self.pairs.append(np.stack([a, np.full(len(a), a[0])]))
+
     def roots(self, ids: np.ndarray) -> np.ndarray:
         """For each point of both sides the smallest id it is joined with here."""
         least = ids.copy()
@@ -157,15 +163,18 @@ def traverse(a: Tree, b: Tree, cosine: float, links: Links, same: bool) -> None:
         if level == 0:
             keep = cos >= cosine
             if same:
-                keep &= x < y
+                keep &= x != y
             if keep.any():
                 links.add(x[keep], y[keep], sides)
             continue
         d, reach = _distance(cos), a.radius[level][x] + b.radius[level][y]
         own = (x == y) if same else np.zeros(len(x), bool)
-        whole = ~own & (d + reach < limit - _ROUNDING)
+        whole = d + reach < limit - _ROUNDING
         for i in np.flatnonzero(whole):
-            links.add_all(a.members[level][x[i]], b.members[level][y[i]], sides)
+            if own[i]:
+                links.add_within(a.members[level][x[i]])
+            else:
+                links.add_all(a.members[level][x[i]], b.members[level][y[i]], sides)
         opened = np.flatnonzero(~whole & (d <= reach + limit + _ROUNDING))
         if not len(opened):
             continue

@@ -39,7 +39,7 @@ class _Words(dict):
         self._encode = Tokenizer.from_file(path).encode
 
     def __missing__(self, word: str) -> bytes:
-        if len(word) > 1 and word[-1] in ",." and word[:-1].isalpha():
+        if len(word) > 1 and word[-1] in ",." and word[:-1].lower().isalpha():
             ids = self[word[:-1]] + self[word[-1]]
         else:
             ids = np.asarray(self._encode(word, add_special_tokens=False).ids, "<u4").tobytes()
