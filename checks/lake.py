@@ -32,7 +32,7 @@ def given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = {name: given(spark, sf_dir, name) for name in ("lineitem", "orders", "nation")}
-    tables["lineitem"] = spread(tables["lineitem"])
+    tables["lineitem"] = spread(tables["lineitem"], spark.sparkContext.defaultParallelism)
     return spark.sql(RAW_SQL, **tables)
 
 

@@ -1244,3 +1244,175 @@ add(
        select 'staging with id and date', count(*) from stg_transaction where CustomerID is not null and TransactionDate is not null
        union all select 'fact', count(*) from fact""",
 )
+
+for _table, _key, _rows_of in (("Fact_Transaction", "TransactionKey", "fact"), ("Fact_CustomerSnapshot", "SnapshotKey", "snap")):
+    add(
+        f"dq_unique_{'fact' if _rows_of == 'fact' else 'snapshot'}_keys",
+        on(
+            _table,
+            lambda t, k=_key: t.agg(
+                F.count(F.lit(1)).alias("Records"), (F.count(F.lit(1)) - F.countDistinct(k)).alias("RepeatedKeys")
+            ),
+        ),
+        f"select count(*) as Records, cast(0 as bigint) as RepeatedKeys from {_rows_of}",
+    )
+add(
+    "dq_unique_segment_codes",
+    on("Dim_Segment", lambda t: quality.duplicate_keys(t, ["SegmentCode"])),
+    "select SegmentCode, count(*) as KeyRows from rules group by 1 having count(*) > 1",
+)
+
+# ---------------------------------------------------------------- measures whose tests replace filters
+
+
+def _replaced(measure: str, test: str, by: str, rate: str | None = None) -> tuple[Query, str]:
+    """A measure grouped by the very column that it tests, also as a filter on another value."""
+    names = [measure] + ([rate] if rate else [])
+    share = f", cast(n as double) / count(*) as {rate}" if rate else ""
+    return (
+        on_model(lambda m: measures.measures(m, names, by=[by])),
+        f"""select {by}, n as {measure}{share} from w, k,
+            (select nullif(count(*), 0) as n from w, k where DateKey = a and {test}) where DateKey = a group by {by}, n having n is not null""",
+    )
+
+
+add("measure_churn_rate_by_churnflag", *_replaced("churned_customers", "ChurnFlag", "ChurnFlag", "churn_rate"))
+add("measure_new_customers_by_trendcategory", *_replaced("new_customers", "TrendCategory = 'New'", "TrendCategory"))
+add("measure_champions_count_by_segmentcode", *_replaced("champions_count", "SegmentCode = 'RF_Champions'", "SegmentCode"))
+add(
+    "measure_growing_customers_by_growthcategory",
+    *_replaced("growing_customers", "GrowthCategory = 'Growing'", "GrowthCategory"),
+)
+add("measure_complaints_by_complaintflag", *_replaced("total_complaints", "ComplaintFlag", "ComplaintFlag"))
+add(
+    "measures_under_replaced_filters",
+    on_model(
+        lambda m: measures.measures(
+            m,
+            ["churned_customers", "total_customers", "churn_rate", "champions_count"],
+            by=["Region"],
+            where={"ChurnFlag": False, "SegmentCode": "RF_Loyal"},
+        )
+    ),
+    """select * from (select Region, nullif(count(*) filter (where ChurnFlag and SegmentCode = 'RF_Loyal'), 0) as churned_customers,
+        nullif(count(*) filter (where not ChurnFlag and SegmentCode = 'RF_Loyal'), 0) as total_customers,
+        cast(churned_customers as double) / total_customers as churn_rate,
+        nullif(count(*) filter (where not ChurnFlag and SegmentCode = 'RF_Champions'), 0) as champions_count
+        from w, k where DateKey = a group by Region)
+        where churned_customers is not null or total_customers is not null or champions_count is not null""",
+)
+add(
+    "trend_by_replaced_column",
+    on_model(lambda m: measures.trend(m, ["churned_customers", "total_customers"], by=["ChurnFlag"])),
+    """select DateKey, YearMonth, ChurnFlag, nullif(cast(sum(count(*) filter (where ChurnFlag)) over (partition by DateKey) as bigint), 0)
+        as churned_customers, count(*) as total_customers from w group by DateKey, YearMonth, ChurnFlag""",
+)
+add(
+    "measures_in_ranges",
+    on_model(
+        lambda m: measures.measures(
+            m,
+            ["total_customers", "total_transaction_amount", "avg_loyalty_score"],
+            by=["Gender"],
+            where={
+                "Date": measures.Between(date(1999, 2, 1), None),
+                "TotalTransactionAmount": measures.Between(1000, 90000),
+                "FinalAccountBalance": measures.Between(None, 500000),
+            },
+        )
+    ),
+    f"""select Gender, {_ALL} as total_customers, {MEASURE_SQL['total_transaction_amount']} as total_transaction_amount,
+        {MEASURE_SQL['avg_loyalty_score']} as avg_loyalty_score from w, k where MonthEndDate >= date '1999-02-01'
+        and TotalTransactionAmount between 1000 and 90000 and FinalAccountBalance <= 500000 group by Gender""",
+)
+
+# ---------------------------------------------------------------- pages under slicers
+
+_SLICERS = {"Year": 1999, "Gender": "Female"}
+
+
+def _sliced(page: str, name: str) -> Query:
+    return on_model(lambda m: dashboards.visual(m, page, name, where=_SLICERS))
+
+
+add(
+    "dashboard_executive_sliced",
+    _sliced("executive", "monthly_trends"),
+    _trend_sql(_LEVELS, where="Year = 1999 and Gender = 'Female'"),
+)
+add(
+    "dashboard_executive_segments_sliced",
+    _sliced("executive", "segment_breakdown"),
+    "select SegmentName, cast(DisplayOrder as integer) as DisplayOrder, "
+    + ", ".join(f"{MEASURE_SQL[n]} as {n}" for n in _SEGMENT_NAMES)
+    + " from w, k where Gender = 'Female' group by SegmentName, DisplayOrder",
+)
+add(
+    "dashboard_marketing_sliced",
+    _sliced("marketing", "conversion_trend"),
+    f"""select DateKey, PotentialLoyalists, LoyalConversions, LoyalConversionRate
+        from ({_transitions_sql('DateKey', "pairs where Gender = 'Female' and Year = 1999")})""",
+)
+add(
+    "dashboard_crm_sliced",
+    _sliced("crm", "risk_trend"),
+    _trend_sql(["at_risk_customers", "churned_customers"], where="Year = 1999 and Gender = 'Female'"),
+)
+add(
+    "dashboard_analyst_sliced",
+    _sliced("analyst", "segments"),
+    "select * from (select SegmentName, "
+    + ", ".join(f"{MEASURE_SQL[n]} as {n}" for n in _ANALYST)
+    + " from w, k where Gender = 'Female' group by SegmentName) where total_customers is not null",
+)
+
+# ---------------------------------------------------------------- merged customers and their facts
+
+
+def _returning(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Everyone moves to a branch, and back three months later: the dimension, and one batch
+    of transactions at each place on days of each version."""
+    lake = warehouse(spark, sf_dir)
+    dim, places = lake.table("Dim_Customer"), lake.table("Dim_Location")
+    now = dim.where("IsCurrent").select("CustomerID", "Location")
+    away = scd2.merge_customers(dim, now.select("CustomerID", F.lit("BRANCH").alias("Location")), places, _MERGE_DATE)
+    back = scd2.merge_customers(away, now, places, date(1999, 12, 1))
+    days = F.explode(F.array(*[F.lit(date(1999, m, 15)) for m in (9, 10, 12)]))
+    batch = now.select("CustomerID", F.upper("Location").alias("LocationMatch"), days.alias("Day")).unionByName(
+        now.select("CustomerID", F.lit("BRANCH").alias("LocationMatch"), days.alias("Day"))
+    )
+    return back, batch
+
+
+add(
+    "scd2_merge_with_keys",
+    lambda s, d: _returning(s, d)[0].agg(
+        F.count(F.lit(1)).alias("Versions"),
+        F.count_if("IsCurrent").alias("CurrentVersions"),
+        (F.count(F.lit(1)) - F.countDistinct("CustomerKey")).alias("RepeatedKeys"),
+        F.count_if(
+            F.col("CustomerKey").isNull() | F.col("LocationMatch").isNull() | F.col("FirstTransactionDate").isNull() | F.col("DatedRows").isNull()
+        ).alias("Unfilled"),
+    ),
+    """select (select count(*) from dim_customer) + 2 * count(*) as Versions, count(*) as CurrentVersions,
+        cast(0 as bigint) as RepeatedKeys, cast(0 as bigint) as Unfilled from dim_customer where IsCurrent""",
+)
+
+
+def _returning_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dim, batch = _returning(spark, sf_dir)
+    versions = dim.select("CustomerID", "LocationMatch", "CustomerKey", "StartDate", "EndDate", "DatedRows")
+    joined = scd2.scd2_join(batch, versions, "CustomerID", "Day", spread_by=["CustomerID", "Day"])
+    return joined.groupBy("Day", "StartDate", "EndDate").agg(F.count(F.lit(1)).alias("Transactions"))
+
+
+add(
+    "scd2_merge_returning_customer",
+    _returning_facts,
+    """select Day, StartDate, EndDate, count(*) as Transactions from (
+         select Day, date '1999-09-01' as StartDate, date '1999-11-30' as EndDate from now, days
+         union all
+         select Day, date '1999-12-01', cast(null as date) from now, days) group by all""",
+    now="select CustomerID from dim_customer where IsCurrent",
+    days="select unnest([date '1999-09-15', date '1999-10-15', date '1999-12-15']) as Day",
+)

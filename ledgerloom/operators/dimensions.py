@@ -74,13 +74,18 @@ def location_history(stg_txn: DataFrame) -> DataFrame:
         location_or_default(F.col("CustLocation")).alias("Location"),
         F.col("TransactionDay").alias("_date"),
     )
+    # Dates and counts combine in a hash table on the map side; only the few groups that are
+    # left, one for each spelling, meet the text minimum, which needs sorted rows.
+    spelled = located.groupBy("CustomerID", "Location").agg(
+        F.min("_date").alias("LocStartDate"), F.max("_date").alias("LocEndDate"), F.count("_date").alias("DatedRows")
+    )
     return (
-        located.groupBy("CustomerID", F.upper("Location").alias("LocationMatch"))
+        spelled.groupBy("CustomerID", F.upper("Location").alias("LocationMatch"))
         .agg(
             F.min("Location").alias("Location"),
-            F.min("_date").alias("LocStartDate"),
-            F.max("_date").alias("LocEndDate"),
-            F.count("_date").alias("DatedRows"),
+            F.min("LocStartDate").alias("LocStartDate"),
+            F.max("LocEndDate").alias("LocEndDate"),
+            F.sum("DatedRows").alias("DatedRows"),
         )
         .select("CustomerID", "Location", "LocationMatch", "LocStartDate", "LocEndDate", "DatedRows")
     )
@@ -117,15 +122,23 @@ def scd2_versions(history: DataFrame) -> DataFrame:
 
 
 def customer_rows(
-    history: DataFrame, stg_customer: DataFrame, dim_location: DataFrame, settings: Settings
+    history: DataFrame,
+    stg_customer: DataFrame,
+    dim_location: DataFrame,
+    settings: Settings,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
-    """Customer versions with demographics and location key."""
+    """Customer versions with demographics and location key.
+
+    ``counted`` has the locations of ``history`` for counting hot ones: the written table,
+    where ``history`` is a plan over it.
+    """
     people = customer_demographics(stg_customer, settings.dob_policy)
     places = dim_location.select("LocationKey", F.col("LocationCode").alias("_code"))
     versions = scd2_versions(history).withColumn("_code", location_code(F.col("Location")))
     described = versions.join(people, "CustomerID")
     # a city may be home to a large share of the customers
-    per_place = history.groupBy(location_code(F.col("Location")).alias("_code")).agg(F.count(F.lit(1)).alias("_n"))
+    per_place = (history if counted is None else counted).groupBy(location_code(F.col("Location")).alias("_code")).agg(F.count(F.lit(1)).alias("_n"))
     located = balanced_join(
         described, places, ["_code"], per_place, "_n", spread_by=["CustomerID", "LocationMatch"], how="left"
     )
@@ -156,5 +169,5 @@ def build_dim_customer(
     """Full reload of the customer dimension. Give a written ``history``: keys read it twice."""
     dated = history.where(F.col("LocStartDate").isNotNull())
     keyed = with_surrogate_key(dated, "CustomerKey", ["CustomerID", "LocationMatch"])
-    rows = customer_rows(keyed, stg_customer, dim_location, settings)
+    rows = customer_rows(keyed, stg_customer, dim_location, settings, counted=dated)
     return rows.withColumns({"CreatedDate": F.current_timestamp(), "ModifiedDate": F.current_timestamp()})

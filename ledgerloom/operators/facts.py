@@ -42,7 +42,9 @@ def build_fact_transaction(
     """
     facts = dated_transactions(stg_txn, dim_date)
     if scd_join == "version_key":
-        versions = dim_customer.select("CustomerID", "LocationMatch", "CustomerKey", "LocationKey", "DatedRows")
+        versions = dim_customer.select(
+            "CustomerID", "LocationMatch", "CustomerKey", "LocationKey", "StartDate", "EndDate", "DatedRows"
+        )
         joined = scd2_join(facts, versions, "CustomerID", "Date", "version_key", spread_by=_SPREAD)
         located = joined.withColumn("LocationKey", F.when(F.col("CustLocation").isNotNull(), F.col("LocationKey")))
     else:
@@ -66,14 +68,6 @@ def build_fact_transaction(
     )
 
 
-def with_transaction_key(fact: DataFrame) -> DataFrame:
-    """A unique number per row, in the manner of an identity column: gaps are allowed.
-
-    Assign it in the plan that writes the fact; the written table then fixes the numbers.
-    """
-    return fact.select(F.monotonically_increasing_id().alias("TransactionKey"), *fact.columns)
-
-
 def monthly_volume(fact: DataFrame) -> DataFrame:
     """Transactions and amount per year-month."""
     return fact.groupBy(F.col("year_month").alias("YearMonth")).agg(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,17 +36,24 @@ def duplicated_transactions(fact: DataFrame) -> DataFrame:
     return counts.where(F.col("FactRows") > 1)
 
 
-def orphans(child: DataFrame, parent: DataFrame, key: str, relation: str, parent_key: str | None = None) -> DataFrame:
-    """Rows of ``child`` whose key is not NULL and not in ``parent``, as a count.
+def orphans(child: DataFrame, parents: dict[str, tuple[str, DataFrame]]) -> DataFrame:
+    """For each relation (name to key and parent) the rows of ``child`` with a key that its parent lacks.
 
-    The child is reduced to its distinct keys and their row counts before the join.
+    The child is scanned once: each row gives its keys by relation, they are counted, and
+    only the counts meet the parents. NULL keys have no parent to lack.
     """
-    keys = child.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    known = parent.select(F.col(parent_key or key).alias(key)).distinct()
-    lost = keys.join(known, key, "left_anti")
-    return lost.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("OrphanRows")).select(
-        F.lit(relation).alias("Relation"), "OrphanRows"
+    named = F.explode(
+        F.array(*[F.struct(F.lit(n).alias("Relation"), F.col(k).cast("long").alias("key")) for n, (k, _) in parents.items()])
     )
+    keys = child.select(named.alias("r")).select("r.*").groupBy("Relation", "key").agg(F.count(F.lit(1)).alias("_rows"))
+    known = reduce(
+        DataFrame.unionByName,
+        [df.select(F.lit(n).alias("Relation"), F.col(k).cast("long").alias("key")) for n, (k, df) in parents.items()],
+    ).withColumn("_known", F.lit(True))
+    # a parent key that is not unique must not count a child twice
+    lost = keys.join(known.dropDuplicates(["Relation", "key"]), ["Relation", "key"], "left")
+    missing = F.col("_known").isNull() & F.col("key").isNotNull()
+    return lost.groupBy("Relation").agg(F.sum(F.when(missing, F.col("_rows")).otherwise(0)).alias("OrphanRows"))
 
 
 def foreign_key_report(tables: dict[str, DataFrame]) -> DataFrame:
@@ -52,19 +61,30 @@ def foreign_key_report(tables: dict[str, DataFrame]) -> DataFrame:
     snapshot, fact = tables["Fact_CustomerSnapshot"], tables["Fact_Transaction"]
     customer, location = tables["Dim_Customer"], tables["Dim_Location"]
     day, segment = tables["Dim_Date"], tables["Dim_Segment"]
-    checks = [
-        orphans(snapshot, customer, "CustomerKey", "snapshot-customer"),
-        orphans(snapshot, day, "DateKey", "snapshot-date"),
-        orphans(snapshot, segment, "SegmentKey", "snapshot-segment"),
-        orphans(fact, customer, "CustomerKey", "fact-customer"),
-        orphans(fact, day, "DateKey", "fact-date"),
-        orphans(fact, location, "LocationKey", "fact-location"),
-        orphans(customer, location, "LocationKey", "customer-location"),
+    relations = [
+        (
+            snapshot,
+            {
+                "snapshot-customer": ("CustomerKey", customer),
+                "snapshot-date": ("DateKey", day),
+                "snapshot-segment": ("SegmentKey", segment),
+            },
+        ),
+        (
+            fact,
+            {
+                "fact-customer": ("CustomerKey", customer),
+                "fact-date": ("DateKey", day),
+                "fact-location": ("LocationKey", location),
+            },
+        ),
+        (customer, {"customer-location": ("LocationKey", location)}),
     ]
-    report = checks[0]
-    for check in checks[1:]:
-        report = report.unionByName(check)
-    return report
+    found = reduce(DataFrame.unionByName, [orphans(child, parents) for child, parents in relations])
+    names = [(name,) for _, parents in relations for name in parents]
+    # an empty child has no rows to report on, and no orphans
+    wanted = snapshot.sparkSession.createDataFrame(names, "Relation string")
+    return wanted.join(found, "Relation", "left").select("Relation", F.coalesce("OrphanRows", F.lit(0)).alias("OrphanRows"))
 
 
 def score_domains(snapshot: DataFrame) -> DataFrame:

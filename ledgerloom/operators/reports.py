@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.cleanse import DOB_DEFAULT, customer_id, fmt_pct, parse_dmy
@@ -23,11 +23,13 @@ PROFILED_COLUMNS = {
 }
 
 
-def share_of_total(count: str, digits: int) -> Column:
-    """Percent of the summed count, for a frame that is already one row per group."""
-    total = F.sum(count).over(Window.partitionBy())
-    exact = F.col(count).cast("decimal(20,0)") * 100 / total.cast("decimal(20,0)")
-    return F.round(exact, digits).cast(f"decimal(7,{digits})")
+def with_share(groups: DataFrame, total: DataFrame, count: str, digits: int) -> DataFrame:
+    """``groups`` with ``Pct``, the percent that ``count`` is of the one value of ``total``.
+
+    The total is a subquery of its own, so that the groups, however many, stay where they are.
+    """
+    exact = F.col(count).cast("decimal(20,0)") * 100 / total.scalar().cast("decimal(20,0)")
+    return groups.withColumn("Pct", F.round(exact, digits).cast(f"decimal(7,{digits})"))
 
 
 def distribution(
@@ -38,8 +40,11 @@ def distribution(
     The share runs over the groups, not over the rows.
     """
     by = [by] if isinstance(by, str) else by
-    grouped = df.groupBy(*by).agg(F.count(F.lit(1)).alias(count)).withColumn("Pct", share_of_total(count, digits))
-    return grouped if top is None else grouped.orderBy(F.desc(count), *by).limit(top)
+    grouped = df.groupBy(*by).agg(F.count(F.lit(1)).alias(count))
+    total = grouped.agg(F.sum(count))
+    if top is not None:
+        grouped = grouped.orderBy(F.desc(count), *by).limit(top)
+    return with_share(grouped, total, count, digits)
 
 
 def customers_by_place(dim_customer: DataFrame, dim_location: DataFrame, attribute: str = "State") -> DataFrame:
@@ -50,7 +55,7 @@ def customers_by_place(dim_customer: DataFrame, dim_location: DataFrame, attribu
     per_key = dim_customer.where("IsCurrent").groupBy("LocationKey").agg(F.count(F.lit(1)).alias("_n"))
     named = per_key.join(dim_location.select("LocationKey", attribute), "LocationKey", "left")
     counts = named.groupBy(attribute).agg(F.sum("_n").alias("CustomerCount"))
-    return counts.withColumn("Pct", share_of_total("CustomerCount", 2))
+    return with_share(counts, per_key.agg(F.sum("_n")), "CustomerCount", 2)
 
 
 def with_percent_text(df: DataFrame, digits: int = 2, col: str = "Pct") -> DataFrame:
@@ -58,21 +63,30 @@ def with_percent_text(df: DataFrame, digits: int = 2, col: str = "Pct") -> DataF
 
 
 def profile_raw(raw: DataFrame) -> DataFrame:
-    """Rows, missing values, customers and date range of the raw table, in one pass."""
+    """Rows, missing values, customers and date range of the raw table.
+
+    Customers are counted in an aggregation of their own: beside text ranges a distinct
+    count would sort the whole table.
+    """
     gaps = [
         F.count_if(F.col(name).isNull() | (F.col(name) == "nan")).alias(alias)
         for alias, name in PROFILED_COLUMNS.items()
     ]
     parsed = parse_dmy(F.col("TransactionDate"))
-    return raw.agg(
+    plain = raw.agg(
         F.count(F.lit(1)).alias("TotalRows"),
         *gaps,
-        F.countDistinct("CustomerID").alias("UniqueCustomers"),
         F.min("TransactionDate").alias("MinDate"),
         F.max("TransactionDate").alias("MaxDate"),
         F.min(parsed).alias("MinParsedDate"),
         F.max(parsed).alias("MaxParsedDate"),
     )
+    return plain.withColumn("UniqueCustomers", distinct_count(raw, "CustomerID").scalar())
+
+
+def distinct_count(df: DataFrame, column: str) -> DataFrame:
+    """How many different values a column has, NULL left out, as one row."""
+    return df.where(F.col(column).isNotNull()).select(column).distinct().agg(F.count(F.lit(1)))
 
 
 def approximate_customers(raw: DataFrame, error: float = 0.01) -> DataFrame:
@@ -142,9 +156,8 @@ def segment_distribution(snapshot: DataFrame, dim_segment: DataFrame) -> DataFra
     """
     counts = snapshot.groupBy("SegmentKey").agg(F.count(F.lit(1)).alias("CustomerMonths"))
     named = counts.join(dim_segment.select("SegmentKey", "SegmentName", "DisplayOrder"), "SegmentKey")
-    return named.withColumn("Pct", share_of_total("CustomerMonths", 2)).select(
-        "SegmentName", "DisplayOrder", "CustomerMonths", "Pct"
-    )
+    total = named.agg(F.sum("CustomerMonths"))
+    return with_share(named, total, "CustomerMonths", 2).select("SegmentName", "DisplayOrder", "CustomerMonths", "Pct")
 
 
 def latest_risk(snapshot: DataFrame, last_date_key: int) -> DataFrame:
@@ -176,12 +189,18 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
 def top_n_other(df: DataFrame, dim: str, measure: str, n: int, other: str = "Other") -> DataFrame:
     """Sum a measure by ``dim``; ranks after ``n`` fold into one row.
 
-    Ties share a dense rank. The ranking window sees one row per value of ``dim``.
+    Ties share a dense rank: what counts is the ``n``-th largest distinct sum, which is found
+    by a distributed top-n and compared with each group's own.
     """
     totals = df.groupBy(dim).agg(F.sum(measure).alias(measure))
-    ranked = totals.withColumn("_rank", F.dense_rank().over(Window.orderBy(F.desc(measure))))
-    group = F.when(F.col("_rank") <= n, F.col(dim)).otherwise(other)
-    return ranked.groupBy(group.alias(f"{dim}Group")).agg(F.sum(measure).alias(measure))
+    largest = totals.select(measure).where(F.col(measure).isNotNull()).distinct().orderBy(F.desc(measure)).limit(n)
+    # without n distinct sums, groups whose sum is NULL rank next and belong to the first n too
+    least, found = largest.agg(F.min(measure)).scalar(), largest.agg(F.count(F.lit(1))).scalar()
+    ranked = totals.select(dim, measure, least.alias("_least"), found.alias("_found"))
+    first = F.when(F.col(measure).isNull(), F.col("_found") < n).otherwise(F.col(measure) >= F.col("_least"))
+    group = F.when(first, F.col(dim)).otherwise(other)
+    ranked = ranked.select(group.alias(f"{dim}Group"), measure)
+    return ranked.groupBy(f"{dim}Group").agg(F.sum(measure).alias(measure))
 
 
 def sample_facts(fact: DataFrame, dim_customer: DataFrame, dim_date: DataFrame, n: int = 20) -> DataFrame:

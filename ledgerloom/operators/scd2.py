@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.cleanse import location_code
 from ledgerloom.operators.keys import with_surrogate_key
 from ledgerloom.operators.skew import balanced_join
+from ledgerloom.sources.workspace import cut_lineage
 
 FAR_FUTURE = date(9999, 12, 31)
 
@@ -24,7 +27,9 @@ def scd2_join(
 ) -> DataFrame:
     """Join facts to dimension versions.
 
-    ``version_key``: equal key and equal version attribute, so at most one version.
+    ``version_key``: equal key and equal version attribute. A customer who came back has
+    several versions with one attribute; the one whose window holds the date is taken, and
+    the last of them where none does, so a fact meets one version at most.
     ``date_range``: equal key and a date within [StartDate, EndDate], open where EndDate
     is NULL; a fact meets every version that fits. ``versions`` carries ``DatedRows``,
     the number of facts behind each version, from which hot keys are found without
@@ -34,7 +39,14 @@ def scd2_join(
     counts = versions.select(key, *([version] if mode == "version_key" else []), "DatedRows")
     small = versions.drop("DatedRows")
     if mode == "version_key":
-        return balanced_join(facts, small, [key, version], counts, "DatedRows", spread_by)
+        others = [c for c in small.columns if c not in (key, version)]
+        fields = ["StartDate", *[c for c in others if c != "StartDate"]]
+        of_key = small.groupBy(key, version).agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("_versions"))
+        joined = balanced_join(facts, of_key, [key, version], counts, "DatedRows", spread_by)
+        holds = lambda v: F.col(date_col).between(v["StartDate"], F.coalesce(v["EndDate"], F.lit(FAR_FUTURE)))
+        fitting = F.try_element_at(F.filter("_versions", holds), F.lit(-1))
+        picked = joined.withColumn("_version", F.coalesce(fitting, F.element_at("_versions", -1)))
+        return picked.select(*[c for c in joined.columns if c != "_versions"], *[f"_version.{c}" for c in others])
     if mode == "date_range":
         inside = F.col(date_col).between(F.col("StartDate"), F.coalesce("EndDate", F.lit(FAR_FUTURE)))
         return balanced_join(facts, small, [key], counts, "DatedRows", spread_by, condition=inside)
@@ -54,10 +66,15 @@ def scd2_merge(
 
     A changed tracked column closes the current row the day before ``eff_date`` and opens
     a new one; a new key opens its first row; columns in ``type1`` are overwritten on the
-    current row. Closed rows stay as they are. ``updates`` has one row per key. One join
-    of the current rows with the updates makes all of this. New rows have NULL in columns
-    that the updates do not carry, and the next free numbers as ``surrogate``.
+    current row. Closed rows stay as they are. ``updates`` has one row per key: a second
+    one raises an error, as does an ``eff_date`` on or before the start of a row that it
+    would close. One join of the current rows with the updates makes all of this. New rows
+    have NULL in columns that the updates do not carry, and the next free numbers as
+    ``surrogate``.
     """
+    twice = updates.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).collect()
+    if twice:
+        raise ValueError(f"{key} {twice[0][0]!r} has several rows in one batch")
     columns = current.columns
     closed = current.where(~F.col("IsCurrent"))
     old = current.where("IsCurrent").select(F.struct(*columns).alias("o"), F.col(key).alias("_key"))
@@ -80,7 +97,9 @@ def scd2_merge(
         return F.col(f"n.{name}") if name in updates.columns else F.lit(None)
 
     def shut(name):
-        fixed = {"EndDate": F.date_sub(F.lit(eff_date), 1), "IsCurrent": F.lit(False)}
+        early = F.concat(F.lit(f"{eff_date} is not after the start of the current row of "), F.col("_key").cast("string"))
+        end = F.when(F.col("o.StartDate") >= F.lit(eff_date), F.raise_error(early)).otherwise(F.date_sub(F.lit(eff_date), 1))
+        fixed = {"EndDate": end, "IsCurrent": F.lit(False)}
         return fixed.get(name, F.col(f"o.{name}"))
 
     def kept(name):
@@ -94,17 +113,60 @@ def scd2_merge(
         .otherwise(F.array(row(kept)))
     )
     merged = both.select(F.explode(rows).alias("r")).select("r.*").unionByName(closed)
-    return merged if surrogate is None else _number_new_rows(merged, surrogate, [key, "StartDate"])
-
-
-def _number_new_rows(merged: DataFrame, surrogate: str, business_key: list[str]) -> DataFrame:
-    last = merged.agg(F.coalesce(F.max(surrogate), F.lit(0))).first()[0]
+    if surrogate is None:
+        return merged
+    last = current.agg(F.coalesce(F.max(surrogate), F.lit(0))).first()[0]
+    # written once: the join then runs once, and the keys read the opened rows from files
+    merged = cut_lineage(merged, f"scd2-merge-{uuid.uuid4().hex}")
     fresh = merged.where(F.col(surrogate).isNull()).drop(surrogate)
-    numbered = with_surrogate_key(fresh, surrogate, business_key)
+    numbered = with_surrogate_key(fresh, surrogate, [key, "StartDate"])
     shifted = numbered.withColumn(surrogate, (F.col(surrogate) + F.lit(last)).cast(merged.schema[surrogate].dataType))
     return merged.where(F.col(surrogate).isNotNull()).unionByName(shifted)
 
 
+def merge_customers(
+    current: DataFrame, updates: DataFrame, dim_location: DataFrame, eff_date: date, counts: DataFrame | None = None
+) -> DataFrame:
+    """:func:`scd2_merge` of the customer dimension, with all columns of opened rows filled.
+
+    ``updates`` has CustomerID, Location and any of the descriptive columns, which are
+    overwritten on the current row; those it lacks keep the customer's last values. The
+    location key, the name to match by, the first dates and the load stamps follow from
+    these. ``counts`` (CustomerID, DatedRows) tells how many transactions of the batch stand
+    behind a customer, for finding hot keys later.
+    """
+    described = [c for c in ("DateOfBirth", "Age", "AgeGroup", "Gender", "CustomerType") if c in current.columns]
+    given = [c for c in described if c in updates.columns]
+    places = dim_location.select("LocationKey", F.col("LocationCode").alias("_code"))
+    known = current.where("IsCurrent").select(
+        "CustomerID", "FirstTransactionDateEver", *[F.col(c).alias(f"_old_{c}") for c in described]
+    )
+    full = (
+        updates.select("CustomerID", "Location", *given)
+        .withColumn("_code", location_code(F.col("Location")))
+        .join(places, "_code", "left")
+        .join(known, "CustomerID", "left")
+    )
+    if counts is not None:
+        full = full.join(counts.select("CustomerID", "DatedRows"), "CustomerID", "left")
+    else:
+        full = full.withColumn("DatedRows", F.lit(None).cast("long"))
+    start = F.lit(eff_date).cast("date")
+    filled = full.select(
+        "CustomerID",
+        "Location",
+        *[(F.coalesce(c, f"_old_{c}") if c in given else F.col(f"_old_{c}")).alias(c) for c in described],
+        F.upper("Location").alias("LocationMatch"),
+        "LocationKey",
+        start.alias("FirstTransactionDate"),
+        F.coalesce("FirstTransactionDateEver", start).alias("FirstTransactionDateEver"),
+        F.coalesce("DatedRows", F.lit(0)).alias("DatedRows"),
+        F.current_timestamp().alias("CreatedDate"),
+        F.current_timestamp().alias("ModifiedDate"),
+    )
+    return scd2_merge(current, filled, "CustomerID", ["LocationMatch"], described, eff_date, surrogate="CustomerKey")
+
+
 def scd_version_counts(dim_customer: DataFrame, more_than: int = 1) -> DataFrame:
     """Customers with more than ``more_than`` versions."""
     counts = dim_customer.groupBy("CustomerID").agg(F.count(F.lit(1)).alias("VersionCount"))

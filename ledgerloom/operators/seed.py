@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.cleanse import parse_dmy
 from ledgerloom.operators.quantile import exact_percentile
-from ledgerloom.sources.readers import SEED_AMOUNT
+from ledgerloom.operators.reports import distinct_count
+from ledgerloom.sources.readers import SEED_AMOUNT, finite_number
 from ledgerloom.sources.workspace import cut_lineage
 
 CAP_PERCENTILE = 0.99
@@ -59,23 +60,20 @@ def verify_source(raw: DataFrame) -> DataFrame:
 
     Amounts and balances that are not numbers count as missing.
     """
-    amount, balance = _number("TransactionAmount"), _number("CustAccountBalance")
+    amount, balance = finite_number("TransactionAmount"), finite_number("CustAccountBalance")
     parsed = parse_dmy(F.col("TransactionDate"))
-    return raw.agg(
+    plain = raw.agg(
         F.min("TransactionDate").alias("MinDate"),
         F.max("TransactionDate").alias("MaxDate"),
         F.min(parsed).alias("MinParsedDate"),
         F.max(parsed).alias("MaxParsedDate"),
         F.count(F.lit(1)).alias("TotalRows"),
-        F.countDistinct("CustomerID").alias("UniqueCustomers"),
-        F.countDistinct("CustLocation").alias("UniqueLocations"),
         F.avg(amount).alias("AvgAmount"),
         F.max(amount).alias("MaxAmount"),
         F.avg(balance).alias("AvgBalance"),
         F.min(balance).alias("MinBalance"),
     )
+    for column, alias in (("CustomerID", "UniqueCustomers"), ("CustLocation", "UniqueLocations")):
+        plain = plain.withColumn(alias, distinct_count(raw, column).scalar())
+    return plain
 
-
-def _number(name: str):
-    number = F.col(name).try_cast("double")
-    return F.when(~F.isnan(number), number)

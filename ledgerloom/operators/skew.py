@@ -66,13 +66,6 @@ def skew_join(
     return joined.drop("_slice")
 
 
-def spark_broadcasts(df: DataFrame) -> bool:
-    """Whether Spark's own size estimate puts ``df`` below its broadcast threshold."""
-    threshold = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= threshold
-
-
 def balanced_join(
     big: DataFrame,
     small: DataFrame,
@@ -83,12 +76,10 @@ def balanced_join(
     how: str = "inner",
     condition: Column | None = None,
 ) -> DataFrame:
-    """A plain join where Spark will broadcast ``small``, and else one with hot keys cut.
+    """A join with hot keys cut, whatever way Spark will take for it.
 
-    A broadcast join moves no row of ``big``, so hot keys do not matter to it and are not
-    looked for. ``counts`` and ``rows`` are as in :func:`hot_keys`.
+    The plan does not depend on sizes or thresholds at the time it is made: slices change
+    nothing where Spark comes to broadcast ``small``. ``counts`` and ``rows`` are as in
+    :func:`hot_keys`; give a written table.
     """
-    if not spark_broadcasts(small):
-        return skew_join(big, small, keys, hot_keys(counts, keys, rows), spread_by, how, condition)
-    joined = big.join(small, keys, how)
-    return joined if condition is None else joined.where(condition)
+    return skew_join(big, small, keys, hot_keys(counts, keys, rows), spread_by, how, condition)

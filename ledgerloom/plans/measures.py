@@ -18,7 +18,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,6 +39,29 @@ _IGNORE_DATE_FILTERS = (QUARTER, YEAR)
 Where = dict[str, object]
 
 
+@dataclass(frozen=True)
+class Between:
+    """A filter value: from ``low`` to ``high``, both included, None for an open end."""
+
+    low: object = None
+    high: object = None
+
+
+#: A test inside a measure takes the place of a filter or group on the columns it tests.
+REPLACED: dict[str, frozenset[str]] = {
+    "active": frozenset({"ChurnFlag", "AtRiskFlag"}),
+    "new": frozenset({"TrendCategory"}),
+    "churned": frozenset({"ChurnFlag"}),
+    "at_risk": frozenset({"AtRiskFlag"}),
+    "complaints": frozenset({"ComplaintFlag"}),
+    "growing": frozenset({"GrowthCategory"}),
+    "declining": frozenset({"GrowthCategory"}),
+    **dict.fromkeys(
+        ("champions", "loyal", "potential", "hibernating", "churned_segment"), frozenset({"SegmentCode"})
+    ),
+}
+
+
 # ---------------------------------------------------------------- additive sums
 
 
@@ -191,10 +214,21 @@ class _Filter:
 
 
 def _test(value: object, column: Column) -> Column:
+    if isinstance(value, Between):
+        ends = [] if value.low is None else [column >= F.lit(value.low)]
+        ends += [] if value.high is None else [column <= F.lit(value.high)]
+        return reduce(and_, ends, column.isNotNull())
     values = list(value) if isinstance(value, (list, tuple, set)) else [value]
     return column.isin(*values)
 
 
+def _fits(value: object, found: object) -> bool:
+    """The same test for the few months that the driver knows."""
+    if isinstance(value, Between):
+        return found is not None and (value.low is None or found >= value.low) and (value.high is None or found <= value.high)
+    return found in (value if isinstance(value, (list, tuple, set)) else [value])
+
+
 def _split(model: Model, where: Where | None) -> _Filter:
     where = where or {}
     dates = {k: v for k, v in where.items() if k in DATE_ATTRIBUTES}
@@ -202,10 +236,7 @@ def _split(model: Model, where: Where | None) -> _Filter:
     other = {k: v for k, v in where.items() if k not in dates and k not in segment}
 
     def fits(month: dict) -> bool:
-        return all(
-            month[name] in (value if isinstance(value, (list, tuple, set)) else [value])
-            for name, value in dates.items()
-        )
+        return all(_fits(value, month[name]) for name, value in dates.items())
 
     return _Filter([m["DateKey"] for m in model.months if fits(m)], segment, other)
 
@@ -224,15 +255,18 @@ def monthly_sums(
 
     Only dimensions that ``attributes`` or ``where`` name are joined. The customer
     dimension is joined to the rows, as its attributes differ by customer; segment,
-    location and date are joined after the rows are summed by their keys.
+    location and date are joined after the rows are summed by their keys. Filters on the
+    rows themselves and on customers are applied before the sums and make no groups.
     """
     where = where or {}
     wanted = attributes | set(where)
     _check_attributes(wanted)
     rows = model.snapshot.where(F.col("DateKey").isin(*months) if months else F.lit(False))
     own = snapshot_attributes()
+    for name in [n for n in where if n in own]:
+        rows = rows.where(_test(where[name], own[name]))
     keys = {"DateKey": F.col("DateKey")}
-    keys.update({name: own[name] for name in wanted if name in own})
+    keys.update({name: own[name] for name in attributes if name in own})
     if wanted & set(SEGMENT_ATTRIBUTES):
         keys["SegmentKey"] = F.col("SegmentKey")
     of_customer = wanted & set(CUSTOMER_ATTRIBUTES)
@@ -240,7 +274,9 @@ def monthly_sums(
     if of_customer or of_location:
         picked = sorted(of_customer) + (["LocationKey"] if of_location else [])
         rows = rows.join(model.dim_customer.select("CustomerKey", *picked), "CustomerKey", "left")
-        keys.update({name: F.col(name) for name in picked})
+        for name in [n for n in where if n in CUSTOMER_ATTRIBUTES]:
+            rows = rows.where(_test(where[name], F.col(name)))
+        keys.update({name: F.col(name) for name in picked if name not in CUSTOMER_ATTRIBUTES or name in attributes})
     available = _sums(model)
     summed = rows.groupBy(*[column.alias(name) for name, column in keys.items()]).agg(
         *[available[name].alias(name) for name in sums]
@@ -254,11 +290,39 @@ def monthly_sums(
     of_date = wanted & set(DATE_ATTRIBUTES)
     if of_date:
         summed = summed.join(model.dim_date.select("DateKey", *sorted(of_date)), "DateKey", "left")
-    for name, value in where.items():
-        summed = summed.where(_test(value, F.col(name)))
+    for name in [n for n in where if n not in own and n not in CUSTOMER_ATTRIBUTES]:
+        summed = summed.where(_test(where[name], F.col(name)))
     return summed
 
 
+def _held(where: Where, sums: list[str]) -> Where:
+    """Filters that some of the asked sums replace: they go into the other sums one by one."""
+    replaced = frozenset().union(*(REPLACED.get(name, frozenset()) for name in sums))
+    return {name: value for name, value in where.items() if name in replaced}
+
+
+def _passes(where: Where, name: str) -> Column:
+    """The filters of ``where`` that hold for the sum ``name``."""
+    tests = [
+        F.coalesce(_test(value, F.col(column)), F.lit(False))
+        for column, value in where.items()
+        if column not in REPLACED.get(name, frozenset())
+    ]
+    return reduce(and_, tests, F.lit(True))
+
+
+def _over_replaced_groups(wide: DataFrame, by: list[str], columns: dict[str, str]) -> DataFrame:
+    """Sums (column to sum name) whose groups differ in replaced columns only become one.
+
+    The window sees one row per group of the report.
+    """
+    for column, name in columns.items():
+        rest = [b for b in by if b not in REPLACED.get(name, frozenset())]
+        if len(rest) < len(by):
+            wide = wide.withColumn(column, F.sum(column).over(Window.partitionBy(*rest)))
+    return wide
+
+
 def measures(
     model: Model,
     names: list[str] | str,
@@ -271,7 +335,10 @@ def measures(
     ``anchor="last"``: "now" is the last month of the whole snapshot, and a date filter
     that leaves this month out leaves the measures of that month empty. ``"selected"``:
     "now" is the last month inside the date filter. Terms a quarter or a year back look
-    past date filters in both cases.
+    past date filters in both cases. A filter is a value, a list of values, or
+    :class:`Between`. Where a measure tests a column itself, its test takes the place of
+    filters and groups on that column: churned customers by churn flag are the same number
+    in both groups.
     """
     names = [names] if isinstance(names, str) else list(names)
     by = list(by or [])
@@ -303,21 +370,18 @@ def measures(
     }
     months = sorted({key for keys in in_points.values() for key in keys})
 
-    attributes = set(by) | set(chosen.segment)
     sums = sorted({name for name, _ in terms.asked})
-    base = monthly_sums(model, sums, attributes, months, chosen.other)
-
-    in_segment = F.lit(True)
-    for name, value in chosen.segment.items():
-        in_segment = in_segment & F.coalesce(_test(value, F.col(name)), F.lit(False))
+    held = _held(chosen.other, sums)
+    attributes = set(by) | set(chosen.segment) | set(held)
+    base = monthly_sums(model, sums, attributes, months, {k: v for k, v in chosen.other.items() if k not in held})
 
     def at_point(name: str, point: str) -> Column:
         test = F.col("DateKey").isin(*in_points[point]) if in_points[point] else F.lit(False)
-        if point != ALL_SEGMENTS:
-            test = test & in_segment
+        test = test & _passes(held if point == ALL_SEGMENTS else {**held, **chosen.segment}, name)
         return F.sum(F.when(test, F.col(name))).alias(f"{name}_{point}")
 
     wide = base.groupBy(*by).agg(*[at_point(name, point) for name, point in sorted(terms.asked)])
+    wide = _over_replaced_groups(wide, by, {f"{n}_{p}": n for n, p in terms.asked})
     if any(point == ALL_SEGMENTS for _, point in terms.asked):
         rest = [name for name in by if name not in SEGMENT_ATTRIBUTES]
         over_segments = Window.partitionBy(*rest)  # a few rows per group: one per segment
@@ -349,10 +413,16 @@ def trend(model: Model, names: list[str] | str, by: list[str] | None = None, whe
         raise ValueError("trend() takes measures of a single month")
     sums = sorted({name for name, _ in terms.asked})
     attributes = set(by) | {"YearMonth"}
-    base = monthly_sums(model, sums, attributes, chosen.months, {**chosen.segment, **chosen.other})
-    per_month = base.groupBy("DateKey", "YearMonth", *by).agg(
-        *[F.sum(name).alias(f"{name}_{point}") for name, point in sorted(terms.asked)]
+    where = {**chosen.segment, **chosen.other}
+    held = _held(where, sums)
+    base = monthly_sums(
+        model, sums, attributes | set(held), chosen.months, {k: v for k, v in where.items() if k not in held}
     )
+    groups = ["DateKey", "YearMonth", *by]
+    per_month = base.groupBy(*groups).agg(
+        *[F.sum(F.when(_passes(held, name), F.col(name))).alias(f"{name}_{point}") for name, point in sorted(terms.asked)]
+    )
+    per_month = _over_replaced_groups(per_month, groups, {f"{n}_{p}": n for n, p in terms.asked})
     return per_month.select("DateKey", "YearMonth", *by, *[c.alias(n) for n, c in columns.items()])
 
 
@@ -360,11 +430,8 @@ def last_months(model: Model) -> DataFrame:
     """The month keys that anchor the measures, one row."""
     a = model.anchors()
     labels = {m["DateKey"]: m["YearMonth"] for m in model.months}
-    return model.snapshot.agg(F.max("DateKey").alias("LastDataDateKey")).select(
-        "LastDataDateKey",
-        F.lit(labels.get(a.last)).alias("LastDataMonth"),
-        F.lit(a.previous).cast("int").alias("PrevDataDateKey"),
-    )
+    row = (a.last, labels.get(a.last), a.previous)  # the model knows its months already
+    return model.spark.createDataFrame([row], "LastDataDateKey int, LastDataMonth string, PrevDataDateKey int")
 
 
 def anchor(model: Model, where: Where | None = None) -> int | None:

@@ -48,6 +48,8 @@ def snapshot_attributes() -> dict[str, Column]:
         "ChurnFlag": F.col("ChurnFlag"),
         "AtRiskFlag": F.col("AtRiskFlag"),
         "ComplaintFlag": F.col("ComplaintFlag"),
+        "TotalTransactionAmount": F.col("TotalTransactionAmount"),
+        "FinalAccountBalance": F.col("FinalAccountBalance"),
     }
 
 

@@ -167,7 +167,7 @@ def transitions(model: Model, by: list[str] | None = None, per_month: bool = Fal
     return counted.select("*", *[_rate(*names) for names in _RATES])
 
 
-def loyalty_funnel(model: Model) -> DataFrame:
+def loyalty_funnel(model: Model, where: Where | None = None) -> DataFrame:
     """Stages of the funnel for the month before the last: New, Potential, converted to Loyal."""
     stages = [("New", "NewCustomers"), ("Potential Loyalists", "PotentialLoyalists"), ("Converted to Loyal", "LoyalConversions")]
     rows = [
@@ -176,7 +176,7 @@ def loyalty_funnel(model: Model) -> DataFrame:
         )
         for i, (stage, column) in enumerate(stages, start=1)
     ]
-    return transitions(model).select(F.explode(F.array(*rows)).alias("s")).select("s.*")
+    return transitions(model, where=where).select(F.explode(F.array(*rows)).alias("s")).select("s.*")
 
 
 def converted_customers(model: Model) -> DataFrame:

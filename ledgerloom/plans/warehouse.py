@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ledgerloom.config import Settings
 from ledgerloom.functions.calendar import build_dim_date
 from ledgerloom.operators.dimensions import build_dim_customer, build_dim_location, location_history
-from ledgerloom.operators.facts import build_fact_transaction, with_transaction_key
+from ledgerloom.operators.facts import build_fact_transaction
 from ledgerloom.operators.snapshot import build_snapshot, monthly_activity
 from ledgerloom.operators.staging import stage_customers, stage_locations, stage_transactions
 from ledgerloom.sources.readers import segment_rules
@@ -161,8 +161,15 @@ class Warehouse:
             self.table("Dim_Location"),
             self.settings.scd_join,
         )
-        stamped = load_stamped(with_transaction_key(fact))
-        return write_fact(stamped, "Fact_Transaction", self.directory, "year_month", "CustomerKey", self._slices())
+        return write_fact(
+            load_stamped(fact),
+            "Fact_Transaction",
+            self.directory,
+            "TransactionKey",
+            "year_month",
+            "CustomerKey",
+            self._slices(),
+        )
 
     def _monthly_activity(self) -> DataFrame:
         activity = monthly_activity(self.table("Fact_Transaction"), self.settings.cutoff)
@@ -183,13 +190,12 @@ class Warehouse:
 
     def append_transactions(self, fact_rows: DataFrame) -> DataFrame:
         """Add fact rows of a later batch, with keys above the present ones."""
-        present = self.table("Fact_Transaction")
-        last = present.agg(F.coalesce(F.max("TransactionKey"), F.lit(0))).first()[0]
-        keyed = with_transaction_key(fact_rows).withColumn("TransactionKey", F.col("TransactionKey") + F.lit(last + 1))
+        self.table("Fact_Transaction")
         self._tables["Fact_Transaction"] = append_fact(
-            load_stamped(keyed).select(*present.columns),
+            load_stamped(fact_rows),
             "Fact_Transaction",
             self.directory,
+            "TransactionKey",
             "year_month",
             "CustomerKey",
             self._slices(),

@@ -27,8 +27,13 @@ def read_seed_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _number_or(name: str, default: float):
+    return F.coalesce(finite_number(name), F.lit(default))
+
+
+def finite_number(name: str):
+    """A text column as a number; NULL for what is none, for NaN and for infinite values."""
     number = F.trim(name).try_cast("double")
-    return F.coalesce(F.when(~F.isnan(number), number), F.lit(default))
+    return F.when(~F.isnan(number) & (F.abs(number) < F.lit(float("inf"))), number)
 
 
 def read_raw(spark: SparkSession, source: str | dict) -> DataFrame:
@@ -44,14 +49,13 @@ def read_raw(spark: SparkSession, source: str | dict) -> DataFrame:
     return table.select([F.col(name).cast("string").alias(name) for name in RAW_COLUMNS])
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of a source out to all cores if it comes in fewer pieces than that.
+def spread(df: DataFrame, pieces: int | None) -> DataFrame:
+    """Deal the rows of a source out to ``pieces`` tasks; None leaves it as it is.
 
-    Files with one row group each are read by one task, however many cores wait. A source
-    of many pieces, as any large one is, is left as it is.
+    Files with one row group each are read by one task, however many cores wait. Ask for it
+    where a source is known to come in few such files.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df if pieces is None else df.repartition(pieces)
 
 
 def segment_rules(spark: SparkSession) -> DataFrame:

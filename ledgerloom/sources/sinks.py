@@ -36,20 +36,51 @@ def _laid_out(df: DataFrame, partition_by: str, cluster_by: str | None, slices:
     return grouped.drop("_slice")
 
 
+def keyed_layout(
+    df: DataFrame, key: str, partition_by: str, cluster_by: str | None = None, slices: int = 1, after: int = -1
+) -> DataFrame:
+    """Rows laid out for the write, and then numbered from ``after`` + 1 on, with gaps.
+
+    The number is given in the task that writes the row, after the last exchange, in the
+    manner of an identity column. A task that is run again thus numbers and writes its own
+    rows anew, and no row that another task has read already changes its number.
+    """
+    laid_out = _laid_out(df, partition_by, cluster_by, slices)
+    number = F.monotonically_increasing_id() + F.lit(after + 1)
+    return laid_out.select(number.alias(key), *laid_out.columns)
+
+
 def write_fact(
-    df: DataFrame, name: str, directory: str, partition_by: str, cluster_by: str | None = None, slices: int = 1
+    df: DataFrame,
+    name: str,
+    directory: str,
+    key: str,
+    partition_by: str,
+    cluster_by: str | None = None,
+    slices: int = 1,
 ) -> DataFrame:
-    """Replace a partitioned fact."""
+    """Replace a partitioned fact; ``key`` is its new number."""
     path = os.path.join(directory, name)
-    _laid_out(df, partition_by, cluster_by, slices).write.mode("overwrite").partitionBy(partition_by).parquet(path)
+    rows = keyed_layout(df, key, partition_by, cluster_by, slices)
+    rows.write.mode("overwrite").partitionBy(partition_by).parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
 def append_fact(
-    df: DataFrame, name: str, directory: str, partition_by: str, cluster_by: str | None = None, slices: int = 1
+    df: DataFrame,
+    name: str,
+    directory: str,
+    key: str,
+    partition_by: str,
+    cluster_by: str | None = None,
+    slices: int = 1,
 ) -> DataFrame:
+    """Add rows to a partitioned fact, numbered above the present ones."""
     path = os.path.join(directory, name)
-    _laid_out(df, partition_by, cluster_by, slices).write.mode("append").partitionBy(partition_by).parquet(path)
+    present = df.sparkSession.read.parquet(path)
+    last = present.agg(F.coalesce(F.max(key), F.lit(-1))).first()[0]
+    rows = keyed_layout(df, key, partition_by, cluster_by, slices, after=last)
+    rows.select(*present.columns).write.mode("append").partitionBy(partition_by).parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
@@ -64,7 +95,6 @@ def snapshot_rows(staged: DataFrame, batch_id: int = 1) -> DataFrame:
     zero = F.lit(0).cast("decimal(18,2)")
     return load_stamped(
         staged.select(
-            F.monotonically_increasing_id().alias("SnapshotKey"),
             "CustomerKey",
             F.col("MonthEndDateKey").alias("DateKey"),
             F.coalesce("SegmentKey", F.lit(UNCLASSIFIED_SEGMENT)).alias("SegmentKey"),
@@ -93,7 +123,7 @@ def snapshot_rows(staged: DataFrame, batch_id: int = 1) -> DataFrame:
 def write_snapshot(staged: DataFrame, directory: str, batch_id: int = 1, slices: int = 1) -> DataFrame:
     """Truncate and reload the snapshot, one directory per month."""
     rows = snapshot_rows(staged, batch_id)
-    return write_fact(rows, "Fact_CustomerSnapshot", directory, "DateKey", "CustomerKey", slices)
+    return write_fact(rows, "Fact_CustomerSnapshot", directory, "SnapshotKey", "DateKey", "CustomerKey", slices)
 
 
 def observed(df: DataFrame, stage: str) -> tuple[DataFrame, Observation]:

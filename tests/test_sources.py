@@ -66,11 +66,10 @@ def test_reading_raw_keeps_nine_text_columns(spark, tmp_path):
     assert readers.read_raw(spark, str(tmp_path / "r")).schema == RAW_SCHEMA
 
 
-def test_small_sources_are_spread_and_large_ones_left(spark):
+def test_sources_are_spread_when_asked(spark):
     small = spark.range(10).coalesce(1)
-    assert readers.spread(small).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    large = spark.range(0, 10, 1, 64)
-    assert readers.spread(large) is large
+    assert readers.spread(small, 6).rdd.getNumPartitions() == 6
+    assert readers.spread(small, None) is small
 
 
 def test_workspace_is_the_named_folder(spark):
