@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date
 from dataclasses import replace
@@ -17,8 +18,10 @@ from ledgerloom.functions import calendar, cleanse
 from ledgerloom.operators import dimensions, facts, quality, reports, scd2, seed, segments, snapshot, staging
 from ledgerloom.plans import dashboards, measures, transitions
 from ledgerloom.plans.model import report_view, snapshot_wide
+from ledgerloom.plans.warehouse import Warehouse
 from ledgerloom.sources.readers import read_raw, read_seed_csv, sample_rows
 from ledgerloom.sources.sinks import stage_metrics
+from ledgerloom.sources.workspace import session_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1416,3 +1419,53 @@ add(
     now="select CustomerID from dim_customer where IsCurrent",
     days="select unnest([date '1999-09-15', date '1999-10-15', date '1999-12-15']) as Day",
 )
+
+# ---------------------------------------------------------------- a batch on top of a load
+
+
+def _after_batch(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """A warehouse of two loads: transactions of two customers in three, then a batch with the
+    others and with one transaction in five of the first."""
+    lake = warehouse(spark, sf_dir)
+    raw = lake.table("RawTransactions")
+    late = (F.pmod(F.xxhash64("CustomerID"), F.lit(3)) == 0) | (F.pmod(F.xxhash64("TransactionID"), F.lit(5)) == 0)
+    late = F.coalesce(late, F.lit(False))
+    folder = session_folder(spark, f"batch-{uuid.uuid4().hex}")
+    two = Warehouse(spark, folder, SETTINGS, raw.where(~late), lake.table("City_Lookup"), land_raw=False)
+    two.load()
+    two.apply_batch(raw.where(late))
+    return two
+
+
+_COMPARED = [
+    "CustomerID", "DateKey", "SegmentKey", "TransactionCount", "TotalTransactionAmount", "RecencyScore", "FrequencyScore",
+    "LoyaltyScore", "ChurnFlag", "AtRiskFlag", "TrendCategory", "GrowthRate", "FinalAccountBalance",
+]
+
+
+def _incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def rows(lake: Warehouse) -> DataFrame:
+        owners = lake.table("Dim_Customer").select("CustomerKey", "CustomerID")
+        return lake.table("Fact_CustomerSnapshot").join(owners, "CustomerKey").select(*_COMPARED)
+
+    return rows(_after_batch(spark, sf_dir)).groupBy("DateKey").agg(
+        F.count(F.lit(1)).alias("Customers"),
+        F.sum("TransactionCount").alias("Transactions"),
+        F.sum("TotalTransactionAmount").cast("decimal(28,2)").alias("Amount"),
+        F.sum("LoyaltyScore").cast("decimal(28,2)").alias("Loyalty"),
+        F.sum("FinalAccountBalance").cast("decimal(28,2)").alias("Balance"),
+        F.count_if("ChurnFlag").alias("Churned"),
+        F.sum("SegmentKey").alias("Segments"),
+        F.countDistinct("CustomerID").alias("DistinctCustomers"),
+    )
+
+
+add(
+    "incremental_equals_full_snapshot",
+    _incremental,
+    """select DateKey, count(*) as Customers, cast(sum(TransactionCount) as bigint) as Transactions,
+        cast(sum(TotalTransactionAmount) as decimal(28,2)) as Amount, cast(sum(LoyaltyScore) as decimal(28,2)) as Loyalty,
+        cast(sum(FinalAccountBalance) as decimal(28,2)) as Balance, count(*) filter (where ChurnFlag) as Churned,
+        cast(sum(coalesce(SegmentKey, -1)) as bigint) as Segments, count(distinct CustomerID) as DistinctCustomers
+       from snap group by DateKey""",
+)

@@ -91,6 +91,21 @@ def location_history(stg_txn: DataFrame) -> DataFrame:
     )
 
 
+def merged_history(one: DataFrame, other: DataFrame) -> DataFrame:
+    """The location history of two sets of transactions from the histories of each."""
+    return (
+        one.unionByName(other)
+        .groupBy("CustomerID", "LocationMatch")
+        .agg(
+            F.min("Location").alias("Location"),
+            F.min("LocStartDate").alias("LocStartDate"),
+            F.max("LocEndDate").alias("LocEndDate"),
+            F.sum("DatedRows").alias("DatedRows"),
+        )
+        .select(*one.columns)
+    )
+
+
 def customer_demographics(stg_customer: DataFrame, dob_policy: str = "null_out_of_range") -> DataFrame:
     """Birth date and gender of each customer: the largest of what the rows say."""
     return (

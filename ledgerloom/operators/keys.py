@@ -8,6 +8,19 @@ from pyspark.sql import functions as F
 KEY_BUCKETS = 1024
 
 
+def with_kept_keys(rows: DataFrame, before: DataFrame, key: str, business_key: list[str]) -> DataFrame:
+    """Rows that were there before keep their key; new ones get the numbers after the last.
+
+    ``rows`` is read three times: give a written table. Business keys are unique and not NULL.
+    """
+    last = before.agg(F.coalesce(F.max(key), F.lit(0))).first()[0]
+    known = rows.join(before.select(*business_key, key), business_key)
+    fresh = with_surrogate_key(rows.join(before, business_key, "left_anti"), key, business_key)
+    columns = [key, *rows.columns]
+    shifted = fresh.withColumn(key, F.col(key) + F.lit(last))
+    return known.select(*columns).unionByName(shifted.select(*columns))
+
+
 def with_surrogate_key(df: DataFrame, key: str, business_key: list[str]) -> DataFrame:
     """Number the rows 1..n by their business key, which must be unique.
 

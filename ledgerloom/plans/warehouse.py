@@ -6,6 +6,7 @@ and means that a lost executor costs the tasks of one layer only.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
@@ -15,12 +16,21 @@ from pyspark.sql import functions as F
 
 from ledgerloom.config import Settings
 from ledgerloom.functions.calendar import build_dim_date
-from ledgerloom.operators.dimensions import build_dim_customer, build_dim_location, location_history
+from ledgerloom.operators.dimensions import (
+    build_dim_customer,
+    build_dim_location,
+    customer_rows,
+    location_history,
+    location_rows,
+    merged_history,
+)
 from ledgerloom.operators.facts import build_fact_transaction
+from ledgerloom.operators.keys import with_kept_keys
 from ledgerloom.operators.snapshot import build_snapshot, monthly_activity
 from ledgerloom.operators.staging import stage_customers, stage_locations, stage_transactions
 from ledgerloom.sources.readers import segment_rules
 from ledgerloom.sources.sinks import append_fact, load_stamped, write_dim, write_fact, write_snapshot, write_stage
+from ledgerloom.sources.workspace import cut_lineage
 
 TABLES = (
     "RawTransactions",
@@ -188,6 +198,72 @@ class Warehouse:
             self.settings,
         )
 
+    def apply_batch(self, raw_batch: DataFrame) -> dict[str, DataFrame]:
+        """Load a batch of raw transactions on top of what is there, as if all had come at once.
+
+        The batch alone is staged and joined to the dimensions. Its location history is
+        merged into the stored one, from which the customer versions follow; versions and
+        locations that were there keep their keys. The fact is appended to, monthly activity
+        is summed again for the months that the batch touches, and the snapshot is built
+        from the activity, as a customer's later months depend on all earlier ones.
+        """
+        for name in TABLES:
+            if name != "RawTransactions":
+                self.table(name)
+        if self._land_raw:
+            raw_batch.select(*self.table("RawTransactions").columns).write.mode("append").parquet(self.path("RawTransactions"))
+            self._reread("RawTransactions")
+        stamp = F.current_timestamp()
+        transactions = cut_lineage(stage_transactions(raw_batch), self._scratch("transactions"))
+        transactions.withColumn("LoadDate", stamp).write.mode("append").parquet(self.path("Stg_Transaction"))
+        for name, flow in (("Stg_Customer", stage_customers), ("Stg_Location", stage_locations)):
+            staged = flow(raw_batch)
+            unseen = staged.subtract(self.table(name).select(*staged.columns))
+            cut_lineage(unseen.withColumn("LoadDate", stamp), self._scratch(name)).write.mode("append").parquet(self.path(name))
+        for name in ("Stg_Transaction", "Stg_Customer", "Stg_Location"):
+            self._reread(name)
+
+        places = cut_lineage(location_rows(self.table("Stg_Location"), self.table("City_Lookup")), self._scratch("places"))
+        keyed_places = with_kept_keys(places, self.table("Dim_Location"), "LocationKey", ["LocationCode"])
+        self._replace("Dim_Location", keyed_places.withColumns({"CreatedDate": stamp, "ModifiedDate": stamp}))
+        self._replace(
+            "Location_History", merged_history(self.table("Location_History"), location_history(transactions))
+        )
+        dated = self.table("Location_History").where(F.col("LocStartDate").isNotNull())
+        keyed = with_kept_keys(dated, self.table("Dim_Customer"), "CustomerKey", ["CustomerID", "LocationMatch"])
+        rows = customer_rows(keyed, self.table("Stg_Customer"), self.table("Dim_Location"), self.settings, counted=dated)
+        self._replace("Dim_Customer", rows.withColumns({"CreatedDate": stamp, "ModifiedDate": stamp}))
+
+        fact = cut_lineage(
+            build_fact_transaction(
+                transactions,
+                self.table("Dim_Customer"),
+                self.table("Dim_Date"),
+                self.table("Dim_Location"),
+                self.settings.scd_join,
+            ),
+            self._scratch("fact"),
+        )
+        touched = [r[0] for r in fact.select("year_month").distinct().collect()]  # months of the calendar
+        self.append_transactions(fact)
+        again = self.table("Fact_Transaction").where(F.col("year_month").isin(*touched) if touched else F.lit(False))
+        activity = monthly_activity(again, self.settings.cutoff)
+        kept = ~F.date_format("MonthEndDate", "yyyy-MM").isin(*touched) if touched else F.lit(True)
+        self._replace("Monthly_Activity", self.table("Monthly_Activity").where(kept).unionByName(activity))
+        self._tables["Fact_CustomerSnapshot"] = self._snapshot()
+        return {name: self.table(name) for name in TABLES}
+
+    def _scratch(self, name: str) -> str:
+        return f"batch-{name}-{uuid.uuid4().hex}"
+
+    def _reread(self, name: str) -> None:
+        self._tables[name] = self.spark.read.parquet(self.path(name))
+
+    def _replace(self, name: str, df: DataFrame) -> None:
+        """Write a table anew from a plan that reads it."""
+        done = cut_lineage(df.select(*self.table(name).columns), self._scratch(name))
+        self._tables[name] = write_stage(done, self.path(name))
+
     def append_transactions(self, fact_rows: DataFrame) -> DataFrame:
         """Add fact rows of a later batch, with keys above the present ones."""
         self.table("Fact_Transaction")
