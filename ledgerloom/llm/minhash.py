@@ -252,27 +252,29 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, table: n
     )
 
     links, slots = [], 1
+    live = live.withColumn("far", F.lit(True))
     while not live.isEmpty():
         slot = F.pmod(F.xxhash64("node"), F.lit(slots))
-        leaders = live.groupBy("bucket", slot.alias("slot")).agg(F.min("node").alias("leader")).select("bucket", "leader")
+        leaders = (
+            live.where("far").groupBy("bucket", slot.alias("slot")).agg(F.min("node").alias("leader")).select("bucket", "leader")
+        )
         pairs = live.join(leaders, "bucket").where("node != leader").select("node", "leader").distinct()
         met = stored(_met(pairs, nodes, texts, words, table, percent), "met")
         apart = _links_apart_from_leader(met, percent)
         direct = met.where("linked").select(F.col("node").alias("a"), F.col("leader").alias("b"))
         links.append(stored(direct.unionByName(apart), "links"))
-        # Links of a near member lie within what was compared with its leader, so it is done in
-        # this bucket, as the leader is. Where one leader has met all others, so are they.
+        # All links of a near member are to members that its leader has met, so it is done in
+        # this bucket, as the leader is.
         seen = met.select("node", "leader", "near").join(leaders, "leader")
         done = seen.where("near").select("bucket", "node").unionByName(leaders.select("bucket", F.col("leader").alias("node")))
-        rest = stored(live.join(done, ["bucket", "node"], "left_anti"), "rest")
-        covered = rest.join(seen, ["bucket", "node"]).groupBy("bucket", "leader").agg(F.count("*").alias("c"))
-        open_ = (
-            rest.groupBy("bucket")
-            .agg(F.min("node").alias("x"), F.max("node").alias("y"), F.count("*").alias("n"))
-            .where("x < y")
-            .join(covered.groupBy("bucket").agg(F.max("c").alias("c")), "bucket", "left")
-            .where(F.coalesce("c", F.lit(0)) < F.col("n"))
-        )
+        rest = live.join(done, ["bucket", "node"], "left_anti")
+        if slots == 1:
+            # Pairs that the first leader has met both of are done. What is left has a far
+            # member, so further leaders are taken from those, and meet all others again.
+            met_first = seen.select("bucket", "node", F.lit(True).alias("met"))
+            rest = rest.join(met_first, ["bucket", "node"], "left").select("bucket", "node", F.col("met").isNull().alias("far"))
+        rest = stored(rest, "rest")
+        open_ = rest.groupBy("bucket").agg(F.count("*").alias("n"), F.max("far").alias("far")).where("n > 1 and far")
         live = stored(rest.join(open_.select("bucket"), "bucket"), "buckets")
         slots = min(slots * 16, 256)
 
