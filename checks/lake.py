@@ -49,7 +49,7 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
         spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
         folder = session_folder(spark, f"warehouse-{len(_warehouses)}")
         _warehouses[key] = Warehouse(
-            spark, folder, SETTINGS, raw_transactions(spark, sf_dir), city_lookup(spark, sf_dir)
+            spark, folder, SETTINGS, raw_transactions(spark, sf_dir), city_lookup(spark, sf_dir), land_raw=True
         )
     return _warehouses[key]
 

@@ -69,6 +69,20 @@ add(
     + f""", count(distinct CustomerID) as UniqueCustomers, min(TransactionDate) as MinDate, max(TransactionDate) as MaxDate,
       min({_dmy('TransactionDate')}) as MinParsedDate, max({_dmy('TransactionDate')}) as MaxParsedDate from raw""",
 )
+add(
+    "approximate_customers",
+    # beside the exact count, as an estimate has no one right value: it is off by 5 % at most
+    on(
+        "RawTransactions",
+        lambda raw: raw.agg(F.countDistinct("CustomerID").alias("Customers")).select(
+            "Customers",
+            (
+                F.abs(reports.approximate_customers(raw).scalar() - F.col("Customers")) <= F.col("Customers") * 0.05
+            ).alias("WithinFivePercent"),
+        ),
+    ),
+    "select count(distinct CustomerID) as Customers, true as WithinFivePercent from raw",
+)
 _NUM = "case when not isnan(try_cast({0} as double)) then try_cast({0} as double) end"
 add(
     "source_check",

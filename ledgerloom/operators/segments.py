@@ -8,6 +8,16 @@ from pyspark.sql import functions as F
 from ledgerloom.sources.schemas import UNCLASSIFIED_SEGMENT
 
 AT_RISK, NEW = "RF_AtRisk", "RF_New"
+#: Rules become an expression, so their number is bounded; more raise an error.
+MOST_RULES = 200
+
+
+def bounded_rules(rules: DataFrame) -> list:
+    """The rules in key order, on the driver."""
+    found = rules.orderBy("SegmentKey").limit(MOST_RULES + 1).collect()
+    if len(found) > MOST_RULES:
+        raise ValueError(f"more than {MOST_RULES} segment rules")
+    return found
 
 
 def _band(rule, days: Column, count: Column) -> Column:
@@ -31,7 +41,7 @@ def assign_segment(scored: DataFrame, rules: DataFrame, mode: str = "as_coded")
     as_coded: (1) At Risk by days and the *previous* month's count, (2) New for a first
     month, (3) the bands of all rules but At Risk. range: the bands of all rules.
     """
-    active = rules.where("IsActive").orderBy("SegmentKey").collect()
+    active = bounded_rules(rules.where("IsActive"))
     days, count = F.col("DaysSinceLastTransaction"), F.col("TransactionCount")
     no_match = F.lit(UNCLASSIFIED_SEGMENT)
     if mode == "range":
@@ -72,7 +82,7 @@ def segment_rule_coverage(points: DataFrame, rules: DataFrame) -> DataFrame:
 
     Points are reduced to distinct pairs first; the test itself needs no join.
     """
-    active = rules.where("IsActive").orderBy("SegmentKey").collect()
+    active = bounded_rules(rules.where("IsActive"))
     days, count = F.col("DaysSinceLastTransaction"), F.col("TransactionCount")
     fits = F.lit(0)
     for rule in active:

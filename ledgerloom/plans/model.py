@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ledgerloom.config import Settings
 from ledgerloom.functions import scoring
 from ledgerloom.functions.calendar import key_of, with_month_label
+from ledgerloom.operators.segments import bounded_rules
 from ledgerloom.plans.warehouse import Warehouse
 
 # Report attributes and the table each comes from.
@@ -88,7 +89,7 @@ class Model:
 
     @cached_property
     def segment_keys(self) -> dict[str, int]:
-        return {row.SegmentCode: row.SegmentKey for row in self.dim_segment.collect()}
+        return {row.SegmentCode: row.SegmentKey for row in bounded_rules(self.dim_segment)}
 
     def anchors(self, within: list[int] | None = None) -> Anchors:
         """The last month, the one before it in the data, and the ends of the month three
@@ -164,7 +165,16 @@ REPORT_NAMES = {
     "MonthNameShort": "Month Short",
     "DayNameShort": "Day Short",
 }
-UNCHANGED_NAMES = ("MonthLabel", "MonthSort", "DisplayOrder", "RecencyBucket", "LoyaltyBand", "GrowthCategory")
+UNCHANGED_NAMES = (
+    "MonthLabel",
+    "MonthSort",
+    "DisplayOrder",
+    "RecencyBucket",
+    "LoyaltyBand",
+    "GrowthCategory",
+    "FullDateTime",
+    "SnapshotKey",
+)
 HIDDEN_COLUMNS = (
     "CustomerKey",
     "DateKey",

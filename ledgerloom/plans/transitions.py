@@ -192,23 +192,29 @@ def converted_customers(model: Model) -> DataFrame:
     return both.join(model.dim_customer.select("CustomerKey", "CustomerID"), "CustomerKey").select("CustomerID")
 
 
-def declining_streaks(model: Model) -> DataFrame:
+def declining_streaks(model: Model, carried: list[str] | None = None) -> DataFrame:
     """Length of the run of falling growth rates that ends at each customer-month.
 
     A month falls if its growth rate is below that of the calendar month before. Runs are
     numbered by counting the months that do not fall; a run never spans such a month.
+    ``carried`` names further columns of the snapshot to keep; the calendar is cut to the
+    months of the snapshot before it is broadcast.
     """
+    carried = list(carried or [])
     by_month = Window.partitionBy("CustomerKey").orderBy("DateKey")
     so_far = by_month.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    months = model.dim_date.select("DateKey", (F.col("Year") * 12 + F.col("Month")).alias("_month"))
-    rows = model.snapshot.select("CustomerKey", "DateKey", "GrowthRate").join(F.broadcast(months), "DateKey")
+    known = [m["DateKey"] for m in model.months]
+    month_number = (F.col("Year") * 12 + F.col("Month")).alias("_month")
+    months = model.dim_date.where(F.col("DateKey").isin(*known) if known else F.lit(False)).select("DateKey", month_number)
+    kept = ["CustomerKey", "DateKey", *dict.fromkeys(["GrowthRate", *carried])]
+    rows = model.snapshot.select(*kept).join(F.broadcast(months), "DateKey")
     adjacent = F.col("_month") - F.lag("_month").over(by_month) == 1
     falls = F.coalesce(adjacent & (F.col("GrowthRate") < F.lag("GrowthRate").over(by_month)), F.lit(False))
     marked = rows.withColumn("_falls", falls)
     runs = marked.withColumn("_run", F.sum((~F.col("_falls")).cast("int")).over(so_far))
     within = Window.partitionBy("CustomerKey", "_run").orderBy("DateKey")
     length = F.sum(F.col("_falls").cast("int")).over(within.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return runs.select("CustomerKey", "DateKey", length.alias("DecliningMonths"))
+    return runs.select("CustomerKey", "DateKey", *carried, length.alias("DecliningMonths"))
 
 
 def declining_streak(model: Model, k: int = 2) -> DataFrame:
@@ -223,11 +229,10 @@ def declining_streak(model: Model, k: int = 2) -> DataFrame:
 def at_risk_customers(model: Model, k: int = 2) -> DataFrame:
     """Customers of the last month who are flagged at risk or whose growth keeps falling."""
     last = model.anchors().last
-    streaks = declining_streaks(model).where(F.col("DateKey") == F.lit(last)).drop("DateKey")
-    now = model.snapshot.where(F.col("DateKey") == F.lit(last)).select(
-        "CustomerKey", "AtRiskFlag", "DaysSinceLastTransaction", "GrowthRate"
-    )
-    listed = now.join(streaks, "CustomerKey").where(F.col("AtRiskFlag") | (F.col("DecliningMonths") >= k))
+    # the streak's window carries the last month's own columns along
+    streaks = declining_streaks(model, ["AtRiskFlag", "DaysSinceLastTransaction", "GrowthRate"])
+    now = streaks.where(F.col("DateKey") == F.lit(last)).drop("DateKey")
+    listed = now.where(F.col("AtRiskFlag") | (F.col("DecliningMonths") >= k))
     return listed.join(model.dim_customer.select("CustomerKey", "CustomerID"), "CustomerKey").select(
         "CustomerID",
         "AtRiskFlag",

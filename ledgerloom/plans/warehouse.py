@@ -59,8 +59,8 @@ class Warehouse:
 
     With ``raw`` and ``city_lookup`` a table is built the first time it is asked for,
     together with what it needs. Without them the warehouse only reads what an earlier
-    load wrote, and a table that is not there is an error. ``land_raw=False`` uses a raw
-    table that is stored already in place of a copy of it.
+    load wrote, and a table that is not there is an error. The raw table
+    is read where it is stored; ``land_raw`` copies one that would be costly to read again.
     """
 
     def __init__(
@@ -70,7 +70,7 @@ class Warehouse:
         settings: Settings,
         raw: DataFrame | None = None,
         city_lookup: DataFrame | None = None,
-        land_raw: bool = True,
+        land_raw: bool = False,
     ) -> None:
         self.spark = spark
         self.directory = directory.rstrip("/")
@@ -285,7 +285,7 @@ def run_warehouse_load(
     city_lookup: DataFrame,
     directory: str,
     settings: Settings,
-    land_raw: bool = True,
+    land_raw: bool = False,
 ) -> Warehouse:
     """Load every table from raw transactions and return the loaded warehouse."""
     warehouse = Warehouse(spark, directory, settings, raw, city_lookup, land_raw)

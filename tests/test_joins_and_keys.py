@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.keys import with_surrogate_key
+from ledgerloom.operators.keys import with_kept_keys, with_surrogate_key
 from ledgerloom.operators.quantile import exact_percentile
 from ledgerloom.operators.skew import balanced_join, hot_keys, skew_join
 from tests.conftest import values
@@ -128,3 +128,22 @@ def test_exact_percentile_equals_sorting(spark, kind, p):
 
 def test_percentile_of_nothing(spark):
     assert exact_percentile(spark.createDataFrame([(None,)], "x double"), "x", 0.5) is None
+
+
+@pytest.mark.parametrize("odd", [float("inf"), float("-inf"), float("nan")])
+def test_percentile_refuses_what_is_not_finite(spark, odd):
+    with pytest.raises(ValueError):
+        exact_percentile(spark.createDataFrame([(1.0,), (2.0,), (odd,)], "x double"), "x", 0.5)
+
+
+def test_percentile_over_the_whole_range_of_doubles(spark):
+    data = [-1.7e308, -5.0, 0.0, 3e-308, 1.7e308]
+    assert exact_percentile(spark.createDataFrame([(x,) for x in data], "x double"), "x", 0.5) == 0.0
+
+
+def test_kept_keys(spark):
+    before = with_surrogate_key(spark.createDataFrame([("a",), ("b",)], "n string"), "Key", ["n"])
+    after = with_kept_keys(spark.createDataFrame([("b", 1), ("c", 2), ("d", 3)], "n string, g int"), before, "Key", ["n"])
+    known = dict(values(before, "n", "Key"))
+    got = dict(values(after, "n", "Key"))
+    assert got["b"] == known["b"] and sorted([got["c"], got["d"]]) == [3, 4]

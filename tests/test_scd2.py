@@ -143,3 +143,35 @@ def test_merge_closes_opens_and_overwrites(spark):
         ("C9", "Q", "Male", date(2016, 1, 1), None, True),
     ]
     assert sorted(r.CustomerKey for r in merged.collect()) == [1, 2, 3, 4, 5, 6]
+
+
+def test_merge_refuses_repeated_keys_and_early_dates(spark):
+    schema = "CustomerKey long, CustomerID string, Location string, StartDate date, EndDate date, IsCurrent boolean"
+    current = spark.createDataFrame([(1, "C1", "A", date(2015, 1, 1), None, True)], schema)
+    twice = spark.createDataFrame([("C1", "B"), ("C1", "C")], "CustomerID string, Location string")
+    with pytest.raises(ValueError, match="C1"):
+        scd2.scd2_merge(current, twice, "CustomerID", ["Location"], [], date(2016, 1, 1))
+    with pytest.raises(Exception, match="not after the start"):
+        scd2.scd2_merge(current, twice.limit(1), "CustomerID", ["Location"], [], date(2015, 1, 1)).collect()
+
+
+def test_a_customer_who_returns_keeps_one_row_per_transaction(star):
+    stg, places, _, customers, days = star
+    one = customers.sparkSession.createDataFrame
+    at = lambda place: one([("C1", place), ("C9", "B")], "CustomerID string, Location string")
+    away = scd2.merge_customers(customers, at("B"), places, date(2016, 1, 1))
+    back = scd2.merge_customers(away, at("A"), places, date(2016, 3, 1))
+    assert back.columns == customers.columns
+    assert back.where("LocationMatch is null or FirstTransactionDate is null or DatedRows is null").count() == 0
+    assert back.where("Location in ('A', 'B') and LocationKey is null").count() == 0
+    keys = [r.CustomerKey for r in back.collect()]
+    assert len(set(keys)) == len(keys) and quality.customers_without_one_current(back).count() == 0
+    rows = [(f"x{m}", "C1", "A", f"5/{m}/2016", "1") for m in (1, 2, 4)] + [("y2", "C1", "B", "5/2/2016", "1")]
+    batch = staging.stage_transactions(raw(customers.sparkSession, rows))
+    fact = facts.build_fact_transaction(batch, back, days, places).join(back.select("CustomerKey", "StartDate"), "CustomerKey")
+    assert values(fact, "TransactionID", "StartDate") == [
+        ("x1", date(2016, 3, 1)),  # no version at A holds the day: the last one
+        ("x2", date(2016, 3, 1)),
+        ("x4", date(2016, 3, 1)),
+        ("y2", date(2016, 1, 1)),
+    ]

@@ -43,9 +43,10 @@ def test_seed_profiles_take_the_first_known_attribute_and_cap(spark):
 
 def test_partitioned_fact_is_replaced_and_appended(spark, tmp_path):
     rows = spark.range(100).select("id", (F.col("id") % 3).cast("string").alias("m"))
-    assert sinks.write_fact(rows, "f", str(tmp_path), "m").count() == 100
-    assert sinks.write_fact(rows, "f", str(tmp_path), "m").count() == 100
-    assert sinks.append_fact(rows, "f", str(tmp_path), "m").count() == 200
+    assert sinks.write_fact(rows, "f", str(tmp_path), "Key", "m").count() == 100
+    assert sinks.write_fact(rows, "f", str(tmp_path), "Key", "m").count() == 100
+    both = sinks.append_fact(rows, "f", str(tmp_path), "Key", "m")
+    assert both.count() == both.select("Key").distinct().count() == 200
     assert {p.name for p in (tmp_path / "f").iterdir() if p.is_dir()} == {"m=0", "m=1", "m=2"}
 
 
@@ -139,3 +140,16 @@ def test_settings_refuse_unknown_modes():
         Settings(scd_join="nearest")
     with pytest.raises(ValueError):
         Settings(start=date(2017, 1, 1))
+
+
+def test_numbers_that_are_not_finite_are_unreadable(spark):
+    texts = ["Infinity", "-inf", "1e999", "nan", "x", " 2.5 ", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(readers.finite_number("t").alias("n"))
+    assert [r.n for r in df.collect()] == [None] * 5 + [2.5, None]
+
+
+def test_fact_keys_are_given_above_the_last_exchange(spark):
+    rows = sinks.keyed_layout(spark.range(100).selectExpr("id", "id % 3 as m"), "Key", "m", "id", 4)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("monotonically_increasing_id") < plan.index("RebalancePartitions")
+    assert rows.select("Key").distinct().count() == 100
