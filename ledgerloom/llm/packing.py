@@ -10,6 +10,7 @@ equal; if one exceeds the capacity, the block is packed again with one window mo
 from __future__ import annotations
 
 import heapq
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -24,43 +25,83 @@ WINDOW = 2048
 #: The rest of a document is cut into equal pieces of at most so many tokens: several to a window even out best.
 PIECE = 512
 #: Pieces that are packed together.
-BLOCK = 1500
+BLOCK = 600
 #: Entries of a worker's memory of words.
-REMEMBERED = 400_000
+REMEMBERED = 500_000
 END_ID = 1
 
 
+#: How the vocabulary's own pattern splits lower-case text: contractions, letters, digits, the rest.
+_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
+#: Texts with other characters, or with one that two libraries fold or split in two ways, go to the library whole.
+_UNUSUAL = re.compile("[^\\x00-\\x1b\\x20-\\x84\\x86-\u012f\u0131-\u024f]|<\\|")
+
+
+def _byte_letters() -> list[str]:
+    """The letter that stands for each byte in a byte-level vocabulary: printable ones for themselves."""
+    shown = [b for b in range(256) if 33 <= b < 127 or 161 <= b < 256 and b != 173]
+    others = [b for b in range(256) if b not in shown]
+    return [chr(b) if b in shown else chr(256 + others.index(b)) for b in range(256)]
+
+
 class _Words(dict):
-    """Words to their ids as bytes; words that are not known yet are encoded."""
+    """Parts of texts to their ids as bytes; parts that are not known yet are encoded."""
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
-        self._encode = Tokenizer.from_file(path).encode
+        self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.letters = _byte_letters()
+
+    def whole(self, text: str) -> bytes:
+        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def __missing__(self, word: str) -> bytes:
-        if len(word) > 1 and word[-1] in ",." and word[:-1].lower().isalpha():
-            ids = self[word[:-1]] + self[word[-1]]
+    def __missing__(self, part: str) -> bytes:
+        if part.isalpha():  # one word, folded already: straight to the merges
+            mapped = part if part.isascii() else "".join([self.letters[b] for b in part.encode()])
+            ids = np.array([t.id for t in self.model.tokenize(mapped)], "<u4").tobytes()
         else:
-            ids = np.asarray(self._encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(word) < 64:
-            self[word] = ids
+            ids = self.whole(part)
+        if len(part) < 64:
+            self[part] = ids
+        return ids
+
+
+class _Chunks(dict):
+    """What stands between white space to its ids: most of a text is looked up here at once."""
+
+    def __init__(self, words: _Words) -> None:
+        super().__init__()
+        self.words = words
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = b"".join(map(self.words.__getitem__, _PARTS.findall(chunk.lower())))
+        if len(chunk) < 64:
+            self[chunk] = ids
         return ids
 
 
-_words: dict[str, _Words] = {}
+_known: dict[str, _Chunks] = {}
 
 
 def encode(text: str | None, path: str) -> bytes:
     """The ids of a text, little-endian in four bytes each, with the end id.
 
-    The vocabulary drops white space and never joins what it separates, so a text's ids
-    are those of its words one after another.
+    The vocabulary folds case, drops white space and never joins what its pattern parts, so
+    a text's ids are those of its parts one after another, and each part is encoded once.
     """
-    words = _words.get(path)
-    if words is None or len(words) > REMEMBERED:
-        words = _words[path] = _Words(path)
-    return b"".join(map(words.__getitem__, (text or "").replace("\n", " ").split(" "))) + END_ID.to_bytes(4, "little")
+    known = _known.get(path)
+    if known is None or len(known.words) > REMEMBERED:
+        known = _known[path] = _Chunks(_Words(path))
+    elif len(known) > REMEMBERED:
+        known = _known[path] = _Chunks(known.words)
+    text = text or ""
+    if _UNUSUAL.search(text):
+        ids = known.words.whole(text)
+    else:
+        ids = b"".join(map(known.__getitem__, text.split()))
+    return ids + END_ID.to_bytes(4, "little")
 
 
 def cut(tokens: int, window: int = WINDOW, piece: int = PIECE) -> list[tuple[int, int]]:
