@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import decontaminate, langid, minhash, packing, pii
-from ledgerloom.llm.storage import stored
+from ledgerloom.llm.storage import free_name, stored
 
 #: A document whose best language has less than this mean probability is no text of any.
 LEAST_LANGUAGE_SCORE = 0.3
@@ -15,7 +15,8 @@ PII_KEY = "corpus"
 
 def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """``docs`` but those whose ``doc_id`` is among ``ids`` (one column of that name)."""
-    return docs.join(ids.withColumnRenamed("doc_id", "_gone"), F.col("doc_id") == F.col("_gone"), "left_anti")
+    gone = free_name(docs.columns, "gone")
+    return docs.join(ids.withColumnRenamed("doc_id", gone), F.col("doc_id") == F.col(gone), "left_anti")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,9 +25,10 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     The verdict on a row depends on its text alone, so it is taken where the row lies and
     rows with null or repeated ids need no join.
     """
-    return langid.labelled(docs, langid.fit(langid.sample_of(docs))).where(
-        (F.col("_lang_pred") != "und") & (F.col("_lang_score") >= LEAST_LANGUAGE_SCORE)
-    ).drop("_lang_pred", "_lang_score")
+    lang = free_name(docs.columns, "lang_pred")
+    score = free_name(docs.columns, "lang_score")
+    marked = langid.labelled(docs, langid.fit(langid.sample_of(docs)), lang, score)
+    return marked.where((F.col(lang) != "und") & (F.col(score) >= LEAST_LANGUAGE_SCORE)).drop(lang, score)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +45,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data becomes pseudonyms; ``n_chars`` follows the text."""
-    changed = pii.pseudonymize(docs, PII_KEY).select(*(F.col(f"`{c}`") for c in docs.columns))
+    changed = pii.pseudonymize(docs, PII_KEY, found_in=(found := free_name(docs.columns, "found"))).drop(found)
     return changed.withColumn("n_chars", F.length("text").cast("long"))
 
 

@@ -260,15 +260,14 @@ def identify(docs: DataFrame) -> DataFrame:
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
     found = labelled(docs.select("doc_id", "text"), fit(sample_of(docs)))
-    return found.select("doc_id", held_out().alias("held_out"), F.col("_lang_pred").alias("lang_pred"), F.col("_lang_score").alias("score"))
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
-def labelled(docs: DataFrame, net: Network | None) -> DataFrame:
-    """All columns of ``docs``, in place, with ``_lang_pred`` and ``_lang_score`` of the text.
+def labelled(docs: DataFrame, net: Network | None, lang: str = "lang_pred", score: str = "score") -> DataFrame:
+    """All columns of ``docs``, in place, and then language and score of the text.
 
-    Existing columns of these names are replaced.
+    ``lang`` and ``score`` name these; they must be free.
     """
-    docs = docs.drop("_lang_pred", "_lang_score")
     kept = docs.schema.fields
     # Arrow sees the columns by position, whatever their names are
     plain = docs.toDF(*(str(i) for i in range(len(kept))))
@@ -277,4 +276,4 @@ def labelled(docs: DataFrame, net: Network | None) -> DataFrame:
         + [T.StructField(str(len(kept)), T.StringType()), T.StructField(str(len(kept) + 1), T.DoubleType())]
     )
     marked = plain.mapInArrow(_predict(net, docs.columns.index("text")), schema)
-    return marked.toDF(*docs.columns, "_lang_pred", "_lang_score")
+    return marked.toDF(*docs.columns, lang, score)

@@ -232,24 +232,26 @@ def _replaced(value: Column, key: str) -> Column:
     return F.transform(F.transform(F.array(kind), by_kind), keep)[0]
 
 
-def pseudonymize(docs: DataFrame, key: str = "a key of your own", text: str = "text") -> DataFrame:
-    """All columns of ``docs`` with the text rewritten, and ``pii``: an array of structs (kind, new).
+def pseudonymize(
+    docs: DataFrame, key: str = "a key of your own", text: str = "text", found_in: str = "pii"
+) -> DataFrame:
+    """All columns of ``docs`` with the text rewritten, and ``found_in``: an array of structs (kind, new).
 
     The array has an entry for each place that looks like personal data; its kind is null
     where validation failed and the text stayed. A null text stays null with an empty
-    array; texts without such places are unchanged. An existing column ``pii`` is replaced.
-    Repeated rows get equal results.
+    array; texts without such places are unchanged. An existing column ``found_in`` is
+    replaced. Repeated rows get equal results.
     """
     column = F.col(f"`{text}`")
     # most texts have neither a digit nor an address sign, and are looked at no further
     maybe = F.coalesce(column.rlike("[0-9@]"), F.lit(False))
     places = F.when(maybe, F.regexp_extract_all(column, F.lit(ANY), F.lit(0))).otherwise(F.array().cast("array<string>"))
-    found = docs.withColumn("pii", F.transform(places, lambda m: _replaced(m, key)))
+    found = docs.withColumn(found_in, F.transform(places, lambda m: _replaced(m, key)))
     gaps = F.split(column, ANY, -1)
     joined = F.array_join(
-        F.flatten(F.zip_with(gaps, F.col("pii")["new"], lambda g, n: F.array(g, F.coalesce(n, F.lit(""))))), ""
+        F.flatten(F.zip_with(gaps, F.col(f"`{found_in}`")["new"], lambda g, n: F.array(g, F.coalesce(n, F.lit(""))))), ""
     )
-    return found.withColumn(text, F.when(F.size("pii") > 0, joined).otherwise(column))
+    return found.withColumn(text, F.when(F.size(F.col(f"`{found_in}`")) > 0, joined).otherwise(column))
 
 
 def counted(docs: DataFrame, key: str = "a key of your own") -> DataFrame:

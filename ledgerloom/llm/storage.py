@@ -9,6 +9,16 @@ from pyspark.sql import DataFrame
 from ledgerloom.sources.workspace import session_folder
 
 
+def free_name(columns: list[str], stem: str) -> str:
+    """``stem``, or the first of ``stem_1``, ``stem_2``... that is no column, whatever the case."""
+    taken = {c.lower() for c in columns}
+    number, name = 0, stem
+    while name.lower() in taken:
+        number += 1
+        name = f"{stem}_{number}"
+    return name
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to a new folder below ``spark.checkpoint.dir`` and read it back.
 
