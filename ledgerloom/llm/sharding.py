@@ -139,6 +139,8 @@ def shard_starts(groups: DataFrame, shards: int) -> list[int]:
     of the few cells around the cuts.
     """
     cells = _Cells(_sums(groups, 63 - FIRST_BITS))
+    if not cells.rows:
+        return [(1 << 63) - 1] * (shards - 1)
     while True:
         capacity = cells.least_capacity(shards)
         cuts = cells.cuts(shards, capacity)
