@@ -24,7 +24,7 @@ from ledgerloom.llm.storage import stored
 #: Vectors of a cell part and of a block of visitors, and pivots at most.
 CELL, MAX_PIVOTS = 6000, 1024
 #: Radii of the nets on the unit sphere; a root above them holds the rest.
-RADII = (0.125, 0.25, 0.5, 1.0)
+RADII = (0.125, 0.25, 0.5)
 #: Node pairs opened at a time.
 _OPENED = 1 << 16
 #: Bounds keep so far from the threshold that rounding cannot decide; nearer pairs are computed.
@@ -40,32 +40,38 @@ def unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.sqrt(np.einsum("ij,ij->i", vectors, vectors))[:, None]
 
 
-def _net(points: np.ndarray, radius: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Greedy centers (indices), each point's center (place among them), and its distance."""
+def _net(points: np.ndarray, radius: float) -> list[np.ndarray]:
+    """Greedy groups of points within ``radius`` of the first point of each, their center."""
     centers: list[int] = []
-    place, far = np.empty(len(points), np.int64), np.zeros(len(points))
+    place = np.empty(len(points), np.int64)
+    least = 1.0 - radius * radius / 2.0
     for first in range(0, len(points), 256):
         block = points[first : first + 256]
-        near, at = np.full(len(block), np.inf), np.zeros(len(block), np.int64)
+        near, at = np.full(len(block), -np.inf), np.zeros(len(block), np.int64)
         for c in range(0, len(centers), 4096):
-            d = _distance(block @ points[centers[c : c + 4096]].T)
-            best = d.argmin(axis=1)
-            least = d[np.arange(len(block)), best]
-            closer = least < near
-            near[closer], at[closer] = least[closer], best[closer] + c
-        left = np.flatnonzero(near > radius)
-        own = _distance(block[left] @ block[left].T) if len(left) else None
-        open_ = np.ones(len(left), bool)
+            cos = block @ points[centers[c : c + 4096]].T
+            best = cos.argmax(axis=1)
+            most = cos[np.arange(len(block)), best]
+            closer = most > near
+            near[closer], at[closer] = most[closer], best[closer] + c
+        left = np.flatnonzero(near < least)
+        own = block[left] @ block[left].T >= least if len(left) else None
+        free = np.ones(len(left), bool)
         for k in range(len(left)):
-            if open_[k]:
-                reached = open_ & (own[k] <= radius)
+            if free[k]:
+                reached = free & own[k]
                 reached[k] = True
-                near[left[reached]], at[left[reached]] = own[k][reached], len(centers)
-                near[left[k]] = 0.0
+                at[left[reached]] = len(centers)
                 centers.append(first + int(left[k]))
-                open_ &= ~reached
-        place[first : first + 256], far[first : first + 256] = at, near
-    return np.array(centers, np.int64), place, far
+                free &= ~reached
+        place[first : first + 256] = at
+    order = np.argsort(place, kind="stable")  # a center comes before all that it covers
+    return np.split(order, np.cumsum(np.bincount(place, minlength=len(centers)))[:-1])
+
+
+def _in_one_row(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    counts = np.array([len(x) for x in lists], np.int64)
+    return np.concatenate(lists) if lists else np.empty(0, np.int64), np.cumsum(counts) - counts, counts
 
 
 @dataclass
@@ -75,24 +81,33 @@ class Tree:
     points: np.ndarray
     centers: list[np.ndarray]
     radius: list[np.ndarray]
-    children: list[list[np.ndarray]]
+    children: list[tuple[np.ndarray, np.ndarray, np.ndarray]]  # of all nodes in one row, first place and count of each
     members: list[list[np.ndarray]]
 
     @classmethod
     def over(cls, points: np.ndarray) -> Tree:
+        """Nets from the largest radius down, each within the nodes of the one above."""
+        levels = [_net(points, RADII[-1])]
+        children: list[list[np.ndarray]] = []
+        for radius in reversed(RADII[:-1]):
+            below: list[np.ndarray] = []
+            inside = []
+            for members in levels[-1]:
+                groups = [members] if len(members) == 1 else [members[g] for g in _net(points[members], radius)]
+                inside.append(np.arange(len(below), len(below) + len(groups)))
+                below += groups
+            children.append(inside)
+            levels.append(below)
         everyone = np.arange(len(points))
-        tree = cls(points, [everyone], [np.zeros(len(points))], [[]], [[np.array([i]) for i in everyone]])
-        for radius in RADII:
-            below = tree.centers[-1]
-            chosen, place, far = _net(points[below], radius)
-            reach = np.zeros(len(chosen))
-            np.maximum.at(reach, place, far + tree.radius[-1])
-            order = np.argsort(place, kind="stable")
-            groups = np.split(order, np.cumsum(np.bincount(place, minlength=len(chosen)))[:-1])
-            tree.members.append([np.concatenate([tree.members[-1][i] for i in g]) if len(g) > 1 else tree.members[-1][g[0]] for g in groups])
-            tree.centers.append(below[chosen])
-            tree.radius.append(reach)
-            tree.children.append(groups)
+        # level 0 are the points themselves
+        members = [[np.array([i]) for i in everyone], *levels[::-1]]
+        rows = [_in_one_row(c) for c in [[], levels[-1], *children[::-1]]]
+        tree = cls(points, [everyone], [np.zeros(len(points))], rows, members)
+        for nodes in members[1:]:
+            tree.centers.append(np.array([m[0] for m in nodes], np.int64))
+            tree.radius.append(
+                np.array([_distance(points[m] @ points[m[0]]).max() if len(m) > 1 else 0.0 for m in nodes])
+            )
         return tree
 
 
@@ -152,11 +167,14 @@ def traverse(a: Tree, b: Tree, cosine: float, links: Links, same: bool) -> None:
             near &= some[:, None] <= np.arange(len(b.centers[top]))[None, :]
         x, y = np.nonzero(near)
         starts.append(np.stack([some[x], y]))
-    stack = [(top, np.concatenate(starts, axis=1))] if starts else []
+    first = np.concatenate(starts, axis=1) if starts else np.empty((2, 0), np.int64)
+    # parts of pairs come one at a time, so that few are held at each level
+    stack = [(top, iter(np.array_split(first, first.shape[1] // _OPENED + 1, axis=1)))]
     while stack:
-        level, pairs = stack.pop()
-        if pairs.shape[1] > _OPENED:
-            stack += [(level, part) for part in np.array_split(pairs, pairs.shape[1] // _OPENED + 1, axis=1)]
+        level, parts = stack[-1]
+        pairs = next(parts, None)
+        if pairs is None:
+            stack.pop()
             continue
         x, y = pairs
         cos = np.einsum("ij,ij->i", a.points[a.centers[level][x]], b.points[b.centers[level][y]])
@@ -178,23 +196,29 @@ def traverse(a: Tree, b: Tree, cosine: float, links: Links, same: bool) -> None:
         opened = np.flatnonzero(~whole & (d <= reach + limit + _ROUNDING))
         if not len(opened):
             continue
-        left = [a.children[level][i] for i in x[opened]]
-        right = [b.children[level][i] for i in y[opened]]
-        if all(len(p) == 1 == len(q) for p, q in zip(left, right, strict=True)):
-            stack.append((level - 1, np.stack([np.concatenate(left), np.concatenate(right)])))
-            continue
-        made: list[np.ndarray] = []
-        held = 0
-        for p, q, is_own in zip(left, right, own[opened], strict=True):
-            pair = np.stack([np.repeat(p, len(q)), np.tile(q, len(p))])
-            # within a node each pair of children is looked at once
-            made.append(pair[:, pair[0] <= pair[1]] if is_own else pair)
-            held += pair.shape[1]
-            if held > _OPENED:
-                stack.append((level - 1, np.concatenate(made, axis=1)))
-                made, held = [], 0
-        if made:
-            stack.append((level - 1, np.concatenate(made, axis=1)))
+        stack.append((level - 1, _children(a, b, level, x[opened], y[opened], own[opened])))
+
+
+def _children(a: Tree, b: Tree, level: int, x: np.ndarray, y: np.ndarray, own: np.ndarray) -> Iterator[np.ndarray]:
+    """All pairs of a child of ``x`` and one of ``y``, in parts; within a node each pair once."""
+    (row_a, first_a, count_a), (row_b, first_b, count_b) = a.children[level], b.children[level]
+    wide = count_b[y]
+    # a part has some children of x, so that a node of many children does not fill the memory
+    rows = np.repeat(np.arange(len(x)), count_a[x])
+    child = row_a[np.arange(len(rows)) - np.repeat(np.cumsum(count_a[x]) - count_a[x] - first_a[x], count_a[x])]
+    ends = np.cumsum(wide[rows])
+    start = 0
+    while start < len(rows):
+        done = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, done + _OPENED, "right")))
+        some = rows[start:stop]
+        repeats = wide[some]
+        p = np.repeat(child[start:stop], repeats)
+        within = np.arange(len(p)) - np.repeat(np.cumsum(repeats) - repeats, repeats)
+        q = row_b[np.repeat(first_b[y[some]], repeats) + within]
+        keep = ~np.repeat(own[some], repeats) | (p <= q)
+        yield np.stack([p[keep], q[keep]])
+        start = stop
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
