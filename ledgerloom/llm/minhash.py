@@ -178,9 +178,10 @@ def _links_apart_from_leader(met: DataFrame, percent: int) -> DataFrame:
     w2 / (100 + percent) differences with it, and it shares excess / 100 at least with any
     partner. In one common order of shingles the first shared one therefore lies in the
     first part of both, and what follows it on either side bounds how many are shared.
+    Pairs without a ``far`` member have been looked at before and are left out.
     """
     both = 100 + percent
-    several = met.groupBy("leader").agg(F.count("*").alias("n"), F.min("linked").alias("all")).where("n > 1 and not all")
+    several = met.groupBy("leader").agg(F.count("*").alias("n"), F.min("linked").alias("all"), F.max("far").alias("far")).where("n > 1 and not all and far")
     excess = F.col("weight") - F.col("size") * (100 - percent)
     of = (
         met.join(several.select("leader"), "leader")
@@ -193,6 +194,7 @@ def _links_apart_from_leader(met: DataFrame, percent: int) -> DataFrame:
         F.col("leader"),
         F.col("node").alias("b"),
         F.col("linked").alias("b_linked"),
+        F.col("far").alias("b_far"),
         F.col("weight").alias("w2"),
         F.col("length").alias("l2"),
         F.posexplode(first(shared)).alias("j", "e"),
@@ -200,6 +202,7 @@ def _links_apart_from_leader(met: DataFrame, percent: int) -> DataFrame:
     probe = of.where("not linked").select(
         F.col("leader"),
         F.col("node").alias("a"),
+        F.col("far").alias("a_far"),
         excess.alias("x1"),
         F.col("length").alias("l1"),
         F.posexplode(first(F.col("apart"))).alias("i", "e"),
@@ -207,7 +210,7 @@ def _links_apart_from_leader(met: DataFrame, percent: int) -> DataFrame:
     need = F.col("x1") + F.col("w2")
     maybe = (
         probe.join(index, ["leader", "e"])
-        .where((F.col("a") != F.col("b")) & (F.col("b_linked") | (F.col("b") < F.col("a"))))
+        .where((F.col("a") != F.col("b")) & (F.col("b_linked") | (F.col("b") < F.col("a"))) & (F.col("a_far") | F.col("b_far")))
         .where(need <= F.least(F.col("l1") - F.col("i"), F.col("l2") - F.col("j")) * both)
         .select("leader", "a", "b", need.alias("need"))
         .distinct()
@@ -260,7 +263,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, table: n
         )
         pairs = live.join(leaders, "bucket").where("node != leader").select("node", "leader").distinct()
         met = stored(_met(pairs, nodes, texts, words, table, percent), "met")
-        apart = _links_apart_from_leader(met, percent)
+        if slots == 1:
+            marked_far = met.withColumn("far", F.lit(True))
+        else:
+            far = live.where("far").select("node").distinct().withColumn("far", F.lit(True))
+            marked_far = met.join(far, "node", "left").fillna(False, ["far"])
+        apart = _links_apart_from_leader(marked_far, percent)
         direct = met.where("linked").select(F.col("node").alias("a"), F.col("leader").alias("b"))
         links.append(stored(direct.unionByName(apart), "links"))
         # All links of a near member are to members that its leader has met, so it is done in
