@@ -171,18 +171,19 @@ class Model:
 
 
 def _different(texts: list[str]) -> list[set[str]]:
-    """Word sets of the texts, without near copies: of those that share a smallest word hash, the first."""
-    seen: set[tuple[int, int]] = set()
-    kept = []
+    """Word sets of the texts, without near copies: a text goes if half of its smallest word hashes are those of one kept text."""
+    minima = np.empty((len(texts), _REPEATS), np.uint64)
+    odd = np.arange(3, 2 * _REPEATS + 3, 2, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    kept: list[set[str]] = []
     for text in texts:
         words = set(_TOKEN.findall(text.lower()))
         if words:
             # a fixed hash, unlike Python's own
             codes = np.array([int.from_bytes(w.encode()[:8].ljust(8, b"\0"), "little") ^ len(w) for w in words], np.uint64)
-            keys = {(k, int((codes * np.uint64(2 * k + 3) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(7)).min())) for k in range(_REPEATS)}
-            if len(keys & seen) < _REPEATS // 2:
+            own = np.array([(codes * k >> np.uint64(7)).min() for k in odd])
+            if not len(kept) or (minima[: len(kept)] == own).sum(axis=1).max() < _REPEATS // 2:
+                minima[len(kept)] = own
                 kept.append(words)
-                seen |= keys
     return kept
 
 

@@ -66,6 +66,16 @@ def test_near_copies_do_not_make_a_lexicon():
     assert not any(w in lexicon.words for w in base)
 
 
+def test_distinct_texts_of_one_vocabulary_all_stay():
+    # each text shares minima with many others, but with none of them half of its own
+    draw = random.Random(7)
+    vocabulary = [f"word{i}" for i in range(600)]
+    texts = [" ".join(draw.sample(vocabulary, 60)) for _ in range(X.SAMPLE)]
+    assert len(X._different(texts)) == len(texts)
+    copy = texts[5].replace(" ", " new ", 1)
+    assert len(X._different([*texts[:9], copy])) == 9
+
+
 def test_odd_rows(spark):
     labels = spark.createDataFrame([(8, 1, 1)], "doc_id long, quality int, toxic int")
     assert len(X.score_toxicity(odd_table(spark), labels).collect()) == 6
