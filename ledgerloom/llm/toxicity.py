@@ -1,10 +1,10 @@
 """Toxic documents by a weighted finite-state grammar over clauses.
 
 Words become symbols: insult (with a learned weight), threat, target, negation, reported
-speech, end of clause, other. Small transducers read these symbols: one opens at an insult
-or threat, one carries a target to it, one a negation, one reported speech; composed, they
-rewrite a clause into matches with a kind. Texts are scored by their matched clauses, not by
-single words. What counts as an insult, and how much each kind of match weighs, is learned
+speech, end of clause, colon, other. Five small transducers read these symbols: one marks
+the ends of clauses, one opens at an insult or threat, one carries a target to it, one a
+negation, one reported speech; composed, they rewrite a clause into matches with a kind.
+Texts are scored by their matched clauses, not by single words. What counts as an insult, and how much each kind of match weighs, is learned
 from labelled documents.
 """
 
@@ -38,10 +38,10 @@ REPORTS = "said says wrote called quoted claimed sagte schrieb nannte dit écrit
 THREATS = "kill hurt destroy punch töten schlagen vernichten tuer frapper détruire matar golpear destruir".split()
 
 _TOKEN = re.compile(r"[^\W_]+(?:'[^\W_]+)?|[.!?;:\n]+")
-OTHER, END, TARGET, NEGATION, REPORT, THREAT, INSULT = range(7)
+OTHER, END, COLON, TARGET, NEGATION, REPORT, THREAT, INSULT = range(8)
 #: Kinds of match: an insult or a threat, plain or aimed, negated, reported.
-KINDS = ("insult", "insult_aimed", "insult_negated", "insult_reported", "threat", "threat_aimed")
-#: Words over which a negation or a target reaches.
+KINDS = tuple(f"{what}{how}" for what in ("insult", "threat") for how in ("", "_aimed", "_negated", "_reported"))
+#: Words over which a negation reaches that opens its clause; any other reaches to the clause's end.
 REACH = 3
 
 
@@ -74,85 +74,137 @@ class Symbols(dict):
         elif token in self.fixed:
             symbol = self.fixed[token]
         else:
-            symbol = OTHER if token[0].isalnum() else END
+            symbol = OTHER if token[0].isalnum() else COLON if not token.strip(":\n") and ":" in token else END
         if len(self) < self.BOUND:
             self[token] = symbol
         return symbol
 
 
 @dataclass(frozen=True)
-class State:
-    """What the composed transducers remember within a clause: words since, or -1."""
-
-    negation: int = -1
-    target: int = -1
-    report: bool = False
-
-
-def _step(state: State, symbol: int) -> State:
-    """The composed machine's next state; the end of a clause resets it."""
-    if symbol == END:
-        return State()
-    age = lambda n: -1 if n < 0 or n >= REACH else n + 1
-    return State(
-        0 if symbol == NEGATION else age(state.negation),
-        0 if symbol == TARGET else age(state.target),
-        state.report or symbol == REPORT,
-    )
-
-
-def _composed() -> tuple[list[list[int]], list[State]]:
-    """All reachable states and the transitions between them, as a table."""
-    states, table = [State()], []
-    at = {State(): 0}
-    for state in states:  # grows while it is read
-        row = []
-        for symbol in range(INSULT + 1):
-            after = _step(state, symbol)
-            if after not in at:
-                at[after] = len(states)
-                states.append(after)
-            row.append(at[after])
-        table.append(row)
-    return table, states
-
-
-TABLE, STATES = _composed()
-
-
-def _kind(state: State, symbol: int, aimed: bool) -> str:
-    if symbol == THREAT:
-        return "threat_aimed" if aimed else "threat"
-    if state.report:
-        return "insult_reported"
-    if state.negation >= 0:
-        return "insult_negated"
-    return "insult_aimed" if aimed else "insult"
+class Transducer:
+    """States are numbers from 0 on, which is the first; a row for each gives (state, mark) by symbol."""
+
+    rows: tuple[tuple[tuple[int, tuple], ...], ...]
+
+    @staticmethod
+    def of(step, start) -> Transducer:
+        """All states that ``step`` (state and symbol to state and mark) reaches from ``start``."""
+        states, rows = [start], []
+        for state in states:  # grows while it is read
+            row = []
+            for symbol in range(INSULT + 1):
+                after, mark = step(state, symbol)
+                if after not in states:
+                    states.append(after)
+                row.append((states.index(after), mark))
+            rows.append(tuple(row))
+        return Transducer(tuple(rows))
+
+    def beside(self, other: Transducer) -> Transducer:
+        """The composed machine: both read the same symbols, and their marks are joined."""
+
+        def step(pair, symbol):
+            (a, x), (b, y) = self.rows[pair[0]][symbol], other.rows[pair[1]][symbol]
+            return (a, b), x + y
+
+        return Transducer.of(step, (0, 0))
+
+    def read(self, symbols: bytes) -> list[tuple]:
+        state, marks = 0, []
+        for symbol in symbols:
+            state, mark = self.rows[state][symbol]
+            marks.append(mark)
+        return marks
+
+
+def _clause(state: int, symbol: int):
+    """Marks the ends of clauses."""
+    return 0, (symbol in (END, COLON),)
+
+
+def _match(state: int, symbol: int):
+    """Marks what opens a match."""
+    return 0, ("insult" if symbol == INSULT else "threat" if symbol == THREAT else "",)
+
+
+def _target(state: bool, symbol: int):
+    """Marks words after a target of their clause."""
+    return symbol not in (END, COLON) and (state or symbol == TARGET), (state,)
+
+
+def _report(state: int, symbol: int):
+    """Marks words after reported speech; a colon carries it into the clause that is quoted."""
+    if symbol == END or symbol == COLON and not state:
+        return 0, (False,)
+    return int(state or symbol == REPORT), (bool(state),)
+
+
+#: States of the negation: at the clause's first word, without one, in force to the end; or words since, below these.
+_FIRST, _NONE, _FORCE = 100, 101, 102
+
+
+def _negation(state: int, symbol: int):
+    """Marks words under a negation: a few after one that opens the clause ("not one of them ..."), else all that follow."""
+    mark = (state == _FORCE or state < _FIRST,)
+    if symbol in (END, COLON):
+        return _FIRST, mark
+    if symbol == NEGATION:
+        return 0 if state == _FIRST else _FORCE, mark
+    if state == _FORCE:
+        return state, mark
+    return state + 1 if state < REACH else _NONE, mark
+
+
+#: Read forwards.
+GRAMMAR = (
+    Transducer.of(_clause, 0)
+    .beside(Transducer.of(_match, 0))
+    .beside(Transducer.of(_target, False))
+    .beside(Transducer.of(_report, 0))
+    .beside(Transducer.of(_negation, _FIRST))
+)
+#: Read backwards: a target may also follow the match in its clause, and so may "..., she said".
+BEHIND = Transducer.of(_target, False).beside(
+    Transducer.of(lambda state, symbol: (int(symbol not in (END, COLON) and (state or symbol == REPORT)), (bool(state),)), 0)
+)
+
+
+def clauses(symbols: bytes, tokens: list[str], lexicon: Lexicon) -> Iterator[list[tuple[str, float]]]:
+    """For each clause with matches of the grammar their kinds and weights."""
+    found: list[tuple[str, float]] = []
+    behind = BEHIND.read(symbols[::-1])[::-1]
+    for i, (end, what, target, report, negation) in enumerate(GRAMMAR.read(symbols)):
+        if what:
+            how = "_reported" if report or behind[i][1] else "_negated" if negation else "_aimed" if target or behind[i][0] else ""
+            found.append((what + how, lexicon.weight(tokens[i]) if what == "insult" else 1.0))
+        elif end and found:
+            yield found
+            found = []
+    if found:
+        yield found
 
 
 def matches(symbols: bytes, tokens: list[str], lexicon: Lexicon) -> Iterator[tuple[str, float]]:
     """Kind and weight of each match of the grammar."""
-    state = 0
-    for i, symbol in enumerate(symbols):
-        if symbol >= THREAT:
-            # a target counts before the match or within its reach after it
-            after = symbols[i + 1 : i + 1 + REACH].split(bytes([END]))[0]
-            aimed = STATES[state].target >= 0 or bytes([TARGET]) in after
-            yield _kind(STATES[state], symbol, aimed), lexicon.weight(tokens[i]) if symbol == INSULT else 1.0
-        state = TABLE[state][symbol]
+    for clause in clauses(symbols, tokens, lexicon):
+        yield from clause
 
 
 def features(text: str | None, symbols: Symbols) -> np.ndarray | None:
-    """Sums of weights by kind, the largest, and a one; None without a match."""
+    """By kind the sums over clauses of the weightiest match, the largest that is neither negated nor reported, and a one; None without a match."""
     tokens = _TOKEN.findall((text or "").lower())
     read = bytes(map(symbols.__getitem__, tokens))
     if INSULT not in read and THREAT not in read:
         return None
     found = np.zeros(len(KINDS) + 2)
-    for kind, weight in matches(read, tokens, symbols.lexicon):
-        found[KINDS.index(kind)] += weight
-        if kind.startswith("insult"):
-            found[-2] = max(found[-2], weight)
+    for clause in clauses(read, tokens, symbols.lexicon):
+        best: dict[str, float] = {}
+        for kind, weight in clause:
+            best[kind] = max(best.get(kind, 0.0), weight)
+            if kind in ("insult", "insult_aimed"):
+                found[-2] = max(found[-2], weight)
+        for kind, weight in best.items():
+            found[KINDS.index(kind)] += weight
     found[: len(KINDS)] = np.log1p(found[: len(KINDS)])
     found[-1] = 1
     return found
@@ -228,7 +280,9 @@ def fit(toxic: list[str], other: list[str]) -> Model:
                 rows.append(found)
                 labels.append(label)
     weights = np.zeros(len(KINDS) + 2)
-    weights[: len(KINDS)] = weights[-2] = 1.0  # where no document says otherwise
+    # where no document says otherwise, what is negated or reported does not count
+    weights[: len(KINDS)] = [not kind.endswith(("_negated", "_reported")) for kind in KINDS]
+    weights[-2] = 1.0
     weights[-1] = -1.0
     if rows and 0 < sum(labels) < len(labels) + silent[0]:
         # two made-up documents keep it steady where one label has no match at all

@@ -56,6 +56,35 @@ def test_grammar():
     assert kinds("snerk and snerk; kill", lexicon) == ["insult", "insult", "threat"]
 
 
+def test_negation_and_report_reach_through_the_clause():
+    lexicon = X.Lexicon({"snerk": 1.0})
+    assert kinds("i will not kill you", lexicon) == ["threat_negated"]
+    assert kinds("he wrote that i will kill you", lexicon) == ["threat_reported"]
+    assert kinds("i will kill you, she said", lexicon) == ["threat_reported"]
+    assert kinds("she said: you are a snerk. you are a snerk", lexicon) == ["insult_reported", "insult_aimed"]
+    assert kinds("she said:\nyou are a snerk", lexicon) == ["insult_reported"]
+    assert kinds("no: you are a snerk", lexicon) == ["insult_aimed"]
+    assert kinds("he is not by any stretch of the imagination a snerk; a snerk", lexicon) == ["insult_negated", "insult"]
+    assert kinds("you are if i may say so a snerk", lexicon) == ["insult_aimed"]
+
+
+def test_composed_marks_are_those_of_the_parts():
+    draw = random.Random(3)
+    parts = [X.Transducer.of(f, s) for f, s in ((X._target, False), (X._negation, X._FIRST), (X._report, 0))]
+    whole = parts[0].beside(parts[1]).beside(parts[2])
+    for _ in range(50):
+        symbols = bytes(draw.randint(0, X.INSULT) for _ in range(40))
+        alone = [p.read(symbols) for p in parts]
+        assert whole.read(symbols) == [a + b + c for a, b, c in zip(*alone, strict=True)]
+
+
+def test_clauses_add_up_and_denials_do_not():
+    model = X.fit([], [])
+    score = lambda text: model.score(X.features(text, X.Symbols(model.lexicon)))
+    assert score("I will not kill you.") < X.THRESHOLD and score("He wrote that I will kill you.") < X.THRESHOLD
+    assert score("kill kill you") == score("kill you") < score("kill you. kill you.")
+
+
 def test_near_copies_do_not_make_a_lexicon():
     # one document and its many near copies, toxic for another reason
     draw = random.Random(1)
