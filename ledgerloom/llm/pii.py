@@ -25,9 +25,16 @@ PATTERNS = {
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?!-?[0-9])",
     "phone": r"(?<![0-9+])(?:\+1[ .-]?\(?[0-9]{3}\)?|\([0-9]{3}\))[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])",
     "key": r"(?<![A-Za-z0-9])(?:AKIA[A-Z0-9]{16}|[0-9a-f]{32,64})(?![A-Za-z0-9])",
-    "card": r"(?<![A-Za-z0-9])[0-9](?:[ -]?[0-9]){12,18}(?![A-Za-z0-9])",
 }
+#: A run of groups of digits, 13 digits at least; none of its later groups begins another kind. Cards are looked for inside.
+PATTERNS["card"] = (
+    r"(?<![A-Za-z0-9])(?=[0-9](?:[ -]?[0-9]){12})[0-9]++(?![A-Za-z])"
+    rf"(?:[ -](?!{'|'.join(PATTERNS.values())})[0-9]++(?![A-Za-z]))*+"
+)
 ANY = "|".join(PATTERNS.values())
+#: How the numbers of known issuers begin, with their lengths, and how they are written in groups.
+_ISSUED = "^(?:4(?:[0-9]{12}|[0-9]{15}|[0-9]{18})|(?:5[1-5]|2[2-7]|35)[0-9]{14}|3[47][0-9]{13}|3[068][0-9]{12}|6[0-9]{15,18})$"
+_WRITTEN = "^(?:[0-9]+|[0-9]{4}([ -])[0-9]{4}\\1[0-9]{4}\\1[0-9]{4}|[0-9]{4}([ -])[0-9]{6}\\2[0-9]{5})$"
 _LOWER, _UPPER, _DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 
 
@@ -124,6 +131,85 @@ def _card(value: Column, key: str) -> Column:
     return F.when(_luhn(digits, 0) % 10 == 0, _filled(value, full))
 
 
+def _valid_card(written: Column) -> Column:
+    digits = F.regexp_replace(written, "[^0-9]", "")
+    return F.length(digits).between(13, 19) & (_luhn(digits, 0) % 10 == 0)
+
+
+def _groups(run: Column) -> Column:
+    """The text of a match and where its groups of digits begin; no groups unless it is a run without a right check digit."""
+    start = F.struct(F.array().cast("array<int>").alias("begins"), F.lit(1).alias("at"))
+    begins = F.aggregate(
+        F.split(run, "[ -]"),
+        start,
+        lambda s, g: F.struct(F.array_append(s["begins"], s["at"]).alias("begins"), (s["at"] + F.length(g) + 1).alias("at")),
+        lambda s: s["begins"],
+    )
+    cut = run.rlike("^[0-9]+[ -][0-9 -]+$") & (F.length(run) > 13) & ~_valid_card(run)
+    return F.struct(run.alias("text"), F.when(cut, begins).otherwise(F.array().cast("array<int>")).alias("begins"))
+
+
+def _end(run: Column, i: Column) -> Column:
+    """Where group ``i``'s separator, or the end, lies before it."""
+    return F.coalesce(F.get(run["begins"], i) - 1, F.length(run["text"]) + 1)
+
+
+def _rated(run: Column) -> Column:
+    """For each group the best card that begins there: rank, length, how many groups; or null.
+
+    Those written as cards are are best, then those of known issuers, the longer ones first.
+    Others are no cards: in a long row of numbers some run always has a right check digit.
+    """
+
+    def rated(at: Column, i: Column, k: Column) -> Column:
+        written = F.substring(run["text"], at, _end(run, i + k) - at)
+        rank = F.when(written.rlike(_WRITTEN), 2).when(F.regexp_replace(written, "[^0-9]", "").rlike(_ISSUED), 1)
+        return F.when(
+            F.length(written).between(13, 37) & (rank > 0) & _valid_card(written),
+            F.struct(rank.alias("rank"), F.length(written).alias("size"), k.alias("groups")),
+        )
+
+    best = lambda at, i: F.array_max(
+        F.transform(F.sequence(F.lit(1), F.least(F.lit(19), F.size(run["begins"]) - i)), lambda k: rated(at, i, k))
+    )
+    return F.struct(run["text"].alias("text"), run["begins"].alias("begins"), F.transform(run["begins"], best).alias("best"))
+
+
+def _cut(run: Column) -> Column:
+    """From left to right the best card at a group, unless a better one begins inside it: (first group, groups) of each."""
+    start = F.struct(F.array().cast("array<struct<i:int,groups:int>>").alias("cards"), F.lit(0).alias("next"), F.lit(0).alias("i"))
+
+    def step(s: Column, own: Column) -> Column:
+        inside = F.slice(run["best"], s["i"] + 2, F.greatest(own["groups"] - 1, F.lit(0)))
+        card = (s["i"] >= s["next"]) & own.isNotNull() & ~F.exists(inside, lambda x: F.coalesce(x["rank"] > own["rank"], F.lit(False)))
+        taken = F.struct(
+            F.array_append(s["cards"], F.struct(s["i"].alias("i"), own["groups"].alias("groups"))).alias("cards"),
+            (s["i"] + own["groups"]).alias("next"),
+            (s["i"] + 1).alias("i"),
+        )
+        return F.when(card, taken).otherwise(F.struct(s["cards"].alias("cards"), s["next"].alias("next"), (s["i"] + 1).alias("i")))
+
+    cards = F.aggregate(run["best"], start, step, lambda s: s["cards"])
+    return F.struct(run["text"].alias("text"), run["begins"].alias("begins"), cards.alias("cards"))
+
+
+def _pieces(run: Column) -> Column:
+    """The match in pieces (text, whether it is a value): whole, or before, in and after its cards."""
+    piece = lambda text, value: F.struct(text.alias("text"), F.lit(value).alias("value"))
+
+    def around(c: Column, n: Column) -> Column:
+        before = F.when(n == 0, F.lit(0)).otherwise(F.get(run["cards"], n - 1)["i"] + F.get(run["cards"], n - 1)["groups"])
+        begin = F.get(run["begins"], before)
+        at, end = F.get(run["begins"], c["i"]), _end(run, c["i"] + c["groups"])
+        last = n + 1 == F.size(run["cards"])
+        # the separator after a card goes with what follows
+        gap = F.when(n == 0, F.substring(run["text"], F.lit(1), at - 1)).otherwise(F.substring(run["text"], begin - 1, at - begin + 1))
+        rest = F.when(last, F.substring(run["text"], end, F.length(run["text"]))).otherwise("")
+        return F.array(piece(gap, False), piece(F.substring(run["text"], at, end - at), True), piece(rest, False))
+
+    return F.when(F.size(run["cards"]) > 0, F.flatten(F.transform(run["cards"], around))).otherwise(F.array(piece(run["text"], True)))
+
+
 def _ip(value: Column, key: str) -> Column:
     """Null unless all parts are below 256 and without leading zeros."""
     parts = F.transform(F.split(value, r"\."), lambda x: x.cast("int"))
@@ -238,7 +324,8 @@ def pseudonymize(
     """All columns of ``docs`` with the text rewritten, and ``found_in``: an array of structs (kind, new).
 
     The array has an entry for each place that looks like personal data; its kind is null
-    where validation failed and the text stayed. A null text stays null with an empty
+    where validation failed and the text stayed. Several cards in one run of numbers have an
+    entry each. A null text stays null with an empty
     array; texts without such places are unchanged. An existing column ``found_in`` is
     replaced. Repeated rows get equal results.
     """
@@ -246,12 +333,26 @@ def pseudonymize(
     # most texts have neither a digit nor an address sign, and are looked at no further
     maybe = F.coalesce(column.rlike("[0-9@]"), F.lit(False))
     places = F.when(maybe, F.regexp_extract_all(column, F.lit(ANY), F.lit(0))).otherwise(F.array().cast("array<string>"))
-    found = docs.withColumn(found_in, F.transform(places, lambda m: _replaced(m, key)))
-    gaps = F.split(column, ANY, -1)
-    joined = F.array_join(
-        F.flatten(F.zip_with(gaps, F.col(f"`{found_in}`")["new"], lambda g, n: F.array(g, F.coalesce(n, F.lit(""))))), ""
+    runs = F.transform(F.transform(F.transform(F.transform(places, _groups), _rated), _cut), _pieces)
+    pieces = F.flatten(
+        F.zip_with(
+            F.split(column, ANY, -1),
+            runs,
+            lambda gap, run: F.concat(F.array(F.struct(gap.alias("text"), F.lit(False).alias("value"))), F.coalesce(run, F.array())),
+        )
     )
-    return found.withColumn(text, F.when(F.size(F.col(f"`{found_in}`")) > 0, joined).otherwise(column))
+    kept = lambda x: F.struct(F.lit(None).cast("string").alias("kind"), x["text"].alias("new"), x["value"].alias("value"))
+
+    def changed(x: Column) -> Column:
+        value = lambda r: F.struct(r["kind"].alias("kind"), r["new"].alias("new"), F.lit(True).alias("value"))
+        return F.when(x["value"], F.transform(F.array(_replaced(x["text"], key)), value)[0]).otherwise(kept(x))
+
+    none = F.array().cast("array<struct<kind:string,new:string,value:boolean>>")
+    found = docs.withColumn(found_in, F.when(F.size(places) > 0, F.transform(pieces, changed)).otherwise(none))
+    every = F.col(f"`{found_in}`")
+    entries = F.transform(F.filter(every, lambda x: x["value"]), lambda x: F.struct(x["kind"].alias("kind"), x["new"].alias("new")))
+    joined = F.when(F.size(every) > 0, F.array_join(every["new"], "")).otherwise(column)
+    return found.withColumns({text: joined, found_in: entries})
 
 
 def counted(docs: DataFrame, key: str = "a key of your own") -> DataFrame:

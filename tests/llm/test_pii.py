@@ -83,6 +83,18 @@ def test_what_fails_validation_stays(spark):
     assert got.text == text and all(p.kind is None for p in got.pii)
 
 
+def test_cards_beside_other_numbers(spark):
+    values = ["4111111111111111", "4111 1111 1111 1111", "3782 822463 10005", "5500-0000-0000-0004", "1.2.3.4", "123-45-6789"]
+    texts = ["{0} 12/27", "5 {0}", "{1} 123", "7 12 {1} 123 9", "{1} {3}", "1234 5678 {1}", "12/27 {2} 1234", "{0} {4}", "12 34 {1} {5}", "{1} 12a", "{0} " + "12 34 " * 200 + "{1}", "{1} {3} 1"]
+    rows = list(enumerate(values + [t.format(*values) for t in texts]))
+    got = {r.id: r for r in pii.pseudonymize(spark.createDataFrame(rows, "id int, text string"), KEY).collect()}
+    new = [got[i].text for i in range(len(values))]
+    assert all(a != b for a, b in zip(values, new, strict=True))
+    for i, text in enumerate(texts, len(values)):
+        assert got[i].text == text.format(*new), text
+    assert [p.kind for p in got[len(rows) - 1].pii] == ["card", "card"]
+
+
 def test_odd_rows(spark):
     got = pii.pseudonymize(odd_table(spark))
     assert got.columns == odd_table(spark).columns and got.count() == 6
