@@ -17,13 +17,21 @@ ROUNDS = 8
 _DAY = r"(?:0[1-9]|[12][0-9]|3[01])"
 _MONTH = r"(?:0[1-9]|1[0-2])"
 _YEAR = r"(?:1[89]|2[01])[0-9]{2}"
+#: Country codes that are given, but 1.
+_COUNTRY = "(?:7|2[07]|2[1-689][0-9]|3[0-469]|3[578][0-9]|4[013-9]|42[0-9]|5[1-8]|5[09][0-9]|6[0-6]|6[789][0-9]|8[1246]|8[0578][0-9]|9[0-58]|9[679][0-9])"
+#: A foreign number ends before a card.
+_CARD_AHEAD = "[0-9]{13}|[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5}"
 #: Kinds and what they look like; the first that fits a place is taken.
 PATTERNS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}",
     "ip": r"(?<![0-9.])[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}(?!\.?[0-9])",
     "date": rf"(?<![0-9./-])(?:{_YEAR}-{_MONTH}-{_DAY}|{_DAY}[./]{_MONTH}[./]{_YEAR})(?![./-]?[0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?!-?[0-9])",
-    "phone": r"(?<![0-9+])(?:\+1[ .-]?\(?[0-9]{3}\)?|\([0-9]{3}\))[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])",
+    "phone": (
+        r"(?:(?<![0-9+])(?:\+1[ .-]?\(?[0-9]{3}\)?|\([0-9]{3}\))[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])"
+        r"|(?<![A-Za-z0-9_+])(?<![0-9][./-])[2-9][0-9]{2}(?:-[0-9]{3}-|\.[0-9]{3}\.| [0-9]{3} )[0-9]{4}(?![A-Za-z0-9]|[.-][0-9])"
+        rf"|(?<![A-Za-z0-9+])\+{_COUNTRY}(?:(?:[ ./-](?!{_CARD_AHEAD})| ?\(|\) ?)?[0-9]){{6,12}}(?![A-Za-z0-9]))"
+    ),
     "key": r"(?<![A-Za-z0-9])(?:AKIA[A-Z0-9]{16}|[0-9a-f]{32,64})(?![A-Za-z0-9])",
 }
 #: A run of groups of digits, 13 digits at least; none of its later groups begins another kind. Cards are looked for inside.
@@ -222,6 +230,22 @@ def _ip(value: Column, key: str) -> Column:
 
 
 def _phone(value: Column, key: str) -> Column:
+    return F.when(value.rlike(r"^\+[2-9]"), _foreign(value, key)).otherwise(_american(value, key))
+
+
+def _foreign(value: Column, key: str) -> Column:
+    """The country code stays."""
+    digits = F.regexp_replace(value, "[^0-9]", "")
+    front = F.length(F.regexp_extract(digits, f"^{_COUNTRY}", 0))
+    a = F.floor((F.length(digits) - front) / 2).cast("int")
+    b = F.length(digits) - front - a
+    left, right = F.substring(digits, front + 1, a), F.substring(digits, front + a + 1, b)
+    new = feistel(_long(left), _long(right), F.pow(F.lit(10.0), a), F.pow(F.lit(10.0), b), key, "phone")
+    full = lambda x: F.concat(F.substring(digits, F.lit(1), front), _pad(x["l"], a), _pad(x["r"], b))
+    return _filled(value, F.transform(F.array(new), full)[0])
+
+
+def _american(value: Column, key: str) -> Column:
     """The country code stays, and whether area and exchange begin with 0 or 1, as no real ones do."""
     digits = F.regexp_replace(value, "[^0-9]", "")
     front = F.length(digits) - 10

@@ -95,6 +95,20 @@ def test_cards_beside_other_numbers(spark):
     assert [p.kind for p in got[len(rows) - 1].pii] == ["card", "card"]
 
 
+def test_more_forms_of_phones_and_addresses(spark):
+    values = ["555-123-4567", "555.123.4567", "555 123 4567", "+49 30 1234567", "+44 (0)20 7946 0958", "+33142685300", "_ab@x.example", ".a.b@x.example", "+a1@x.example"]
+    card = "4111 1111 1111 1111"
+    rows = [(i, f"see {v}, or {v}.") for i, v in enumerate(values)]
+    rows += [(100, "155-123-4567 12-555-123-4567 +999 12 a@b 555-123-45678, 555-123.4567"), (101, f"+49 30 1234567 {card}"), (102, card)]
+    got = {r.id: r for r in pii.pseudonymize(spark.createDataFrame(rows, "id int, text string"), KEY).collect()}
+    for i, v in enumerate(values):
+        (kind, new), again = got[i].pii
+        assert kind == ("email" if "@" in v else "phone") and new != v and again.new == new and len(new) == len(v)
+        assert got[i].text == f"see {new}, or {new}."
+    assert got[3].pii[0].new[:4] == "+49 " and got[100].text == rows[-3][1]
+    assert got[101].text == f"{got[3].pii[0].new} {got[102].text}"
+
+
 def test_odd_rows(spark):
     got = pii.pseudonymize(odd_table(spark))
     assert got.columns == odd_table(spark).columns and got.count() == 6
