@@ -136,7 +136,7 @@ def _card(value: Column, key: str) -> Column:
     new = feistel(_long(kind[0]), _long(kind[1]), size(a), size(b), key, "card")
     body = F.transform(F.array(new), lambda x: F.concat(F.substring(digits, 1, 1), _pad(x["l"], a), _pad(x["r"], b)))[0]
     full = F.transform(F.array(body), lambda x: F.concat(x, F.pmod(-_luhn(x, 1), F.lit(10)).cast("string")))[0]
-    return F.when(_luhn(digits, 0) % 10 == 0, _filled(value, full))
+    return F.when(_valid_card(value), _filled(value, full))
 
 
 def _valid_card(written: Column) -> Column:
