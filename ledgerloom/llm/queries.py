@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ledgerloom.llm import chat, covertree, decontaminate, langid, licenses, minhash, packing, pii, sharding, toxicity
+from ledgerloom.llm import centroids, chat, covertree, decontaminate, filteraudit, langid, licenses, linededup
+from ledgerloom.llm import minhash, packing, pii, sharding, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,6 +70,19 @@ def op5_minimax_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.centroid_clusters(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = linededup.without_frequent_lines(_table(spark, sf_dir, "documents"), least=10)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filteraudit.audit_filters(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -82,6 +96,9 @@ QUERIES = {
         op8_benchmark_decontamination,
         op9_feistel_pii,
         op10_minhash_near_dedup,
+        op11_centroid_clustering,
+        op12_line_dedup,
+        op13_filter_audit,
     )
 }
 QUERIES["pipeline"] = corpus_pipeline.run
@@ -110,4 +127,9 @@ select conv_id,
 from sized group by conv_id
 """
 
-ORACLES: dict[str, str] = {"op4_relational_chat_formatting": _OP4_SQL}
+ORACLES: dict[str, str] = {
+    "op4_relational_chat_formatting": _OP4_SQL,
+    "op11_centroid_clustering": centroids.SQL,
+    "op12_line_dedup": linededup.SQL,
+    "op13_filter_audit": filteraudit.SQL,
+}

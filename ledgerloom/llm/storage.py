@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ledgerloom.sources.workspace import session_folder
 
@@ -19,12 +19,18 @@ def free_name(columns: list[str], stem: str) -> str:
     return name
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` to a new folder below ``spark.checkpoint.dir`` and read it back.
 
     A lost executor then costs the tasks of one step only, and what later steps see is
     fixed by files, whatever tasks were retried.
     """
     path = session_folder(df.sparkSession, "llm", f"{label}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    df.write.partitionBy(*(partition_by or [])).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a folder of a step whose successor is written, in whatever store it lies."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
