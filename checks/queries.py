@@ -48,9 +48,10 @@ def on_model(then: Callable) -> Query:
 # ---------------------------------------------------------------- raw and staging
 
 def _raw_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lake = warehouse(spark, sf_dir)
-    lake.table("RawTransactions")  # written on first use
-    return read_raw(spark, lake.path("RawTransactions"))
+    raw = warehouse(spark, sf_dir).table("RawTransactions")  # written on first use
+    path = session_folder(spark, f"raw-{uuid.uuid4().hex}")
+    raw.write.parquet(path)
+    return read_raw(spark, path)
 
 
 add(
@@ -429,15 +430,19 @@ def _fact(mode: str) -> Query:
         fact = facts.build_fact_transaction(
             lake.table("Stg_Transaction"), customers, lake.table("Dim_Date"), places, mode
         )
-        owners = customers.select("CustomerKey", "CustomerID", "LocationMatch")
-        named = fact.join(owners, "CustomerKey").join(places.select("LocationKey", "LocationCode"), "LocationKey", "left")
-        return named.select(
-            "TransactionID", "CustomerID", "LocationMatch", "DateKey", "LocationCode", "TransactionAmount", "AccountBalance"
-        )
+        return _named(fact, lake)
 
     return build
 
 
+def _named(fact: DataFrame, lake: Warehouse) -> DataFrame:
+    owners = lake.table("Dim_Customer").select("CustomerKey", "CustomerID", "LocationMatch")
+    places = lake.table("Dim_Location").select("LocationKey", "LocationCode")
+    return fact.join(owners, "CustomerKey").join(places, "LocationKey", "left").select(
+        "TransactionID", "CustomerID", "LocationMatch", "DateKey", "LocationCode", "TransactionAmount", "AccountBalance"
+    )
+
+
 _FACT_COLUMNS = "TransactionID, CustomerID, LocationMatch, DateKey, LocationCode, TransactionAmount, AccountBalance"
 add("fact_transaction_version_key", _fact("version_key"), f"select {_FACT_COLUMNS} from fact")
 add("fact_transaction_date_range", _fact("date_range"), f"select {_FACT_COLUMNS} from fact_range")
@@ -1437,17 +1442,47 @@ add(
 # ---------------------------------------------------------------- a batch on top of a load
 
 
-def _after_batch(spark: SparkSession, sf_dir: str) -> Warehouse:
+class Stopped(Exception):
+    """A load ends half-way."""
+
+
+_batched: dict[tuple[str, str, str], Warehouse] = {}
+
+
+def _after_batch(spark: SparkSession, sf_dir: str, kind: str = "once") -> Warehouse:
     """A warehouse of two loads: transactions of two customers in three, then a batch with the
-    others and with one transaction in five of the first."""
+    others and with one transaction in five of the first.
+
+    ``replayed``: the batch is then given again to the warehouse as opened anew. ``resumed``: the
+    batch stops in the middle, and goes on in one that is opened anew.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, kind)
+    if key in _batched:
+        return _batched[key]
     lake = warehouse(spark, sf_dir)
     raw = lake.table("RawTransactions")
     late = (F.pmod(F.xxhash64("CustomerID"), F.lit(3)) == 0) | (F.pmod(F.xxhash64("TransactionID"), F.lit(5)) == 0)
     late = F.coalesce(late, F.lit(False))
-    folder = session_folder(spark, f"batch-{uuid.uuid4().hex}")
-    two = Warehouse(spark, folder, SETTINGS, raw.where(~late), lake.table("City_Lookup"), land_raw=False)
-    two.load()
-    two.apply_batch(raw.where(late))
+    settings = replace(SETTINGS, scd_join="date_range") if kind == "date_range" else SETTINGS
+    if kind == "replayed":
+        two = Warehouse(spark, _after_batch(spark, sf_dir).directory, settings)
+        two.apply_batch(raw.where(late), batch_id=1)
+    else:
+        folder = session_folder(spark, f"batch-{uuid.uuid4().hex}")
+        two = Warehouse(spark, folder, settings, raw.where(~late), lake.table("City_Lookup"), land_raw=False)
+        two.load()
+        if kind == "resumed":
+
+            def stop(step: str) -> None:
+                if step == "Fact_Transaction":
+                    raise Stopped
+
+            try:
+                two.apply_batch(raw.where(late), batch_id=1, after_step=stop)
+            except Stopped:
+                two = Warehouse(spark, folder, settings)
+        two.apply_batch(raw.where(late), batch_id=1)
+    _batched[key] = two
     return two
 
 
@@ -1483,3 +1518,43 @@ add(
         cast(sum(coalesce(SegmentKey, -1)) as bigint) as Segments, count(distinct CustomerID) as DistinctCustomers
        from snap group by DateKey""",
 )
+
+
+def _loaded_once(kind: str) -> Query:
+    """Rows and money of the fact and of the snapshot by month, after a batch that came twice or was stopped."""
+
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        lake = _after_batch(spark, sf_dir, kind)
+        of = lambda df, table, month, amount: df.groupBy(month.alias("Month")).agg(
+            F.lit(table).alias("TableName"),
+            F.count(F.lit(1)).alias("TableRows"),
+            F.sum(amount).cast("decimal(28,2)").alias("Amount"),
+        )
+        fact, snap = lake.table("Fact_Transaction"), lake.table("Fact_CustomerSnapshot")
+        month_of = F.concat_ws("-", F.expr("DateKey div 10000"), F.lpad(F.expr("cast(DateKey div 100 % 100 as string)"), 2, "0"))
+        return of(fact, "Fact_Transaction", F.col("year_month"), "TransactionAmount").unionByName(
+            of(snap, "Fact_CustomerSnapshot", month_of, "TotalTransactionAmount")
+        )
+
+    return build
+
+
+for _kind in ("replayed", "resumed"):
+    add(
+        f"batch_{_kind}_equals_once",
+        _loaded_once(_kind),
+        """select strftime(Date, '%Y-%m') as Month, 'Fact_Transaction' as TableName, count(*) as TableRows,
+             cast(sum(TransactionAmount) as decimal(28,2)) as Amount from fact group by 1
+           union all
+           select strftime(MonthEndDate, '%Y-%m'), 'Fact_CustomerSnapshot', count(*),
+             cast(sum(TotalTransactionAmount) as decimal(28,2)) from snap group by 1""",
+    )
+
+
+def _incremental_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All facts after a batch, under the range join: the batch widens windows over older facts of other places."""
+    lake = _after_batch(spark, sf_dir, "date_range")
+    return _named(lake.table("Fact_Transaction"), lake)
+
+
+add("incremental_equals_full_date_range", _incremental_range, f"select {_FACT_COLUMNS} from fact_range")

@@ -34,11 +34,13 @@ def build_fact_transaction(
     dim_date: DataFrame,
     dim_location: DataFrame,
     scd_join: str = "version_key",
+    windows: DataFrame | None = None,
 ) -> DataFrame:
     """One row per transaction and matching customer version.
 
     With ``version_key`` the version carries the location of the transaction, so its
-    location key serves both and the location dimension is not joined again.
+    location key serves both and the location dimension is not joined again. ``date_range``
+    joins ``windows`` of the versions, if given, in place of their whole ones.
     """
     facts = dated_transactions(stg_txn, dim_date)
     if scd_join == "version_key":
@@ -48,7 +50,8 @@ def build_fact_transaction(
         joined = scd2_join(facts, versions, "CustomerID", "Date", "version_key", spread_by=_SPREAD)
         located = joined.withColumn("LocationKey", F.when(F.col("CustLocation").isNotNull(), F.col("LocationKey")))
     else:
-        versions = dim_customer.select("CustomerID", "CustomerKey", "StartDate", "EndDate", "DatedRows")
+        windows = dim_customer if windows is None else windows
+        versions = windows.select("CustomerID", "CustomerKey", "StartDate", "EndDate", "DatedRows")
         joined = scd2_join(facts, versions, "CustomerID", "Date", "date_range", spread_by=_SPREAD)
         places = dim_location.select("LocationCode", "LocationKey")
         by_place = dim_customer.groupBy(location_code(F.col("Location")).alias("LocationCode")).agg(

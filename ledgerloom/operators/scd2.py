@@ -53,6 +53,50 @@ def scd2_join(
     raise ValueError(f"unknown mode {mode!r}")
 
 
+def window_difference(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
+    """Days that the version windows of ``new`` hold and those of ``old`` do not, and the other way round.
+
+    Both have ``key`` (unique), ``StartDate`` and ``EndDate`` (open where NULL). One row for
+    each stretch of days: ``key, StartDate, EndDate, Gained``. A window that grew at both ends
+    has two; equal windows have none. One join of the two, by ``key``.
+    """
+    window = lambda df, name: df.select(
+        key, F.struct("StartDate", F.coalesce("EndDate", F.lit(FAR_FUTURE)).alias("EndDate")).alias(name)
+    )
+    both = window(old, "_o").join(window(new, "_n"), key, "full_outer")
+
+    def apart(one: str, other: str, gained: bool) -> list:
+        """The part of ``one`` before ``other`` begins and the part after it ends; all of it if there is no other."""
+        before = F.least(f"{one}.EndDate", F.coalesce(F.date_sub(f"{other}.StartDate", 1), f"{one}.EndDate"))
+        after = F.greatest(f"{one}.StartDate", F.date_add(f"{other}.EndDate", 1))
+        whole = F.col(other).isNull()
+        stretch = lambda a, b: F.struct(a.alias("StartDate"), b.alias("EndDate"), F.lit(gained).alias("Gained"))
+        later = F.when(whole | (F.col(f"{other}.EndDate") == F.lit(FAR_FUTURE)), F.lit(None)).otherwise(after)
+        return [stretch(F.col(f"{one}.StartDate"), before), stretch(later, F.col(f"{one}.EndDate"))]
+
+    stretches = F.filter(
+        F.array(*apart("_n", "_o", True), *apart("_o", "_n", False)), lambda s: s["StartDate"] <= s["EndDate"]
+    )
+    return both.select(key, F.explode(stretches).alias("s")).select(key, "s.*")
+
+
+def window_gains(old: DataFrame, new: DataFrame, customers: DataFrame) -> DataFrame:
+    """Stretches of days that versions of ``customers`` have come to hold, as windows to join facts with.
+
+    ``old`` and ``new`` are two states of the customer dimension in which versions keep their
+    keys. The result has what :func:`scd2_join` reads: ``CustomerID, CustomerKey, StartDate,
+    EndDate, DatedRows``, the last with all facts behind the customer in ``old``.
+    """
+    touched = customers.where(F.col("CustomerID").isNotNull()).distinct()
+    was, now = (d.join(touched, "CustomerID", "left_semi") for d in (old, new))
+    gained = window_difference(was, now, "CustomerKey").where("Gained").drop("Gained")
+    owners = now.select("CustomerKey", "CustomerID")
+    rows = was.groupBy("CustomerID").agg(F.sum("DatedRows").alias("DatedRows"))
+    return gained.join(owners, "CustomerKey").join(rows, "CustomerID").select(
+        "CustomerID", "CustomerKey", "StartDate", "EndDate", "DatedRows"
+    )
+
+
 def scd2_merge(
     current: DataFrame,
     updates: DataFrame,
