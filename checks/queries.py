@@ -16,7 +16,7 @@ from checks.oracle import _clean, _code, _dmy, _merged, _money, _pct, sql
 from checks.oracle import _spine as _spine_sql
 from ledgerloom.functions import calendar, cleanse
 from ledgerloom.operators import dimensions, facts, quality, reports, scd2, seed, segments, snapshot, staging
-from ledgerloom.plans import dashboards, measures, transitions
+from ledgerloom.plans import dashboards, levels, measures, transitions
 from ledgerloom.plans.model import report_view, snapshot_wide
 from ledgerloom.plans.warehouse import Warehouse
 from ledgerloom.sources.readers import read_raw, read_seed_csv, sample_rows
@@ -425,16 +425,17 @@ add(
 def _fact(mode: str) -> Query:
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
         """Facts named by what their keys stand for."""
-        lake = warehouse(spark, sf_dir)
-        customers, places = lake.table("Dim_Customer"), lake.table("Dim_Location")
-        fact = facts.build_fact_transaction(
-            lake.table("Stg_Transaction"), customers, lake.table("Dim_Date"), places, mode
-        )
-        return _named(fact, lake)
+        return _named(_fact_rows(spark, sf_dir, mode), warehouse(spark, sf_dir))
 
     return build
 
 
+def _fact_rows(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
+    lake = warehouse(spark, sf_dir)
+    sources = [lake.table(n) for n in ("Stg_Transaction", "Dim_Customer", "Dim_Date", "Dim_Location")]
+    return facts.build_fact_transaction(*sources, mode)
+
+
 def _named(fact: DataFrame, lake: Warehouse) -> DataFrame:
     owners = lake.table("Dim_Customer").select("CustomerKey", "CustomerID", "LocationMatch")
     places = lake.table("Dim_Location").select("LocationKey", "LocationCode")
@@ -448,7 +449,7 @@ add("fact_transaction_version_key", _fact("version_key"), f"select {_FACT_COLUMN
 add("fact_transaction_date_range", _fact("date_range"), f"select {_FACT_COLUMNS} from fact_range")
 add(
     "scd_overlap_duplicates",
-    lambda s, d: quality.duplicated_transactions(_fact("date_range")(s, d)),
+    lambda s, d: quality.duplicated_transactions(_fact_rows(s, d, "date_range")),
     "select TransactionID, count(*) as FactRows from fact_range group by TransactionID having count(*) > 1",
 )
 add(
@@ -737,17 +738,9 @@ add(
 )
 
 
-def _balance_level(m) -> DataFrame:
-    """Customers of the last month by level of their balance."""
-    now = m.snapshot.where(F.col("DateKey") == F.lit(m.anchors().last))
-    balance = F.col("FinalAccountBalance")
-    level = F.when(balance < 50000, "Low").when(balance < 250000, "Medium").otherwise("High")
-    return reports.distribution(now.select(level.alias("BalanceLevel")), "BalanceLevel", count="Customers")
-
-
 add(
     "customers_by_balance_level",
-    on_model(_balance_level),
+    on_model(levels.customers_by_balance_level),
     _share(
         "BalanceLevel",
         """(select case when FinalAccountBalance < 50000 then 'Low' when FinalAccountBalance < 250000 then 'Medium' else 'High' end
@@ -1558,3 +1551,5 @@ def _incremental_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 add("incremental_equals_full_date_range", _incremental_range, f"select {_FACT_COLUMNS} from fact_range")
+
+from checks import further  # noqa: E402, F401 - registers more queries

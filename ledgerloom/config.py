@@ -26,6 +26,8 @@ class Settings:
     age_mode            "documented" (56 and above is 56+) or "as_coded" (56 is Unknown)
     customer_type_mode  "as_coded" (always Existing) or "documented" (New for 90 days)
     balance_carry       "running_max" or "last_value"
+    rule_validity       "ignore": all active segment rules hold at all times; "as_of": those
+                        whose StartDate and EndDate hold the end of the month
     grain               "version": only the current customer version feeds the snapshot;
                         "customer_id": the whole history of the customer does
     """
@@ -42,6 +44,7 @@ class Settings:
     age_mode: str = "documented"
     customer_type_mode: str = "as_coded"
     balance_carry: str = "running_max"
+    rule_validity: str = "ignore"
     grain: str = "version"
 
     def __post_init__(self) -> None:
@@ -51,6 +54,7 @@ class Settings:
         _one_of("age_mode", self.age_mode, ("documented", "as_coded"))
         _one_of("customer_type_mode", self.customer_type_mode, ("as_coded", "documented"))
         _one_of("balance_carry", self.balance_carry, ("running_max", "last_value"))
+        _one_of("rule_validity", self.rule_validity, ("ignore", "as_of"))
         _one_of("grain", self.grain, ("version", "customer_id"))
         if self.start > self.cutoff:
             raise ValueError("start lies after cutoff")

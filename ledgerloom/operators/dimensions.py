@@ -18,7 +18,8 @@ from ledgerloom.functions.cleanse import (
 from ledgerloom.operators.keys import with_surrogate_key
 from ledgerloom.operators.skew import balanced_join
 
-# Fixed values of the location dimension.
+# Fixed values of the dimensions.
+GENDERS = ("Female", "Male", "Unknown")
 COUNTRY, LOCATION_TYPE, UNKNOWN = "India", "City", "Unknown"
 
 
@@ -107,15 +108,18 @@ def merged_history(one: DataFrame, other: DataFrame) -> DataFrame:
 
 
 def customer_demographics(stg_customer: DataFrame, dob_policy: str = "null_out_of_range") -> DataFrame:
-    """Birth date and gender of each customer: the largest of what the rows say."""
-    return (
+    """Birth date and gender of each customer: the largest of what the rows say.
+
+    Genders compare as numbers in the order of their names: a text maximum would sort all rows.
+    """
+    label = normalize_gender(F.col("Gender"))
+    place = F.array_position(F.array(*map(F.lit, GENDERS)), label).cast("int")
+    largest = (
         stg_customer.where(F.col("CustomerID").isNotNull())
         .groupBy("CustomerID")
-        .agg(
-            F.max(parse_dob(F.col("DOB"), dob_policy)).alias("DateOfBirth"),
-            F.max(normalize_gender(F.col("Gender"))).alias("Gender"),
-        )
+        .agg(F.max(parse_dob(F.col("DOB"), dob_policy)).alias("DateOfBirth"), F.max(place).alias("_gender"))
     )
+    return largest.select("CustomerID", "DateOfBirth", F.element_at(F.array(*map(F.lit, GENDERS)), F.col("_gender")).alias("Gender"))
 
 
 def scd2_versions(history: DataFrame) -> DataFrame:

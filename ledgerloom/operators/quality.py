@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.calendar import date_of_key
+from ledgerloom.functions.cleanse import clean_nan, customer_id, parse_dmy
 
 
 def skipped_histories(history: DataFrame) -> DataFrame:
@@ -15,6 +17,31 @@ def skipped_histories(history: DataFrame) -> DataFrame:
     return history.agg(F.count_if(F.col("LocStartDate").isNull()).alias("SkippedGroups"))
 
 
+#: Columns that the tables declare as never NULL.
+REQUIRED = {
+    "Dim_Segment": ("SegmentKey", "SegmentCode", "SegmentName", "SegmentType", "DisplayOrder", "IsActive", "StartDate"),
+    "Dim_Location": ("LocationKey", "LocationCode", "LocationName", "City", "State", "Country", "Region", "LocationType"),
+    "Dim_Customer": ("CustomerKey", "CustomerID", "Gender", "AgeGroup", "Location", "CustomerType", "FirstTransactionDate", "StartDate", "IsCurrent"),
+    "Fact_Transaction": ("TransactionKey", "CustomerKey", "DateKey", "TransactionID", "TransactionAmount", "AccountBalance", "TransactionCount"),
+    "Fact_CustomerSnapshot": (
+        "SnapshotKey", "CustomerKey", "DateKey", "SegmentKey", "TransactionCount", "TotalTransactionAmount",
+        "AvgTransactionAmount", "MinTransactionAmount", "MaxTransactionAmount", "DaysSinceLastTransaction", "RecencyScore",
+        "FrequencyScore", "LoyaltyScore", "SatisfactionScore", "ComplaintFlag", "ChurnFlag", "AtRiskFlag", "TrendCategory",
+        "PreviousMonthTransactionCount", "FinalAccountBalance",
+    ),
+}
+
+
+def required_columns(tables: dict[str, DataFrame]) -> DataFrame:
+    """``TableName, ColumnName, NullRows`` of every column that is declared as never NULL; one scan a table."""
+    found = []
+    for name, columns in REQUIRED.items():
+        counts = tables[name].agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+        rows = F.array(*[F.struct(F.lit(c).alias("ColumnName"), F.col(c).alias("NullRows")) for c in columns])
+        found.append(counts.select(F.lit(name).alias("TableName"), F.explode(rows).alias("r")).select("TableName", "r.*"))
+    return reduce(DataFrame.unionByName, found)
+
+
 def null_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.agg(*[F.count_if(F.col(c).isNull()).alias(f"Null{c}") for c in columns])
 
@@ -116,3 +143,52 @@ def reconciliation(raw: DataFrame, stg_txn: DataFrame, fact: DataFrame) -> DataF
         .unionByName(one(stg_txn, "staging with id and date", F.count_if(usable)))
         .unionByName(one(fact, "fact", F.count(F.lit(1))))
     )
+
+
+#: Why a raw row is no fact, in the order in which the load would drop it.
+REASONS = ("no transaction id", "no customer", "no date", "unreadable date", "date outside the calendar")
+
+
+def drop_reason(dim_date: DataFrame) -> Callable[[DataFrame], DataFrame]:
+    """A step that adds ``Reason`` to raw rows: why the load leaves the row out, NULL where it loads it."""
+
+    def with_reason(raw: DataFrame) -> DataFrame:
+        text = clean_nan(F.col("TransactionDate"), trim_test=False)
+        typed = raw.withColumns({"_customer": customer_id(F.col("CustomerID")), "_text": text, "_day": parse_dmy(text)})
+        # one row per day: broadcast is bounded by the length of the calendar
+        days = F.broadcast(dim_date.select(F.col("Date").alias("_day"), F.lit(True).alias("_known")))
+        tests = (
+            F.col("TransactionID").isNull(),
+            F.col("_customer").isNull(),
+            F.col("_text").isNull(),
+            F.col("_day").isNull(),
+            F.col("_known").isNull(),
+        )
+        reason = F.lit(None).cast("string")
+        for test, name in reversed(list(zip(tests, REASONS, strict=True))):
+            reason = F.when(test, name).otherwise(reason)
+        return typed.join(days, "_day", "left").withColumn("Reason", reason).select(*raw.columns, "Reason")
+
+    return with_reason
+
+
+def reconciliation_by_reason(raw: DataFrame, fact: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """Raw rows by what became of them: a reason for each that is no fact, the facts, and what is left over.
+
+    The rows add up to the raw table. ``unexplained`` is what should have become a fact and
+    is not one (less than none: facts that no raw row explains); it is 0 after a sound load
+    in which a transaction meets one version. Raw and fact are scanned once each.
+    """
+    reasons = drop_reason(dim_date)(raw).groupBy(F.coalesce("Reason", F.lit("_loaded")).alias("Reason")).agg(
+        F.count(F.lit(1)).alias("Records")
+    )
+    facts = fact.agg(F.count(F.lit(1))).scalar()
+    wanted = F.explode(F.array(*[F.lit(r) for r in (*REASONS, "fact", "unexplained")])).alias("Reason")
+    total = reasons.agg(F.map_from_entries(F.collect_list(F.struct("Reason", "Records"))).alias("_of"))  # seven entries
+    one = total.select(wanted, "_of", facts.alias("_facts"))
+    count = (
+        F.when(F.col("Reason") == "fact", F.col("_facts"))
+        .when(F.col("Reason") == "unexplained", F.coalesce(F.col("_of")["_loaded"], F.lit(0)) - F.col("_facts"))
+        .otherwise(F.coalesce(F.try_element_at("_of", "Reason"), F.lit(0)))
+    )
+    return one.select("Reason", count.alias("Records"))

@@ -224,7 +224,11 @@ def build_snapshot(
     settings: Settings,
 ) -> DataFrame:
     """Monthly activity to scored and segmented customer-months."""
+    from ledgerloom.operators.rules import assign_segment_as_of
     from ledgerloom.operators.segments import assign_segment
 
     merged = merge_spine(activity, dim_customer, dim_date, settings)
+    if settings.rule_validity == "as_of":
+        months = month_calendar(dim_date, settings.start, settings.cutoff)
+        return assign_segment_as_of(score_snapshot(merged, settings.seed), rules, months, settings.segment_mode)
     return assign_segment(score_snapshot(merged, settings.seed), rules, settings.segment_mode)

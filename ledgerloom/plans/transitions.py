@@ -284,3 +284,74 @@ def growth_distribution(model: Model) -> DataFrame:
 
     now = model.snapshot.where(F.col("DateKey") == F.lit(model.anchors().last))
     return distribution(now, "TrendCategory", count="Customers")
+
+
+#: The stages of the loyalty path in order, by segment code.
+LOYALTY_STAGES = ("RF_New", "RF_Potential", "RF_Loyal")
+
+
+def customer_paths(model: Model, stages: tuple[str, ...] = LOYALTY_STAGES, largest_gap: int = 3) -> DataFrame:
+    """How far each customer has come along ``stages``: an automaton folded over the customer's months.
+
+    A customer enters at the first stage and moves on in a month that shows the next one.
+    Months of the stage the customer is in keep the path alive; if none of these is seen for
+    more than ``largest_gap`` months, the path is lost and may begin anew. Who has come to the
+    last stage stays there. Columns: ``CustomerKey, Stage`` (0: not entered; the furthest ever
+    reached, by the first path that did), ``Months`` from entry to that stage and
+    ``MonthsInStages`` (how many months each stage up to it took).
+
+    Months of one customer are one row a month of the snapshot, gathered in one place.
+    """
+    key = model.segment_keys
+    number = F.lit(None).cast("int")
+    for i, code in reversed(list(enumerate(stages, 1))):
+        number = F.when(F.col("SegmentKey") == F.lit(key.get(code)), i).otherwise(number)
+    month = F.expr("DateKey div 10000 * 12 + DateKey div 100 % 100").cast("int")
+    seen = model.snapshot.select("CustomerKey", month.alias("m"), number.alias("s"))
+    of_customer = seen.groupBy("CustomerKey").agg(
+        F.sort_array(F.collect_list(F.when(F.col("s").isNotNull(), F.struct("m", "s")))).alias("_months")
+    )
+    nothing = F.struct(
+        F.lit(0).alias("stage"),
+        F.lit(0).alias("last"),
+        F.array().cast("array<int>").alias("entered"),
+        F.lit(0).alias("best"),
+        F.array().cast("array<int>").alias("best_entered"),
+    )
+
+    def step(a: Column, x: Column) -> Column:
+        alive = (a["stage"] > 0) & (x["m"] - a["last"] <= largest_gap) | (a["stage"] == len(stages))
+        stage = F.when(alive, a["stage"]).otherwise(0)
+        onward = x["s"] == stage + 1
+        stays = (stage > 0) & (x["s"] == stage)
+        entered = F.when(alive, a["entered"]).otherwise(F.array().cast("array<int>"))
+        now = F.when(onward, stage + 1).otherwise(stage)
+        path = F.when(onward, F.concat(entered, F.array(x["m"]))).otherwise(entered)
+        further = now > a["best"]
+        return F.struct(
+            now.alias("stage"),
+            F.when(onward | stays, x["m"]).otherwise(a["last"]).alias("last"),
+            path.alias("entered"),
+            F.when(further, now).otherwise(a["best"]).alias("best"),
+            F.when(further, path).otherwise(a["best_entered"]).alias("best_entered"),
+        )
+
+    folded = of_customer.select("CustomerKey", F.aggregate("_months", nothing, step).alias("a"))
+    entered = F.col("a.best_entered")
+    after_first = F.slice(entered, 2, F.greatest(F.size(entered) - 1, F.lit(0)))
+    took = F.transform(after_first, lambda m, i: m - F.element_at(entered, i + 1))
+    return folded.select(
+        "CustomerKey",
+        F.col("a.best").alias("Stage"),
+        F.when(F.col("a.best") > 0, F.element_at(entered, -1) - F.element_at(entered, 1)).alias("Months"),
+        took.alias("MonthsInStages"),
+    )
+
+
+def loyalty_paths(model: Model, largest_gap: int = 3) -> DataFrame:
+    """Customers by the path they have made and the months it took: ``Path, Months, Customers``."""
+    paths = [F.lit("none"), *[F.lit(" > ".join(c.removeprefix("RF_") for c in LOYALTY_STAGES[:i])) for i in (1, 2, 3)]]
+    path = F.element_at(F.array(*paths), F.col("Stage") + 1)
+    return customer_paths(model, LOYALTY_STAGES, largest_gap).groupBy(path.alias("Path"), "Months").agg(
+        F.count(F.lit(1)).alias("Customers")
+    )

@@ -62,7 +62,8 @@ class Warehouse:
     together with what it needs; :meth:`load` builds all and makes them the version that
     others read. Without them the warehouse reads the version that was the latest when it
     was opened, and a table that is not in it is an error. The raw table is read where it
-    is stored; ``land_raw`` copies one that would be costly to read again.
+    is stored; ``land_raw`` copies one that would be costly to read again. ``rules`` takes
+    the place of the usual segment rules; those without a start hold from the day of the load.
     """
 
     def __init__(
@@ -73,6 +74,7 @@ class Warehouse:
         raw: DataFrame | None = None,
         city_lookup: DataFrame | None = None,
         land_raw: bool = False,
+        rules: DataFrame | None = None,
     ) -> None:
         self.spark = spark
         self.directory = directory.rstrip("/")
@@ -81,6 +83,7 @@ class Warehouse:
         self._raw = raw
         self._city_lookup = city_lookup
         self._land_raw = land_raw
+        self._rules = rules
         self._change = self.store.begin(f"load{uuid.uuid4().hex}") if raw is not None else None
         self._manifest = self.store.latest()
         self._tables: dict[str, DataFrame] = {}
@@ -163,7 +166,8 @@ class Warehouse:
             "CreatedDate": F.current_timestamp(),
             "ModifiedDate": F.lit(None).cast("timestamp"),
         }
-        return self._write("Dim_Segment", segment_rules(self.spark).coalesce(1).withColumns(stamps))
+        rules = segment_rules(self.spark) if self._rules is None else self._rules
+        return self._write("Dim_Segment", rules.coalesce(1).withColumns(stamps))
 
     def _dim_location(self) -> DataFrame:
         return self._write("Dim_Location", build_dim_location(self.table("Stg_Location"), self.table("City_Lookup")))

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom.sources.schemas import RAW_COLUMNS, SEGMENT_ROWS, SEGMENT_SCHEMA
+from ledgerloom.sources.workspace import cut_lineage
 
 # What stands in for numbers that cannot be read from the seed file.
 SEED_AMOUNT, SEED_BALANCE = 500.0, 10000.0
@@ -26,6 +30,45 @@ def read_seed_csv(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+#: A comma that no open quote encloses.
+_SEPARATOR = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+
+
+def read_csv_with_rejects(
+    spark: SparkSession, path: str, columns: tuple[str, ...] = RAW_COLUMNS, header: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """Records of CSV files that have the right number of fields, and those that have not.
+
+    The first frame has ``columns`` as text. The second is what a quarantine keeps: ``Rule``
+    (too few or too many fields, or an open quote), ``Fields`` and the whole ``RawText``. Every record of the
+    files is in one of them. Empty lines are no records. The files are parsed once, into the
+    shared folder: a reader that prunes columns would not see wrong field counts.
+    """
+    raw = "_raw_text"
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*columns, raw)])
+    read = spark.read.schema(schema).csv(path, header=header, mode="PERMISSIVE", columnNameOfCorruptRecord=raw)
+    parsed = cut_lineage(read, f"csv-{uuid.uuid4().hex}")
+    fields = F.size(F.split(raw, _SEPARATOR, -1))
+    rule = F.when(fields < len(columns), "too few fields").when(fields > len(columns), "too many fields").otherwise("unreadable record")
+    kept = parsed.where(F.col(raw).isNull()).select(*columns)
+    rejected = parsed.where(F.col(raw).isNotNull())
+    return kept, rejected.select(rule.alias("Rule"), fields.alias("Fields"), F.col(raw).alias("RawText"))
+
+
+def quarantined(
+    spark: SparkSession, path: str, accepted: str, quarantine: str, header: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """Read CSV files once, write sound records and rejected ones apart, and return both as written.
+
+    Rejected records are added to those of earlier files, with the file and the time of the load.
+    """
+    kept, rejected = read_csv_with_rejects(spark, path, header=header)
+    kept.write.mode("overwrite").parquet(accepted)
+    stamped = rejected.withColumns({"SourcePath": F.lit(path), "LoadDate": F.current_timestamp()})
+    stamped.write.mode("append").parquet(quarantine)
+    return spark.read.parquet(accepted), spark.read.parquet(quarantine)
+
+
 def _number_or(name: str, default: float):
     return F.coalesce(finite_number(name), F.lit(default))
 
