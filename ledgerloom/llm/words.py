@@ -1,7 +1,7 @@
 """Words and word shingles of many texts at once, as 64-bit hashes in numpy.
 
-A batch of texts is one byte buffer. A table maps each byte to its folded form, or to 0 if
-it separates words. The hash of a word is a polynomial over its bytes, taken from running
+A batch of texts is one byte buffer. A table maps each byte to its folded form, or to
+:data:`SEPARATOR`, which is no byte, if it separates words. The hash of a word is a polynomial over its bytes, taken from running
 sums, so that no Python loop runs over words. Equal words have equal hashes; two different
 ones of a text pair meet with a chance of some 2**-64 each.
 """
@@ -17,14 +17,15 @@ import numpy as np
 BATCH_BYTES = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
-_BYTE_VALUES = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+SEPARATOR = 256
+_BYTE_VALUES = np.random.default_rng(20240229).integers(1, 1 << 63, 257, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def fold_table(separators: Iterable[int]) -> np.ndarray:
-    """Bytes to bytes: A-Z in lower case, ``separators`` to 0."""
-    table = np.arange(256, dtype=np.uint8)
+    """Bytes to bytes: A-Z in lower case, ``separators`` (a blank is one) to :data:`SEPARATOR`."""
+    table = np.arange(256, dtype=np.uint16)
     table[65:91] += 32
-    table[list(separators)] = 0
+    table[list(separators)] = SEPARATOR
     return table
 
 
@@ -51,12 +52,11 @@ def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
 def word_hashes(texts: list[bytes], table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The hash of every word of all texts in order, and where each text's words begin.
 
-    The second array has one entry more than there are texts. Texts may not hold byte 0
-    as part of a word: it always separates.
+    The second array has one entry more than there are texts, which are parted by blanks.
     """
     lengths = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
-    buffer = table[np.frombuffer(b"\0".join(texts) + b"\0", np.uint8)]
-    inside = (buffer != 0).view(np.int8)
+    buffer = table[np.frombuffer(b" ".join(texts) + b" ", np.uint8)]
+    inside = (buffer != SEPARATOR).view(np.int8)
     edges = np.diff(inside, prepend=np.int8(0))
     begins, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
     up, down = _powers(1 << max(20, int(len(buffer) - 1).bit_length()))

@@ -55,6 +55,25 @@ def test_odd_rows(spark):
     assert minhash.near_duplicates(empty(spark)).collect() == []
 
 
+def test_nul_is_part_of_a_word(spark):
+    got = minhash.near_duplicates(spark.createDataFrame([(1, "a\0b c d"), (2, "a b c d"), (3, "\0 a \0")], "doc_id long, text string"), 3, 85)
+    assert sorted((r.doc_id, r.n_shingles) for r in got.collect()) == [(1, 1), (2, 2), (3, 1)]
+
+
+def test_groups_end_in_the_rounds_before_the_search_for_every_link(spark, monkeypatch):
+    # a chain of copies of copies, and a group of near copies: one component each
+    texts, seen = [prose(31, 400)], []
+    for i in range(1, 40):
+        texts.append(edited(texts[-1], i, 0.01))
+    texts += [edited(prose(32, 300), i, 0.004) for i in range(60)]
+    table = list(enumerate(texts))
+    apart = minhash._links_apart_from_leader
+    monkeypatch.setattr(minhash, "_links_apart_from_leader", lambda met, percent: seen.append(met.count()) or apart(met, percent))
+    got = minhash.near_duplicates(spark.createDataFrame(table, "doc_id long, text string"), 3, 85)
+    assert sorted(map(tuple, got.collect())) == brute(table, 3, 85)
+    assert sum(seen) < 100
+
+
 def test_low_thresholds_are_refused(docs):  # noqa: F811
     with pytest.raises(ValueError):
         minhash.near_duplicates(docs, percent=60)
