@@ -14,6 +14,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from math import exp, lgamma
 
 import numpy as np
 import pyarrow as pa
@@ -25,9 +26,9 @@ SAMPLE = 3000
 #: Stems are prefixes of so many letters; whole words count too.
 STEMS = (4, 5, 6, 7)
 #: A learned word or stem occurs in so many different toxic documents of the sample at least
-#: (more where chance alone would bring that about), and in so few others for each of these,
-#: at equal numbers of both.
-LEAST_DOCS, MOST_OTHERS = 3, 0.02
+#: and in so few others for each of these, at equal numbers of both. Such a share of
+#: what is learned may be owed to chance (all words of three documents of either kind are trials).
+LEAST_DOCS, MOST_OTHERS, BY_CHANCE = 3, 0.02, 0.1
 THRESHOLD = 0.3
 _REPEATS = 64
 
@@ -239,6 +240,13 @@ def _different(texts: list[str]) -> list[set[str]]:
     return kept
 
 
+def _chance(hits: int, drawn: int, bad: int, every: int) -> float:
+    """How likely ``drawn`` of ``every`` documents, taken blindly, hold ``hits`` of the ``bad`` ones or more."""
+    ways = lambda n, k: lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1)
+    several = range(max(hits, drawn - (every - bad)), min(drawn, bad) + 1)
+    return sum(exp(ways(bad, k) + ways(every - bad, drawn - k) - ways(every, drawn)) for k in several)
+
+
 def learn_lexicon(toxic: list[str], other: list[str]) -> Lexicon:
     """Words and stems that different toxic documents share and others hardly have."""
     bad, good = _different(toxic), [set(_TOKEN.findall(t.lower())) for t in other]
@@ -252,11 +260,15 @@ def learn_lexicon(toxic: list[str], other: list[str]) -> Lexicon:
         for words, counts in ((bad, in_bad), (good, in_good)):
             for some in words:
                 counts.update(parts(some))
-        # one of the candidates at most should get there by chance, if labels told nothing
-        candidates = sum(n >= LEAST_DOCS for n in in_bad.values())
-        least = max(LEAST_DOCS, np.log(max(1, candidates)) / -np.log(len(bad) / (len(bad) + len(good))) if good else 0)
-        for part, n in in_bad.items():
-            if n >= least and in_good[part] * share <= MOST_OTHERS * n:
+        total = in_bad + in_good
+        trials = sum(n >= LEAST_DOCS for n in total.values())
+        found = {p: n for p, n in in_bad.items() if n >= LEAST_DOCS and in_good[p] * share <= MOST_OTHERS * n}
+        chance = {p: _chance(n, total[p], len(bad), len(bad) + len(good)) if good else 0.0 for p, n in found.items()}
+        # of all that are no less striking than one that is taken, so large a part at most is owed to chance
+        ranked = sorted(chance.values())
+        most = max((c for rank, c in enumerate(ranked, 1) if c * trials <= BY_CHANCE * rank), default=-1.0)
+        for part, n in found.items():
+            if chance[part] <= most:
                 # less for what few documents have: the lower end of what they tell
                 into[part] = float(np.log((n + 0.5) / (in_good[part] * share + 0.5)) / 3)
 
@@ -302,7 +314,10 @@ def held_out(doc_id: str = "doc_id"):
 
 
 def sample_of(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> tuple[list[str], list[str]]:
-    """At most ``size`` texts with label 1 and with label 0, not held out, spread by hash."""
+    """At most ``size`` texts with label 1 and with label 0, not held out, spread by hash.
+
+    One text of each chosen id is fetched, however often the id is repeated.
+    """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), "toxic").where(
         ~held_out() & F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()
     )
@@ -313,6 +328,8 @@ def sample_of(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> tuple[l
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
         .where("text is not null")
         .join(F.broadcast(chosen), "doc_id")
+        .groupBy("doc_id", "toxic")
+        .agg(F.min("text").alias("text"))
         .collect()
     )
     pick = lambda label: sorted({r["text"] for r in rows if r["toxic"] == label})

@@ -110,3 +110,27 @@ def test_odd_rows(spark):
     assert len(X.score_toxicity(odd_table(spark), labels).collect()) == 6
     assert len(X.score_toxicity(odd_table(spark), labels.limit(0)).collect()) == 6
     assert X.score_toxicity(empty(spark), labels).collect() == []
+
+
+def test_chance_is_the_share_of_draws():
+    from itertools import combinations
+
+    draws = [sum(x < 4 for x in c) for c in combinations(range(11), 5)]
+    for hits in range(6):
+        assert abs(X._chance(hits, 5, 4, 11) - sum(d >= hits for d in draws) / len(draws)) < 1e-9
+
+
+def test_nothing_is_learned_from_labels_that_tell_nothing():
+    draw = random.Random(12)
+    texts = [" ".join(f"w{draw.randint(0, 4000)}" for _ in range(60)) for _ in range(700)]
+    learned = X.learn_lexicon(texts[:120], texts[120:])
+    assert len(learned.words) + len(learned.stems) <= 1
+    insulting = [t + " snerk" if i % 2 else t + " grobbelig" for i, t in enumerate(texts[:120])]
+    learned = X.learn_lexicon(insulting, texts[120:])
+    assert {"snerk", "grobbelig"} <= set(learned.words) and len(learned.words) <= 3
+
+
+def test_one_text_of_an_id_that_is_repeated(spark):
+    docs = spark.createDataFrame([(1, f"t{i}", "en", "s", 1) for i in range(50)] + [(4, "x", "en", "s", 1)], DOCS)
+    tags = spark.createDataFrame([(1, 1, 1), (1, 1, 0), (4, 1, 0)], "doc_id long, quality int, toxic int")
+    assert X.sample_of(docs, tags) == (["t0"], ["t0", "x"])
