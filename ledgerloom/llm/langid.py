@@ -21,8 +21,8 @@ from pyspark.sql import types as T
 WINDOW, HIDDEN = 48, 8
 #: Labelled documents that are used for each language, windows of each, and passes.
 SAMPLE_DOCS, SAMPLE_WINDOWS, EPOCHS = 300, 4, 14
-#: Languages that can be learned; more raise an error.
-MAX_LANGUAGES = 200
+#: Labelled documents of all languages together.
+MOST_DOCS = 60_000
 _BATCH = 192
 #: Windows that are read at a time.
 _READ = 2048
@@ -230,22 +230,23 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def sample_of(docs: DataFrame, per_language: int = SAMPLE_DOCS) -> list[tuple[str, str]]:
-    """At most ``per_language`` labelled texts of each language, spread by hash.
+def sample_of(docs: DataFrame, per_language: int = SAMPLE_DOCS, most: int = MOST_DOCS) -> list[tuple[str, str]]:
+    """At most ``per_language`` labelled texts of each language, spread by hash, and ``most`` of all.
 
-    The ids are chosen first, in one aggregation of numbers, and then their texts fetched.
+    With so many languages that these would be more, each has fewer documents, down to one.
+    The ids are chosen first, in one aggregation of numbers; then one text of each chosen id
+    and language is fetched, however often the id is repeated.
     """
-    labelled = docs.where(~held_out() & F.col("text").isNotNull() & F.col("lang").isNotNull()).select(
+    labelled = docs.where(~held_out() & F.col("doc_id").isNotNull() & F.col("text").isNotNull() & F.col("lang").isNotNull()).select(
         F.col("doc_id").cast("long").alias("doc_id"), "lang", "text"
     )
-    key = F.xxhash64("doc_id")
-    picked = labelled.groupBy("lang", F.pmod(key, F.lit(per_language)).alias("slot")).agg(F.min("doc_id").alias("doc_id"))
-    bound = MAX_LANGUAGES * per_language
-    ids = picked.select("doc_id").limit(bound + 1).collect()
-    if len(ids) > bound:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    chosen = docs.sparkSession.createDataFrame(ids, "doc_id long").dropDuplicates()
-    rows = labelled.join(F.broadcast(chosen), "doc_id").collect()
+    languages = labelled.agg(F.countDistinct("lang")).first()[0]
+    slots = max(1, min(per_language, most // max(1, languages)))
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(slots)).alias("slot")
+    picked = labelled.groupBy("lang", slot).agg(F.min("doc_id").alias("doc_id")).select("lang", "doc_id")
+    ids = picked.orderBy(F.xxhash64("lang", "doc_id")).limit(most).collect()
+    chosen = docs.sparkSession.createDataFrame(ids, "lang string, doc_id long")  # at most ``most`` rows
+    rows = labelled.join(F.broadcast(chosen), ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min("text").alias("text")).collect()
     return sorted({(r["lang"], r["text"]) for r in rows})
 
 
@@ -254,7 +255,7 @@ def identify(docs: DataFrame) -> DataFrame:
 
     Learns from ``text`` and non-null ``lang`` of the documents that are not held out (the
     CRC-32 of the id as text leaves 2 when divided by 4), at most :data:`SAMPLE_DOCS` a
-    language, and predicts from the text alone. ``lang_pred`` is ``und`` and the score 0 for
+    language and :data:`MOST_DOCS` in all, and predicts from the text alone. ``lang_pred`` is ``und`` and the score 0 for
     a null text, a text without a letter, and if there is nothing to learn from. Rows with a
     null id are not held out, but not learned from. Other columns are ignored.
     """

@@ -68,3 +68,14 @@ def test_odd_rows(spark):
     assert langid.identify(empty(spark)).collect() == []
     unlabelled = spark.createDataFrame([(1, "some text", None, "s", 1)], DOCS)
     assert tuple(langid.identify(unlabelled).first())[2:] == ("und", 0.0)
+
+
+def test_samples_are_bounded_whatever_the_ids_and_languages(spark):
+    rows = [(i, f"text {i}", f"l{i % 250}", "s", 1) for i in range(2000)] + [(4, f"again {i}", "l4", "s", 1) for i in range(500)]
+    docs = spark.createDataFrame(rows, DOCS)
+    got = langid.sample_of(docs, per_language=3)
+    assert len({lang for lang, _ in got}) == 250 and len(got) <= 750
+    assert [t for lang, t in got if lang == "l4" and not t.startswith("text")] in ([], ["again 0"])
+    few = langid.sample_of(docs, per_language=3, most=300)
+    assert len(few) == 250 and len({lang for lang, _ in few}) == 250
+    assert len(langid.sample_of(docs, most=40)) == 40
