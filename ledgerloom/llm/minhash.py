@@ -5,7 +5,9 @@ Classes that share a band bucket are candidates. A bucket never becomes all its
 members are compared with a leader. Two members linked to the leader are in one component.
 Links of a member that is not linked to it are found by what it has and lacks against the
 leader: such links need shared differences, which an index of prefixes finds exactly.
-Members far from the leader go on with further leaders until none are left.
+Members far from the leader go on with further leaders until none are left. All this is
+for buckets whose members are not in one component yet: a few rounds of one leader a bucket
+come first.
 """
 
 from __future__ import annotations
@@ -29,6 +31,8 @@ SLACK = 0.2
 #: Members from this similarity to the leader on are done after one comparison (``_NEAR``).
 #: As 1 - similarity is a metric, all their links are to members from ``_APART`` on.
 _NEAR, _APART = 0.75, 0.55
+#: Rounds that look for components before the search for every link.
+ROUNDS = 3
 _SALT = np.uint64(0xD6E8FEB86659FD93)
 _SEEDS = np.random.default_rng(7919).integers(1, 1 << 62, (2, ROWS * BANDS), dtype=np.uint64)
 _FACTORS, _SHIFTS = _SEEDS[0] * np.uint64(2) + np.uint64(1), _SEEDS[1]
@@ -103,10 +107,10 @@ def _alike(least: float):
     return work
 
 
-def _compared(words: int, table: np.ndarray, percent: int):
+def _compared(words: int, table: np.ndarray, percent: int, least: float):
     """Documents against their leader on full sets, with what they lack and have beyond it.
 
-    Of a pair with similarity from ``_APART`` on, one row: whether it is ``near``, whether it
+    Of a pair with similarity from ``least`` on, one row: whether it is ``near``, whether it
     is ``linked``, the leader's size, the weight ``100 * lacking + percent * added`` and the
     differing shingles, added before lacking, each by hash.
     """
@@ -123,7 +127,7 @@ def _compared(words: int, table: np.ndarray, percent: int):
                 added = np.setdiff1d(own, held, assume_unique=True)
                 lacking = np.setdiff1d(held, own, assume_unique=True)
                 both, union = len(own) - len(added), len(held) + len(added)
-                if both < _APART * union:
+                if both < least * union:
                     continue
                 weight = 100 * len(lacking) + percent * len(added)
                 rows.append(
@@ -147,22 +151,22 @@ def _compared(words: int, table: np.ndarray, percent: int):
     return work
 
 
-def _met(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, words: int, table, percent: int) -> DataFrame:
-    """The ``pairs`` (node, leader) compared: by size, then by signature, then on full sets."""
+def _met(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, words: int, table, percent: int, least: float = _APART) -> DataFrame:
+    """The ``pairs`` (node, leader) compared: by size, then by signature, then on full sets, from similarity ``least`` on."""
     side = lambda x, n: nodes.select(F.col("node").alias(x), F.col("n_shingles").alias(f"n{n}"), F.col("sketch").alias(f"s{n}"))
     maybe = (
         pairs.join(side("node", 1), "node")
         .join(side("leader", 2), "leader")
-        .where(F.least("n1", "n2") >= F.greatest("n1", "n2") * _APART)
+        .where(F.least("n1", "n2") >= F.greatest("n1", "n2") * least)
         .select("node", "leader", "s1", "s2")
-        .mapInArrow(_alike(_APART - SLACK), "node long, leader long")
+        .mapInArrow(_alike(least - SLACK), "node long, leader long")
     )
     return (
         maybe.join(texts, "node")
         .join(texts.select(F.col("node").alias("leader"), F.col("text").alias("model")), "leader")
         .select("node", "leader", "text", "model")
         .mapInArrow(
-            _compared(words, table, percent),
+            _compared(words, table, percent, least),
             "node long, leader long, near boolean, linked boolean, size long, weight long, diff array<long>",
         )
     )
@@ -178,10 +182,14 @@ def _links_apart_from_leader(met: DataFrame, percent: int) -> DataFrame:
     w2 / (100 + percent) differences with it, and it shares excess / 100 at least with any
     partner. In one common order of shingles the first shared one therefore lies in the
     first part of both, and what follows it on either side bounds how many are shared.
-    Pairs without a ``far`` member have been looked at before and are left out.
+    Pairs without a ``far`` member have been looked at before and are left out, and so are
+    pairs of one component (``root``): one of the two is outside of the leader's, then, and
+    only such members look for partners. A leader whose members are all in its component,
+    as in most groups of near copies, has no rows here at all.
     """
     both = 100 + percent
-    several = met.groupBy("leader").agg(F.count("*").alias("n"), F.min("linked").alias("all"), F.max("far").alias("far")).where("n > 1 and not all and far")
+    outside = F.col("root") != F.col("leader_root")
+    several = met.groupBy("leader").agg(F.max(outside).alias("any"), F.max("far").alias("far")).where("any and far")
     excess = F.col("weight") - F.col("size") * (100 - percent)
     of = (
         met.join(several.select("leader"), "leader")
@@ -193,15 +201,17 @@ def _links_apart_from_leader(met: DataFrame, percent: int) -> DataFrame:
     index = of.select(
         F.col("leader"),
         F.col("node").alias("b"),
-        F.col("linked").alias("b_linked"),
+        F.col("root").alias("b_root"),
         F.col("far").alias("b_far"),
         F.col("weight").alias("w2"),
         F.col("length").alias("l2"),
         F.posexplode(first(shared)).alias("j", "e"),
     )
-    probe = of.where("not linked").select(
+    probe = of.where(outside).select(
         F.col("leader"),
+        "leader_root",
         F.col("node").alias("a"),
+        F.col("root").alias("a_root"),
         F.col("far").alias("a_far"),
         excess.alias("x1"),
         F.col("length").alias("l1"),
@@ -210,7 +220,7 @@ def _links_apart_from_leader(met: DataFrame, percent: int) -> DataFrame:
     need = F.col("x1") + F.col("w2")
     maybe = (
         probe.join(index, ["leader", "e"])
-        .where((F.col("a") != F.col("b")) & (F.col("b_linked") | (F.col("b") < F.col("a"))) & (F.col("a_far") | F.col("b_far")))
+        .where((F.col("a_root") != F.col("b_root")) & ((F.col("b_root") == F.col("leader_root")) | (F.col("b") < F.col("a"))) & (F.col("a_far") | F.col("b_far")))
         .where(need <= F.least(F.col("l1") - F.col("i"), F.col("l2") - F.col("j")) * both)
         .select("leader", "a", "b", need.alias("need"))
         .distinct()
@@ -224,6 +234,34 @@ def _links_apart_from_leader(met: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _gathered(live: DataFrame, nodes: DataFrame, texts: DataFrame, words: int, table, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Members of buckets that hold several components, and the components (node, root), after some cheap rounds.
+
+    In each round the members of a bucket that are not in its leader's component are compared
+    with the leader, and that is all: as many comparisons as members at most. Leaders follow
+    one order of all nodes a round, so that a node meets few. What is asked for are
+    components, so a bucket whose members are all in one is done, whatever links are
+    left in it; that is where groups of near copies end.
+    """
+    roots = nodes.select("node", F.col("node").alias("root")).limit(0)
+    live = live.withColumn("root", F.col("node"))
+    for turn in range(ROUNDS):
+        first = F.min(F.struct(F.xxhash64("node", F.lit(turn)), F.col("node"), F.col("root"))).alias("l")
+        leaders = live.groupBy("bucket").agg(first).select("bucket", F.col("l.node").alias("leader"), F.col("l.root").alias("leader_root"))
+        pairs = live.join(leaders, "bucket").where("root != leader_root").select("node", "leader").distinct()
+        met = stored(_met(pairs, nodes, texts, words, table, percent, percent / 100).where("linked").select("node", "leader"), "met")
+        if met.isEmpty():
+            continue
+        links = met.unionByName(roots.select("node", F.col("root").alias("leader")))
+        roots = components(links, "node", "leader", "gathered")
+        rooted = live.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        several = rooted.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("bucket")
+        live = stored(rooted.join(several, "bucket").select("bucket", "node", "root"), "buckets")
+        if live.isEmpty():
+            break
+    return live, roots
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, table: np.ndarray = SPACED) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``n_shingles``, ``component_id``, ``kept``.
 
@@ -254,8 +292,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, table: n
         "texts",
     )
 
-    links, slots = [], 1
-    live = live.withColumn("far", F.lit(True))
+    live, roots = _gathered(live, nodes, texts, words, table, percent)
+    root_of = stored(live.select("node", "root").distinct(), "roots")
+    leader_root = root_of.select(F.col("node").alias("leader"), F.col("root").alias("leader_root"))
+    links, slots = [roots.select(F.col("node").alias("a"), F.col("root").alias("b"))], 1
+    live = live.select("bucket", "node", F.lit(True).alias("far"))
     while not live.isEmpty():
         slot = F.pmod(F.xxhash64("node"), F.lit(slots))
         leaders = (
@@ -268,7 +309,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, table: n
         else:
             far = live.where("far").select("node").distinct().withColumn("far", F.lit(True))
             marked_far = met.join(far, "node", "left").fillna(False, ["far"])
-        apart = _links_apart_from_leader(marked_far, percent)
+        apart = _links_apart_from_leader(marked_far.join(root_of, "node").join(leader_root, "leader"), percent)
         direct = met.where("linked").select(F.col("node").alias("a"), F.col("leader").alias("b"))
         links.append(stored(direct.unionByName(apart), "links"))
         # All links of a near member are to members that its leader has met, so it is done in
@@ -286,10 +327,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, table: n
         live = stored(rest.join(open_.select("bucket"), "bucket"), "buckets")
         slots = min(slots * 16, 256)
 
-    named = classes.withColumn("root", F.col("node"))
-    if links:
+    if len(links) > 1:
         roots = components(reduce(DataFrame.unionByName, links), "a", "b", "near")
-        named = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    named = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     return (
         marked.select("doc_id", "n_shingles", "low", "high")
         .join(named.select("low", "high", "root"), ["low", "high"], "left")
