@@ -6,8 +6,8 @@ members are compared with a leader. Two members linked to the leader are in one
 Links of a member that is not linked to it are found by what it has and lacks against the
 leader: such links need shared differences, which an index of prefixes finds exactly.
 Members far from the leader go on with further leaders until none are left. All this is
-for buckets whose members are not in one component yet: a few rounds of one leader a bucket
-come first.
+for buckets whose members are not in one component yet: a few rounds of some leaders a
+bucket come first.
 """
 
 from __future__ import annotations
@@ -31,8 +31,8 @@ SLACK = 0.2
 #: Members from this similarity to the leader on are done after one comparison (``_NEAR``).
 #: As 1 - similarity is a metric, all their links are to members from ``_APART`` on.
 _NEAR, _APART = 0.75, 0.55
-#: Rounds that look for components before the search for every link.
-ROUNDS = 3
+#: Rounds that look for components before the search for every link, and leaders of a bucket in all but the first.
+ROUNDS, LEADERS = 6, 8
 _SALT = np.uint64(0xD6E8FEB86659FD93)
 _SEEDS = np.random.default_rng(7919).integers(1, 1 << 62, (2, ROWS * BANDS), dtype=np.uint64)
 _FACTORS, _SHIFTS = _SEEDS[0] * np.uint64(2) + np.uint64(1), _SEEDS[1]
@@ -237,29 +237,42 @@ def _links_apart_from_leader(met: DataFrame, percent: int) -> DataFrame:
 def _gathered(live: DataFrame, nodes: DataFrame, texts: DataFrame, words: int, table, percent: int) -> tuple[DataFrame, DataFrame]:
     """Members of buckets that hold several components, and the components (node, root), after some cheap rounds.
 
-    In each round the members of a bucket that are not in its leader's component are compared
-    with the leader, and that is all: as many comparisons as members at most. Leaders follow
-    one order of all nodes a round, so that a node meets few. What is asked for are
-    components, so a bucket whose members are all in one is done, whatever links are
-    left in it; that is where groups of near copies end.
+    In a round the members of a bucket are compared with its leaders, if these are in other
+    components: one leader first, and :data:`LEADERS` in further rounds, in which buckets go
+    on as long as a round joins components of theirs. Leaders follow one order of all nodes
+    a round, so that a node meets few. What is asked for are components, so a bucket
+    whose members are all in one is done, whatever links are left in it; that is where
+    groups of near copies end. Members that no round has joined are left to the search for
+    every link.
     """
     roots = nodes.select("node", F.col("node").alias("root")).limit(0)
-    live = live.withColumn("root", F.col("node"))
+    live, parked = live.withColumn("root", F.col("node")), live.limit(0)
     for turn in range(ROUNDS):
-        first = F.min(F.struct(F.xxhash64("node", F.lit(turn)), F.col("node"), F.col("root"))).alias("l")
-        leaders = live.groupBy("bucket").agg(first).select("bucket", F.col("l.node").alias("leader"), F.col("l.root").alias("leader_root"))
+        draw = F.xxhash64("node", F.lit(turn))
+        slot = F.pmod(draw, F.lit(LEADERS if turn else 1)).alias("slot")
+        first = F.min(F.struct(draw, F.col("node"), F.col("root"))).alias("l")
+        leaders = live.groupBy("bucket", slot).agg(first).select("bucket", F.col("l.node").alias("leader"), F.col("l.root").alias("leader_root"))
         pairs = live.join(leaders, "bucket").where("root != leader_root").select("node", "leader").distinct()
         met = stored(_met(pairs, nodes, texts, words, table, percent, percent / 100).where("linked").select("node", "leader"), "met")
         if met.isEmpty():
-            continue
+            break
         links = met.unionByName(roots.select("node", F.col("root").alias("leader")))
         roots = components(links, "node", "leader", "gathered")
-        rooted = live.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        several = rooted.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("bucket")
-        live = stored(rooted.join(several, "bucket").select("bucket", "node", "root"), "buckets")
-        if live.isEmpty():
-            break
-    return live, roots
+        moved = stored(_rooted(live.withColumnRenamed("root", "before"), roots), "moved")
+        state = moved.groupBy("bucket").agg(
+            (F.min("root") < F.max("root")).alias("open"), F.max(F.col("root") != F.col("before")).alias("joined")
+        )
+        marked = moved.join(state.where("open"), "bucket")
+        parked = parked.unionByName(marked.where("not joined").select("bucket", "node"))
+        live = stored(marked.where("joined").select("bucket", "node", "root"), "live")
+    # a parked bucket may have been joined by the links of others since
+    left = _rooted(parked.unionByName(live.select("bucket", "node")), roots)
+    open_ = left.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("bucket")
+    return stored(left.join(open_, "bucket"), "open"), roots
+
+
+def _rooted(members: DataFrame, roots: DataFrame) -> DataFrame:
+    return members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, table: np.ndarray = SPACED) -> DataFrame:
