@@ -96,3 +96,12 @@ def test_near_copies_of_any_order_leave_one(spark, sf_dir):
     rows = [(i, " ".join([*base[: 9 * i], f"new{i}", *base[9 * i + 1 :]] if i % 2 else base), "aa", "s", 1) for i in ids]
     got = corpus_pipeline.near_dedup(spark, spark.createDataFrame(rows, DOCS), sf_dir).collect()
     assert [r.doc_id for r in got] == [0]
+
+
+def test_language_stage_with_nothing_or_much_to_learn(spark):
+    none = spark.createDataFrame([(1, "some text", None, "s", 9), (2, "12 !?", None, "s", 5), (3, None, None, "s", None)], DOCS)
+    assert [r.doc_id for r in corpus_pipeline.language(spark, none, "").collect()] == [1]
+    many = [f"l{k:02d}" for k in range(24)]
+    rows = [(i, text_of("aa", 7, 3) + f" {many[i % 24] * 30}", many[i % 24], "s", 1) for i in range(240)]
+    kept = corpus_pipeline.language(spark, spark.createDataFrame(rows, DOCS), "").count()
+    assert kept > 200  # no text is lost because there are many languages
