@@ -127,8 +127,31 @@ select conv_id,
 from sized group by conv_id
 """
 
+#: All pairs, and who is reached through links.
+_OP6_SQL = """
+with recursive whole as materialized (
+    select vec_id, embedding::double[] as e from embeddings
+    where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), sized as materialized (
+    select vec_id, e, list_inner_product(e, e) as square from whole where len(e) > 0
+), links as materialized (
+    select a.vec_id as x, b.vec_id as y from sized a join sized b on len(a.e) = len(b.e) and a.vec_id <> b.vec_id
+    where a.square > 0 and b.square > 0 and list_inner_product(a.e, b.e) >= 0.9 * sqrt(a.square) * sqrt(b.square)
+), reach(x, y) as (
+    select x, y from links union select r.x, l.y from reach r join links l on l.x = r.y
+), least_of as (
+    select x, min(y) as y from reach group by x
+), counts as (
+    select x, count(*) as n from links group by x
+)
+select vec_id, coalesce(n, 0)::bigint as n_links, least(vec_id, coalesce(m.y, vec_id)) as component_id,
+    least(vec_id, coalesce(m.y, vec_id)) = vec_id as kept
+from embeddings left join counts c on c.x = vec_id left join least_of m on m.x = vec_id
+"""
+
 ORACLES: dict[str, str] = {
     "op4_relational_chat_formatting": _OP4_SQL,
+    "op6_cover_tree_near_dedup": _OP6_SQL,
     "op11_centroid_clustering": centroids.SQL,
     "op12_line_dedup": linededup.SQL,
     "op13_filter_audit": filteraudit.SQL,
