@@ -64,6 +64,7 @@ HEADLINE = (
 SCALED_ROWS = int(os.environ.get("BENCH_ROWS", "10000000"))
 PUBLISHED = {
     "stg_transaction": 92_000,
+    "dim_customer": 1_280_000,
     "fact_transaction": 102_000,
     "monthly_activity": 2_200_000,
     "fact_customersnapshot": 24_400,
@@ -74,7 +75,8 @@ def scaled_load(spark, sf_dir: str, hot: bool) -> dict:
     """Load the given transactions so often under new customer numbers that they are 10 million.
 
     With ``hot`` a third of all rows belongs to one customer in one city. Rates are rows a
-    second: of transactions for the first three tables, of its own rows for the snapshot.
+    second: of transactions, but of its own rows for the snapshot. The customer dimension
+    has the time of its history, too.
     """
     raw = raw_transactions(spark, sf_dir)
     times = -(-SCALED_ROWS // raw.count())
@@ -93,14 +95,17 @@ def scaled_load(spark, sf_dir: str, hot: bool) -> dict:
     folder = session_folder(spark, f"bench-{'hot' if hot else 'plain'}-{os.getpid()}")
     stored = write_stage(rows.drop("_n"), f"{folder}/source")
     lake = Warehouse(spark, folder, SETTINGS, stored, city_lookup(spark, sf_dir))
-    count, found = stored.count(), {"rows": 0}
+    count, found, history = stored.count(), {"rows": 0}, 0.0
     start = time.perf_counter()
     for table in TABLES:
         began = time.perf_counter()
         done = lake.table(table)
         name = table.lower()
+        took = time.perf_counter() - began
+        if name == "location_history":
+            history = took
         if name in PUBLISHED:
-            took = time.perf_counter() - began
+            took += history if name == "dim_customer" else 0.0
             rate = (done.count() if name == "fact_customersnapshot" else count) / took
             found[f"{name}_rows_per_second"] = round(rate)
             found[f"{name}_against_published"] = round(rate / PUBLISHED[name], 2)
