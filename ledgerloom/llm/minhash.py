@@ -2,7 +2,8 @@
 
 Documents with equal shingle sets form a class, and one of them stands for it from then on.
 Classes that share a band bucket are candidates. A bucket never becomes all its pairs: its
-members are compared with a leader. Two members linked to the leader are in one component.
+members are compared with a leader, the one that shares most buckets with others, as the
+origin of a group of copies does. Two members linked to the leader are in one component.
 Links of a member that is not linked to it are found by what it has and lacks against the
 leader: such links need shared differences, which an index of prefixes finds exactly.
 Members far from the leader go on with further leaders until none are left. All this is
@@ -239,14 +240,16 @@ def _gathered(live: DataFrame, nodes: DataFrame, texts: DataFrame, words: int, t
 
     In each round the members of a bucket that are not in its leader's component are compared
     with the leader, and that is all: as many comparisons as members at most. Leaders follow
-    one order of all nodes a round, so that a node meets few. What is asked for are
+    one order of all nodes a round, so that a node meets few: first by what they share with
+    others (``rank``), then by hashes. What is asked for are
     components, so a bucket whose members are all in one is done, whatever links are
     left in it; that is where groups of near copies end.
     """
     roots = nodes.select("node", F.col("node").alias("root")).limit(0)
     live = live.withColumn("root", F.col("node"))
     for turn in range(ROUNDS):
-        first = F.min(F.struct(F.xxhash64("node", F.lit(turn)), F.col("node"), F.col("root"))).alias("l")
+        order = F.xxhash64("node", F.lit(turn)) if turn else F.col("rank")
+        first = F.min(F.struct(order, F.col("node"), F.col("root"))).alias("l")
         leaders = live.groupBy("bucket").agg(first).select("bucket", F.col("l.node").alias("leader"), F.col("l.root").alias("leader_root"))
         pairs = live.join(leaders, "bucket").where("root != leader_root").select("node", "leader").distinct()
         met = stored(_met(pairs, nodes, texts, words, table, percent, percent / 100).where("linked").select("node", "leader"), "met")
@@ -256,7 +259,7 @@ def _gathered(live: DataFrame, nodes: DataFrame, texts: DataFrame, words: int, t
         roots = components(links, "node", "leader", "gathered")
         rooted = live.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         several = rooted.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("bucket")
-        live = stored(rooted.join(several, "bucket").select("bucket", "node", "root"), "buckets")
+        live = stored(rooted.join(several, "bucket").select("bucket", "node", "rank", "root"), "buckets")
         if live.isEmpty():
             break
     return live, roots
@@ -285,8 +288,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, table: n
         "nodes",
     )
     members = nodes.select("node", F.explode("bands").alias("bucket"))
-    shared = members.groupBy("bucket").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x < y")
-    live = stored(members.join(shared.select("bucket"), "bucket"), "buckets")
+    shared = members.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+    sized = stored(members.join(shared, "bucket"), "sized")
+    # the most central ones come first
+    ranks = sized.groupBy("node").agg((-F.sum("size")).alias("rank"))
+    live = stored(sized.select("bucket", "node").join(ranks, "node"), "buckets")
     texts = stored(
         docs.withColumnRenamed("doc_id", "node").join(live.select("node").distinct(), "node"),
         "texts",
@@ -296,11 +302,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, table: n
     root_of = stored(live.select("node", "root").distinct(), "roots")
     leader_root = root_of.select(F.col("node").alias("leader"), F.col("root").alias("leader_root"))
     links, slots = [roots.select(F.col("node").alias("a"), F.col("root").alias("b"))], 1
-    live = live.select("bucket", "node", F.lit(True).alias("far"))
+    live = live.select("bucket", "node", "rank", F.lit(True).alias("far"))
     while not live.isEmpty():
         slot = F.pmod(F.xxhash64("node"), F.lit(slots))
         leaders = (
-            live.where("far").groupBy("bucket", slot.alias("slot")).agg(F.min("node").alias("leader")).select("bucket", "leader")
+            live.where("far")
+            .groupBy("bucket", slot.alias("slot"))
+            .agg(F.min_by("node", F.struct("rank", "node")).alias("leader"))
+            .select("bucket", "leader")
         )
         pairs = live.join(leaders, "bucket").where("node != leader").select("node", "leader").distinct()
         met = stored(_met(pairs, nodes, texts, words, table, percent), "met")
@@ -321,7 +330,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, table: n
             # Pairs that the first leader has met both of are done. What is left has a far
             # member, so further leaders are taken from those, and meet all others again.
             met_first = seen.select("bucket", "node", F.lit(True).alias("met"))
-            rest = rest.join(met_first, ["bucket", "node"], "left").select("bucket", "node", F.col("met").isNull().alias("far"))
+            rest = rest.join(met_first, ["bucket", "node"], "left").select("bucket", "node", "rank", F.col("met").isNull().alias("far"))
         rest = stored(rest, "rest")
         open_ = rest.groupBy("bucket").agg(F.count("*").alias("n"), F.max("far").alias("far")).where("n > 1 and far")
         live = stored(rest.join(open_.select("bucket"), "bucket"), "buckets")
