@@ -32,8 +32,10 @@ SLACK = 0.2
 #: Members from this similarity to the leader on are done after one comparison (``_NEAR``).
 #: As 1 - similarity is a metric, all their links are to members from ``_APART`` on.
 _NEAR, _APART = 0.75, 0.55
+#: Members of a bucket that all its others meet in one further round.
+FEW = 16
 #: Rounds that look for components before the search for every link.
-ROUNDS = 3
+ROUNDS = 2
 _SALT = np.uint64(0xD6E8FEB86659FD93)
 _SEEDS = np.random.default_rng(7919).integers(1, 1 << 62, (2, ROWS * BANDS), dtype=np.uint64)
 _FACTORS, _SHIFTS = _SEEDS[0] * np.uint64(2) + np.uint64(1), _SEEDS[1]
@@ -304,9 +306,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, table: n
     links, slots = [roots.select(F.col("node").alias("a"), F.col("root").alias("b"))], 1
     live = live.select("bucket", "node", "rank", F.lit(True).alias("far"))
     while not live.isEmpty():
-        slot = F.pmod(F.xxhash64("node"), F.lit(slots))
+        # few members without a leader become leaders all at once
+        few = live.where("far").groupBy("bucket").agg((F.count("*") <= FEW).alias("few"))
+        slot = F.when(F.col("few") & F.lit(slots > 1), F.col("node")).otherwise(F.pmod(F.xxhash64("node"), F.lit(slots)))
         leaders = (
             live.where("far")
+            .join(few, "bucket")
             .groupBy("bucket", slot.alias("slot"))
             .agg(F.min_by("node", F.struct("rank", "node")).alias("leader"))
             .select("bucket", "leader")
