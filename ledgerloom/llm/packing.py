@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,15 +27,19 @@ WINDOW = 2048
 PIECE = 512
 #: Pieces that are packed together.
 BLOCK = 600
-#: Entries of a worker's memory of words.
-REMEMBERED = 500_000
+#: Entries of a generation of a worker's memory of words.
+REMEMBERED = 600_000
+#: Bytes of text that are encoded together.
+AT_ONCE = 16 << 20
 END_ID = 1
 
 
 #: How the vocabulary's own pattern splits lower-case text: contractions, letters, digits, the rest.
 _PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
+#: Marks after a word's last letter are a part of their own.
+_APART = r"(\pL)([.,;:!?]+)(\s|$)", r"\1 \2\3"
 #: Texts with other characters, or with one that two libraries fold or split in two ways, go to the library whole.
-_UNUSUAL = re.compile("[^\\x00-\\x1b\\x20-\\x84\\x86-\u012f\u0131-\u024f]|<\\|")
+_UNUSUAL = "[^\\x00-\\x1b\\x20-\\x{84}\\x{86}-\\x{12f}\\x{131}-\\x{24f}]|<\\|"
 
 
 def _byte_letters() -> list[str]:
@@ -45,11 +50,16 @@ def _byte_letters() -> list[str]:
 
 
 class _Words(dict):
-    """Parts of texts to their ids as bytes; parts that are not known yet are encoded."""
+    """Folded words, and what else stands between white space, to their ids as bytes.
+
+    What was asked for of late is kept, in two generations of ``REMEMBERED`` keys.
+    """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
+        super().__init__()
+        self.older: dict[str, bytes] = {}
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
@@ -57,51 +67,70 @@ class _Words(dict):
     def whole(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def __missing__(self, part: str) -> bytes:
-        if part.isalpha():  # one word, folded already: straight to the merges
-            mapped = part if part.isascii() else "".join([self.letters[b] for b in part.encode()])
-            ids = np.array([t.id for t in self.model.tokenize(mapped)], "<u4").tobytes()
-        else:
-            ids = self.whole(part)
-        if len(part) < 64:
-            self[part] = ids
+    def _encoded(self, key: str) -> bytes:
+        if key.isalpha():  # one word: straight to the merges
+            mapped = key if key.isascii() else "".join([self.letters[b] for b in key.encode()])
+            return np.array([t.id for t in self.model.tokenize(mapped)], "<u4").tobytes()
+        parts = _PARTS.findall(key)
+        return b"".join([self[part] for part in parts]) if len(parts) > 1 else self.whole(key)
+
+    def __missing__(self, key: str) -> bytes:
+        ids = self.older.get(key)
+        if ids is None:
+            ids = self._encoded(key)
+        if len(key) < 64:
+            if len(self) >= REMEMBERED:
+                self.older = dict(self)
+                self.clear()
+            self[key] = ids
         return ids
 
 
-class _Chunks(dict):
-    """What stands between white space to its ids: most of a text is looked up here at once."""
-
-    def __init__(self, words: _Words) -> None:
-        super().__init__()
-        self.words = words
-
-    def __missing__(self, chunk: str) -> bytes:
-        ids = b"".join(map(self.words.__getitem__, _PARTS.findall(chunk.lower())))
-        if len(chunk) < 64:
-            self[chunk] = ids
-        return ids
-
+_known: dict[str, _Words] = {}
 
-_known: dict[str, _Chunks] = {}
 
-
-def encode(text: str | None, path: str) -> bytes:
-    """The ids of a text, little-endian in four bytes each, with the end id.
+def encode_all(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all texts in one row, each with the end id, and where each text's ids end.
 
     The vocabulary folds case, drops white space and never joins what its pattern parts, so
-    a text's ids are those of its parts one after another, and each part is encoded once.
+    a text's ids are those of its chunks between white space, or before closing marks, one after
+    another. The different chunks of all texts are looked up once each, and their ids are
+    gathered by place.
     """
     known = _known.get(path)
-    if known is None or len(known.words) > REMEMBERED:
-        known = _known[path] = _Chunks(_Words(path))
-    elif len(known) > REMEMBERED:
-        known = _known[path] = _Chunks(known.words)
-    text = text or ""
-    if _UNUSUAL.search(text):
-        ids = known.words.whole(text)
-    else:
-        ids = b"".join(map(known.__getitem__, text.split()))
-    return ids + END_ID.to_bytes(4, "little")
+    if known is None:
+        known = _known[path] = _Words(path)
+    end = END_ID.to_bytes(4, "little")
+    texts = texts.fill_null("")
+    unusual = pc.match_substring_regex(texts, _UNUSUAL)
+    folded = pc.utf8_lower(pc.if_else(unusual, "", texts))
+    chunks = pc.utf8_split_whitespace(pc.replace_substring_regex(folded, *_APART))
+    named = chunks.flatten().dictionary_encode()
+    ids = [*map(known.__getitem__, named.dictionary.to_numpy(zero_copy_only=False)), end]
+    closing = np.full(len(texts), len(ids) - 1)
+    for i in np.flatnonzero(unusual.to_numpy(zero_copy_only=False)):
+        closing[i] = len(ids)
+        ids.append(known.whole(texts[i].as_py()) + end)
+    lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+    row, first = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(lengths) - lengths
+    bounds = chunks.offsets.to_numpy()[1:] - chunks.offsets[0].as_py()
+    index = np.insert(named.indices.to_numpy(), bounds, closing)
+    ends = np.cumsum(lengths[index])[bounds + np.arange(len(texts))]
+    found = np.empty(ends[-1] if len(ends) else 0, "<u4")
+    done = 0
+    for i in range(0, len(index), 1 << 18):  # what is held besides the ids has a bound
+        some = index[i : i + (1 << 18)]
+        count = lengths[some]
+        after = np.cumsum(count)
+        at = np.repeat(first[some] - (after - count), count) + np.arange(after[-1])
+        found[done : done + len(at)] = row[at]
+        done += len(at)
+    return found, ends
+
+
+def encode(text: str | None, path: str) -> bytes:
+    """The ids of a text, little-endian in four bytes each, with the end id."""
+    return encode_all(pa.array([text], pa.string()), path)[0].tobytes()
 
 
 def cut(tokens: int, window: int = WINDOW, piece: int = PIECE) -> list[tuple[int, int]]:
@@ -135,19 +164,30 @@ def difference(sizes: np.ndarray, windows: int) -> list[list[int]]:
     return heap[0][3] if heap else []
 
 
+def _slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """First rows and numbers of rows of parts of some ``AT_ONCE`` bytes; a longer text is one of its own."""
+    part = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)) // AT_ONCE
+    bounds = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(texts)]
+    return ((a, b - a) for a, b in zip(bounds, bounds[1:], strict=False))
+
+
 def _pieces(path: str, with_ids: bool):
     def work(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            for i in range(0, part.num_rows, 500):
+            if not part.num_rows:
+                continue
+            for first, rows in _slices(part.column(1)):
                 found: list[tuple] = []
                 ids: list[np.ndarray] = []
-                for doc, text in zip(*(part.column(c).slice(i, 500).to_pylist() for c in (0, 1)), strict=True):
-                    tokens = encode(text, path)
-                    for start, length in cut(len(tokens) // 4):
-                        own = tokens[4 * start : 4 * (start + length)]
-                        found.append((doc, start, length, zlib.crc32(own), len(tokens) // 4))
+                tokens, ends = encode_all(part.column(1).slice(first, rows), path)
+                begin = 0
+                for doc, end in zip(part.column(0).slice(first, rows).to_pylist(), ends.tolist(), strict=True):
+                    for start, length in cut(end - begin):
+                        own = tokens[begin + start : begin + start + length]
+                        found.append((doc, start, length, zlib.crc32(own), end - begin))
                         if with_ids:
-                            ids.append(np.frombuffer(own, "<i4"))
+                            ids.append(own.view("<i4"))
+                    begin = end
                 columns = [pa.array(c, pa.int64()) for c in zip(*found, strict=True)]
                 names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
                 if with_ids:

@@ -3,6 +3,7 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from ledgerloom.llm import packing
@@ -59,6 +60,34 @@ def test_words_one_by_one_are_the_text():
         assert ids == [*encode(text, add_special_tokens=False).ids, 1]
 
 
+def test_many_texts_at_once_and_a_full_memory(monkeypatch):
+    from tokenizers import Tokenizer
+
+    encode = Tokenizer.from_file(PATH).encode
+    texts = ["one  two", None, "", "日本語, 中文.", "\u00a0Two\x0bone\u00a0", " x\x1cy ", "a\x85b", "one " * 300, "<|endoftext|>"]
+    texts += [f"wort{i} und{i % 7}, {i}" for i in range(200)]
+    monkeypatch.setattr(packing, "REMEMBERED", 20)
+    monkeypatch.setattr(packing, "AT_ONCE", 500)
+    monkeypatch.setattr(packing, "_known", {})
+    column = pa.array(["cut off", *texts], pa.string()).slice(1)
+    found = []
+    for first, rows in packing._slices(column):
+        ids, ends = packing.encode_all(column.slice(first, rows), PATH)
+        found += [part.tolist() for part in np.split(ids, ends[:-1])]
+    assert found == [[*encode(text or "", add_special_tokens=False).ids, 1] for text in texts]
+    known = packing._known[PATH]
+    assert max(len(known), len(known.older)) <= 20
+
+
+def test_each_usual_character_is_the_text():
+    from tokenizers import Tokenizer
+
+    encode = Tokenizer.from_file(PATH).encode
+    texts = [f"{c}A{c}b.{c} {c}. x{c}, A{c}!?{c} don't{c}. 1{c}" for c in map(chr, range(0x260))]
+    ids, ends = packing.encode_all(pa.array(texts), PATH)
+    assert [part.tolist() for part in np.split(ids, ends[:-1])] == [[*encode(text, add_special_tokens=False).ids, 1] for text in texts]
+
+
 def test_odd_rows(spark):
     got = packing.pack(odd_table(spark), PATH).toPandas()
     assert len(got) == 6 and got.doc_id.isna().sum() == 1
