@@ -27,6 +27,8 @@ CELL, MAX_PIVOTS = 6000, 1024
 RADII = (0.125, 0.25, 0.5)
 #: Node pairs opened at a time.
 _OPENED = 1 << 16
+#: Pairs held before they are folded into labels.
+_HELD = 1 << 18
 #: Bounds keep so far from the threshold that rounding cannot decide; nearer pairs are computed.
 _ROUNDING = 1e-9
 
@@ -83,6 +85,7 @@ class Tree:
     radius: list[np.ndarray]
     children: list[tuple[np.ndarray, np.ndarray, np.ndarray]]  # of all nodes in one row, first place and count of each
     members: list[list[np.ndarray]]
+    sizes: list[np.ndarray]  # numbers of members
 
     @classmethod
     def over(cls, points: np.ndarray) -> Tree:
@@ -102,7 +105,7 @@ class Tree:
         # level 0 are the points themselves
         members = [[np.array([i]) for i in everyone], *levels[::-1]]
         rows = [_in_one_row(c) for c in [[], levels[-1], *children[::-1]]]
-        tree = cls(points, [everyone], [np.zeros(len(points))], rows, members)
+        tree = cls(points, [everyone], [np.zeros(len(points))], rows, members, [np.array([len(m) for m in nodes], np.int64) for nodes in members])
         for nodes in members[1:]:
             tree.centers.append(np.array([m[0] for m in nodes], np.int64))
             tree.radius.append(
@@ -112,45 +115,64 @@ class Tree:
 
 
 class Links:
-    """Counts of linked vectors by point, and the pairs that join components."""
+    """Counts of linked vectors by point, and which points are joined.
+
+    Pairs are held until there are ``_HELD`` of them; then they are folded into one label for
+    each point, so that a dense cluster costs no more memory than its points.
+    """
 
     def __init__(self, weights: list[np.ndarray]) -> None:
         self.weights = weights
         self.counts = [np.zeros(len(w), np.int64) for w in weights]
         self.pairs: list[np.ndarray] = []
+        self.held = 0
         self.shift = len(weights[0])
+        self.label = np.arange(sum(map(len, weights)))
+
+    def _join(self, a: np.ndarray, b: np.ndarray) -> None:
+        self.pairs.append(np.stack([a, b]))
+        self.held += len(a)
+        if self.held >= _HELD:
+            self.fold()
+
+    def fold(self) -> None:
+        """Points joined by the pairs held get the smallest label among them."""
+        if not self.pairs:
+            return
+        a, b = self.label[np.concatenate(self.pairs, axis=1)]
+        self.pairs, self.held = [], 0
+        while (apart := a != b).any():
+            a, b = np.minimum(a[apart], b[apart]), np.maximum(a[apart], b[apart])
+            up = np.arange(len(self.label))
+            np.minimum.at(up, b, a)
+            while not np.array_equal(further := up[up], up):
+                up = further
+            self.label, a, b = up[self.label], up[a], up[b]
 
     def add(self, a: np.ndarray, b: np.ndarray, sides: tuple[int, int]) -> None:
         np.add.at(self.counts[sides[0]], a, self.weights[sides[1]][b])
         np.add.at(self.counts[sides[1]], b, self.weights[sides[0]][a])
-        self.pairs.append(np.stack([a + self.shift * sides[0], b + self.shift * sides[1]]))
+        self._join(a + self.shift * sides[0], b + self.shift * sides[1])
 
     def add_all(self, a: np.ndarray, b: np.ndarray, sides: tuple[int, int]) -> None:
         """All of ``a`` with all of ``b``; a spanning set of pairs joins them."""
         self.counts[sides[0]][a] += self.weights[sides[1]][b].sum()
         self.counts[sides[1]][b] += self.weights[sides[0]][a].sum()
-        first = np.stack([a + self.shift * sides[0], np.full(len(a), b[0] + self.shift * sides[1])])
-        second = np.stack([np.full(len(b), a[0] + self.shift * sides[0]), b + self.shift * sides[1]])
-        self.pairs += [first, second]
+        self._join(a + self.shift * sides[0], np.full(len(a), b[0] + self.shift * sides[1]))
+        self._join(np.full(len(b), a[0] + self.shift * sides[0]), b + self.shift * sides[1])
 
     def add_within(self, a: np.ndarray) -> None:
         """All of ``a``, of the first side, with each other."""
         weights = self.weights[0][a]
         self.counts[0][a] += weights.sum() - weights
-        self.pairs.append(np.stack([a, np.full(len(a), a[0])]))
+        self._join(a, np.full(len(a), a[0]))
 
     def roots(self, ids: np.ndarray) -> np.ndarray:
         """For each point of both sides the smallest id it is joined with here."""
+        self.fold()
         least = ids.copy()
-        if self.pairs:
-            a, b = np.concatenate(self.pairs, axis=1)
-            while True:
-                before = least.copy()
-                np.minimum.at(least, a, least[b])
-                np.minimum.at(least, b, least[a])
-                if np.array_equal(before, least):
-                    break
-        return least
+        np.minimum.at(least, self.label, ids)
+        return least[self.label]
 
 
 def traverse(a: Tree, b: Tree, cosine: float, links: Links, same: bool) -> None:
@@ -188,7 +210,12 @@ def traverse(a: Tree, b: Tree, cosine: float, links: Links, same: bool) -> None:
         d, reach = _distance(cos), a.radius[level][x] + b.radius[level][y]
         own = (x == y) if same else np.zeros(len(x), bool)
         whole = d + reach < limit - _ROUNDING
-        for i in np.flatnonzero(whole):
+        # single points are linked all at once, and none with itself
+        many = (a.sizes[level][x] > 1) | (b.sizes[level][y] > 1)
+        single = whole & ~many & ~own
+        if single.any():
+            links.add(a.centers[level][x[single]], b.centers[level][y[single]], sides)
+        for i in np.flatnonzero(whole & many):
             if own[i]:
                 links.add_within(a.members[level][x[i]])
             else:
@@ -346,17 +373,14 @@ def embedding_links(vectors: DataFrame, cosine: float = 0.9) -> DataFrame:
         rows.where("v is not null").groupBy("v").agg(F.min("vec_id").alias("rep"), F.count("*").alias("weight")).select("rep", "weight", "v"),
         "classes",
     )
-    sizes = [r[0] for r in classes.select(F.size("v").alias("d")).distinct().limit(65).collect()]
-    if len(sizes) > 64:
-        raise ValueError("more than 64 lengths of vectors")
-    found = None
-    for size in sorted(sizes):
-        part = stored(_links_of(classes.where(F.size("v") == size), cosine), "joined")
-        found = part if found is None else found.unionByName(part)
-    if found is None:
-        return rows.select(
-            "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept")
-        )
+    # lengths that fill more than a task have cells of their own; each of the others, however many, is one task
+    lengths = classes.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).where(F.col("n") > CELL)
+    wide = sorted(r["d"] for r in lengths.collect())
+    others = classes.where(~F.size("v").isin(wide)) if wide else classes
+    small = others.select(F.size("v").alias("part"), F.lit(0).alias("block"), F.lit(True).alias("owner"), "rep", "weight", "v")
+    found = stored(small.groupBy("part", "block").applyInArrow(_joined(cosine), "rep long, n long, root long"), "joined")
+    for size in wide:
+        found = found.unionByName(stored(_links_of(classes.where(F.size("v") == size), cosine), "joined"))
     counts = found.groupBy("rep").agg(F.sum("n").alias("n"))
     roots = components(found, "rep", "root", "vectors")
     named = (

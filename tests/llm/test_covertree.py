@@ -61,6 +61,52 @@ def test_trees_cover_and_nest():
             assert np.linalg.norm(points[members] - points[center], axis=1).max() <= radius + 1e-7
 
 
+def test_one_dense_cluster_is_held_by_point(monkeypatch):
+    """Points that are all linked but too far apart to be one node."""
+    draw = np.random.default_rng(5)
+    points = covertree.unit(1 + 0.29 * draw.normal(size=(1500, 64)))
+    cosines = points @ points.T
+    assert 0.9 < np.median(cosines) < 0.94
+    monkeypatch.setattr(covertree, "_HELD", 1 << 12)
+    held = []
+    fold = covertree.Links.fold
+    monkeypatch.setattr(covertree.Links, "fold", lambda self: (held.append((len(self.pairs), self.held)), fold(self))[1])
+    links = covertree.Links([np.ones(1500, np.int64), np.empty(0, np.int64)])
+    tree = covertree.Tree.over(points)
+    covertree.traverse(tree, tree, 0.9, links, same=True)
+    near = cosines >= 0.9
+    assert links.counts[0].tolist() == (near.sum(axis=1) - 1).tolist()
+    assert near.sum() > 1_000_000 and max(n for _, n in held) <= covertree._HELD + covertree._OPENED + 1500
+    assert sum(n for n, _ in held) < 5000
+    ids = draw.permutation(1500)
+    assert set(links.roots(ids)) == {0}
+
+
+def test_labels_are_components():
+    draw = np.random.default_rng(2)
+    links = covertree.Links([np.ones(400, np.int64), np.ones(200, np.int64)])
+    pairs = [(int(a), int(b)) for a, b in draw.integers(0, 600, (330, 2))]
+    for a, b in pairs:
+        links._join(np.array([a]), np.array([b]))
+        if a % 50 == 0:
+            links.fold()
+    ids = draw.permutation(600)
+    least = {i: int(ids[i]) for i in range(600)}
+    for _ in range(600):
+        for a, b in pairs:
+            least[a] = least[b] = min(least[a], least[b])
+    assert links.roots(ids).tolist() == [least[i] for i in range(600)]
+
+
+@pytest.mark.parametrize("cell", [6000, 3])
+def test_many_lengths(spark, monkeypatch, cell):
+    monkeypatch.setattr(covertree, "CELL", cell)
+    lengths = [*range(1, 71), 70, 70, 69]
+    rows = [(i, [1.0] * n + [0.5 * (i % 2)], 0, 1, "x") for i, n in enumerate(lengths)]
+    got = covertree.embedding_links(spark.createDataFrame(rows, ROWS)).collect()
+    assert sorted(map(tuple, got)) == brute(rows, 0.9)
+
+
 def test_odd_rows(spark):
     rows = [(None, [1.0, 0.0], 1, 1, "x"), (4, [1.0, 0.0], 1, 1, "x"), (4, [1.0, 0.0], 1, 1, "x")]
     got = covertree.embedding_links(spark.createDataFrame(rows, ROWS)).collect()
