@@ -26,7 +26,7 @@ WINDOW = 2048
 #: The rest of a document is cut into equal pieces of at most so many tokens: several to a window even out best.
 PIECE = 512
 #: Pieces that are packed together.
-BLOCK = 600
+BLOCK = 1500
 #: Entries of a generation of a worker's memory of words.
 REMEMBERED = 600_000
 #: Bytes of text that are encoded together.
