@@ -145,21 +145,15 @@ def _valid_card(written: Column) -> Column:
 
 
 def _groups(run: Column) -> Column:
-    """The text of a match and where its groups of digits begin; no groups unless it is a run without a right check digit."""
-    start = F.struct(F.array().cast("array<int>").alias("begins"), F.lit(1).alias("at"))
-    begins = F.aggregate(
-        F.split(run, "[ -]"),
-        start,
-        lambda s, g: F.struct(F.array_append(s["begins"], s["at"]).alias("begins"), (s["at"] + F.length(g) + 1).alias("at")),
-        lambda s: s["begins"],
-    )
+    """The text of a match and its groups of digits, each with the mark after it; no groups unless it is a run without a right check digit."""
     cut = run.rlike("^[0-9]+[ -][0-9 -]+$") & (F.length(run) > 13) & ~_valid_card(run)
-    return F.struct(run.alias("text"), F.when(cut, begins).otherwise(F.array().cast("array<int>")).alias("begins"))
+    groups = F.when(cut, F.regexp_extract_all(run, F.lit("[0-9]+[ -]?"), F.lit(0))).otherwise(F.array().cast("array<string>"))
+    return F.struct(run.alias("text"), groups.alias("groups"))
 
 
-def _end(run: Column, i: Column) -> Column:
-    """Where group ``i``'s separator, or the end, lies before it."""
-    return F.coalesce(F.get(run["begins"], i) - 1, F.length(run["text"]) + 1)
+def _written(groups: Column, first: Column, count: Column) -> Column:
+    """``count`` groups from ``first`` (0 is the first) on, with the mark after the last one."""
+    return F.array_join(F.slice(groups, first + 1, count), "")
 
 
 def _rated(run: Column) -> Column:
@@ -169,53 +163,74 @@ def _rated(run: Column) -> Column:
     Others are no cards: in a long row of numbers some run always has a right check digit.
     """
 
-    def rated(at: Column, i: Column, k: Column) -> Column:
-        written = F.substring(run["text"], at, _end(run, i + k) - at)
+    def rated(x: Column) -> Column:
+        written = x["written"]
         rank = F.when(written.rlike(_WRITTEN), 2).when(F.regexp_replace(written, "[^0-9]", "").rlike(_ISSUED), 1)
         return F.when(
-            F.length(written).between(13, 37) & (rank > 0) & _valid_card(written),
-            F.struct(rank.alias("rank"), F.length(written).alias("size"), k.alias("groups")),
+            (rank > 0) & _valid_card(written),
+            F.struct(rank.alias("rank"), F.length(written).alias("size"), x["groups"].alias("groups")),
         )
 
-    best = lambda at, i: F.array_max(
-        F.transform(F.sequence(F.lit(1), F.least(F.lit(19), F.size(run["begins"]) - i)), lambda k: rated(at, i, k))
-    )
-    return F.struct(run["text"].alias("text"), run["begins"].alias("begins"), F.transform(run["begins"], best).alias("best"))
+    def best(near: Column) -> Column:
+        starts = F.transform(
+            F.sequence(F.lit(1), F.size(near)),
+            lambda k: F.struct(F.rtrim(_written(near, F.lit(0), k), F.lit(" -")).alias("written"), k.alias("groups")),
+        )
+        return F.array_max(F.transform(F.filter(starts, lambda x: F.length(x["written"]).between(13, 37)), rated))
+
+    # a card has 19 groups at most
+    near = F.transform(run["groups"], lambda _, i: F.slice(run["groups"], i + 1, 19))
+    return F.struct(run["text"].alias("text"), run["groups"].alias("groups"), F.transform(near, best).alias("best"))
 
 
 def _cut(run: Column) -> Column:
-    """From left to right the best card at a group, unless a better one begins inside it: (first group, groups) of each."""
-    start = F.struct(F.array().cast("array<struct<i:int,groups:int>>").alias("cards"), F.lit(0).alias("next"), F.lit(0).alias("i"))
+    """From left to right the best card at a group, unless a better one begins inside it: (first group, groups) of each.
+
+    Cards are gathered in lists of some hundreds, so that the time grows with their number and not its square.
+    """
+    kind = "array<struct<i:int,groups:int>>"
+    start = F.struct(
+        F.array().cast(f"array<{kind}>").alias("full"), F.array().cast(kind).alias("cards"), F.lit(0).alias("next"), F.lit(0).alias("i")
+    )
 
     def step(s: Column, own: Column) -> Column:
         inside = F.slice(run["best"], s["i"] + 2, F.greatest(own["groups"] - 1, F.lit(0)))
         card = (s["i"] >= s["next"]) & own.isNotNull() & ~F.exists(inside, lambda x: F.coalesce(x["rank"] > own["rank"], F.lit(False)))
-        taken = F.struct(
-            F.array_append(s["cards"], F.struct(s["i"].alias("i"), own["groups"].alias("groups"))).alias("cards"),
-            (s["i"] + own["groups"]).alias("next"),
-            (s["i"] + 1).alias("i"),
-        )
-        return F.when(card, taken).otherwise(F.struct(s["cards"].alias("cards"), s["next"].alias("next"), (s["i"] + 1).alias("i")))
+        full = F.size(s["cards"]) >= 500
+        taken = F.struct(s["i"].alias("i"), own["groups"].alias("groups"))
+        return F.when(
+            card,
+            F.struct(
+                F.when(full, F.array_append(s["full"], s["cards"])).otherwise(s["full"]).alias("full"),
+                F.when(full, F.array(taken)).otherwise(F.array_append(s["cards"], taken)).alias("cards"),
+                (s["i"] + own["groups"]).alias("next"),
+                (s["i"] + 1).alias("i"),
+            ),
+        ).otherwise(F.struct(s["full"].alias("full"), s["cards"].alias("cards"), s["next"].alias("next"), (s["i"] + 1).alias("i")))
 
-    cards = F.aggregate(run["best"], start, step, lambda s: s["cards"])
-    return F.struct(run["text"].alias("text"), run["begins"].alias("begins"), cards.alias("cards"))
+    cards = F.aggregate(run["best"], start, step, lambda s: F.concat(F.flatten(s["full"]), s["cards"]))
+    return F.struct(run["text"].alias("text"), run["groups"].alias("groups"), cards.alias("cards"))
 
 
 def _pieces(run: Column) -> Column:
     """The match in pieces (text, whether it is a value): whole, or before, in and after its cards."""
     piece = lambda text, value: F.struct(text.alias("text"), F.lit(value).alias("value"))
+    groups, cards = run["groups"], run["cards"]
+
+    def mark_before(group: Column) -> Column:
+        return F.when(group == 0, "").otherwise(F.regexp_extract(F.get(groups, group - 1), "[ -]$", 0))
 
     def around(c: Column, n: Column) -> Column:
-        before = F.when(n == 0, F.lit(0)).otherwise(F.get(run["cards"], n - 1)["i"] + F.get(run["cards"], n - 1)["groups"])
-        begin = F.get(run["begins"], before)
-        at, end = F.get(run["begins"], c["i"]), _end(run, c["i"] + c["groups"])
-        last = n + 1 == F.size(run["cards"])
-        # the separator after a card goes with what follows
-        gap = F.when(n == 0, F.substring(run["text"], F.lit(1), at - 1)).otherwise(F.substring(run["text"], begin - 1, at - begin + 1))
-        rest = F.when(last, F.substring(run["text"], end, F.length(run["text"]))).otherwise("")
-        return F.array(piece(gap, False), piece(F.substring(run["text"], at, end - at), True), piece(rest, False))
-
-    return F.when(F.size(run["cards"]) > 0, F.flatten(F.transform(run["cards"], around))).otherwise(F.array(piece(run["text"], True)))
+        before = F.when(n == 0, F.lit(0)).otherwise(F.get(cards, n - 1)["i"] + F.get(cards, n - 1)["groups"])
+        end = c["i"] + c["groups"]
+        last = n + 1 == F.size(cards)
+        # the mark after a card goes with what follows
+        gap = F.concat(mark_before(before), _written(groups, before, c["i"] - before))
+        card = F.rtrim(_written(groups, c["i"], c["groups"]), F.lit(" -"))
+        rest = F.when(last, F.concat(mark_before(end), _written(groups, end, F.size(groups) - end))).otherwise("")
+        return F.array(piece(gap, False), piece(card, True), piece(rest, False))
+
+    return F.when(F.size(cards) > 0, F.flatten(F.transform(cards, around))).otherwise(F.array(piece(run["text"], True)))
 
 
 def _ip(value: Column, key: str) -> Column:
