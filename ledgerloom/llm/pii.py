@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: The session's setting that holds the key: whoever knows it can take all pseudonyms back.
+KEY_SETTING = "spark.ledgerloom.pii.key"
 #: Even rounds move the left half, odd ones the right half.
 ROUNDS = 8
 
@@ -357,17 +359,24 @@ def _replaced(value: Column, key: str) -> Column:
     return F.transform(F.transform(F.array(kind), by_kind), keep)[0]
 
 
-def pseudonymize(
-    docs: DataFrame, key: str = "a key of your own", text: str = "text", found_in: str = "pii"
-) -> DataFrame:
+def _key_of(docs: DataFrame, key: str | None) -> str:
+    key = key or docs.sparkSession.conf.get(KEY_SETTING, None)
+    if not key:
+        raise ValueError(f"no key: give one or set {KEY_SETTING}")
+    return key
+
+
+def pseudonymize(docs: DataFrame, key: str | None = None, text: str = "text", found_in: str = "pii") -> DataFrame:
     """All columns of ``docs`` with the text rewritten, and ``found_in``: an array of structs (kind, new).
 
     The array has an entry for each place that looks like personal data; its kind is null
     where validation failed and the text stayed. Several cards in one run of numbers have an
     entry each. A null text stays null with an empty
     array; texts without such places are unchanged. An existing column ``found_in`` is
-    replaced. Repeated rows get equal results.
+    replaced. Repeated rows get equal results. Without ``key`` the session's ``KEY_SETTING`` is
+    taken; without either, an error is raised.
     """
+    key = _key_of(docs, key)
     column = F.col(f"`{text}`")
     # most texts have neither a digit nor an address sign, and are looked at no further
     maybe = F.coalesce(column.rlike("[0-9@]"), F.lit(False))
@@ -394,7 +403,7 @@ def pseudonymize(
     return found.withColumns({text: joined, found_in: entries})
 
 
-def counted(docs: DataFrame, key: str = "a key of your own") -> DataFrame:
+def counted(docs: DataFrame, key: str | None = None) -> DataFrame:
     """``doc_id``, the rewritten ``text``, and how many values of each kind were replaced."""
     done = pseudonymize(docs.select("doc_id", "text"), key)
     count = lambda kind: F.size(F.filter("pii", lambda x: x["kind"] == kind)).cast("long")

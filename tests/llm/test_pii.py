@@ -4,6 +4,7 @@ import hashlib
 import time
 from datetime import date
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import pii
@@ -123,15 +124,26 @@ def test_more_forms_of_phones_and_addresses(spark):
 
 
 def test_odd_rows(spark):
-    got = pii.pseudonymize(odd_table(spark))
+    got = pii.pseudonymize(odd_table(spark), KEY)
     assert got.columns == odd_table(spark).columns and got.count() == 6
     assert [r.text for r in got.where("doc_id = 5").collect()] == [None, None]
-    assert pii.pseudonymize(empty(spark)).collect() == []
+    assert pii.pseudonymize(empty(spark), KEY).collect() == []
     assert one(spark, None).pii == [] and one(spark, "").text == ""
     long = "1" * 50_000 + " " + "a" * 50_000 + "@"
     assert one(spark, long).text == long
 
 
+def test_no_key_but_a_given_one(spark):
+    row = spark.createDataFrame([("1.2.3.4",)], "text string")
+    with pytest.raises(ValueError, match="key"):
+        pii.pseudonymize(row)
+    spark.conf.set(pii.KEY_SETTING, KEY)
+    try:
+        assert pii.pseudonymize(row).first() == one(spark, "1.2.3.4")
+    finally:
+        spark.conf.unset(pii.KEY_SETTING)
+
+
 def test_no_python_in_the_plan(spark):
-    plan = pii.counted(odd_table(spark))._jdf.queryExecution().executedPlan().toString()
+    plan = pii.counted(odd_table(spark), KEY)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
