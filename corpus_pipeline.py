@@ -10,6 +10,7 @@ from ledgerloom.llm.storage import free_name, stored
 
 #: A document whose best language has a mean probability below so many times that of a blind guess is no text of any.
 LEAST_OVER_CHANCE = 1.2
+#: For trial tables alone: with real data the session's ``pii.KEY_SETTING`` has to be given.
 PII_KEY = "corpus"
 
 
@@ -64,7 +65,7 @@ def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Every row stays, one by one: null texts null, empty ones empty, equal ones equal.
     """
-    changed = pii.pseudonymize(docs, PII_KEY, found_in=(found := free_name(docs.columns, "found"))).drop(found)
+    changed = pii.pseudonymize(docs, spark.conf.get(pii.KEY_SETTING, PII_KEY), found_in=(found := free_name(docs.columns, "found"))).drop(found)
     return changed.withColumn("n_chars", F.length("text").cast("long"))
 
 
