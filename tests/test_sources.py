@@ -153,3 +153,45 @@ def test_fact_keys_are_given_above_the_last_exchange(spark):
     plan = rows._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("monotonically_increasing_id") < plan.index("RebalancePartitions")
     assert rows.select("Key").distinct().count() == 100
+
+
+def test_raw_transactions_move_line_items_once(spark, tmp_path, capsys):
+    from checks.lake import raw_transactions
+
+    lines = "id as l_orderkey, id as l_partkey, id as l_suppkey, 1 as l_linenumber, cast(id as decimal(18,2)) as l_extendedprice"
+    spark.range(40).selectExpr(*lines.split(", ")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    orders = ("id as o_orderkey", "id % 7 as o_custkey", "cast(id as decimal(18,2)) as o_totalprice")
+    spark.range(30).selectExpr(*orders).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(25).selectExpr("id as n_nationkey", "'N' as n_name").write.parquet(f"{tmp_path}/nation.parquet")
+    raw = raw_transactions(spark, str(tmp_path))
+    assert raw.count() == 30
+    raw.explain()
+    plan = capsys.readouterr().out
+    assert "RoundRobin" not in plan  # it would sort all rows first, and the join would move them again
+    assert "hashpartitioning(l_orderkey" in plan
+
+
+def test_exchanges_begin_with_more_partitions_for_more_rows(spark):
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    try:
+        assert readers.widen_exchanges(spark, 10) == 8 and spark.conf.get(key, None) is None
+        assert readers.widen_exchanges(spark, 216_000_000) == 432 == readers.exchange_width(spark)
+        assert readers.widen_exchanges(spark, 10) == 432
+        folder = spark.range(1000).repartition("id")
+        assert folder.groupBy("id").count().count() == 1000
+    finally:
+        spark.conf.unset(key)
+
+
+def test_load_stamps_come_after_the_exchange_of_a_fact(spark, tmp_path, capsys):
+    from ledgerloom.config import Settings
+    from ledgerloom.plans.warehouse import Warehouse
+
+    lake = Warehouse(spark, str(tmp_path), Settings())
+    rows = spark.range(10).selectExpr("id as CustomerKey", "'2015-01' as year_month")
+    stamped = lake._fact_rows(rows, batch_id=3)
+    assert stamped.columns == ["TransactionKey", "CustomerKey", "year_month", "ETLLoadDate", "ETLBatchID"]
+    stamped.explain()
+    plan = capsys.readouterr().out
+    assert {r["ETLBatchID"] for r in stamped.collect()} == {3}
+    assert plan.index("ETLBatchID") < plan.index("Exchange") and "ETLBatchID" not in plan[plan.index("Exchange") :]
