@@ -25,6 +25,8 @@ from ledgerloom.llm.storage import stored
 CELL, MAX_PIVOTS = 6000, 1024
 #: Radii of the nets on the unit sphere; a root above them holds the rest.
 RADII = (0.125, 0.25, 0.5)
+#: Roots compared at a time with all of the other tree.
+_ROOTS = 1024
 #: Node pairs opened at a time.
 _OPENED = 1 << 16
 #: Pairs held before they are folded into labels.
@@ -175,20 +177,35 @@ class Links:
         return least[self.label]
 
 
+def _near_roots(a: Tree, b: Tree, start: int, limit: float, same: bool) -> np.ndarray:
+    """Pairs of a block of roots of ``a`` and a root of ``b`` that can hold links, and some more.
+
+    Unrelated vectors are roots of their own, so this is where the work grows with their
+    square. Cosines in single precision are compared with bounds that allow for its errors;
+    the pairs that are left are computed again in double precision.
+    """
+    top = len(RADII)
+    radius = a.radius[top][start : start + _ROOTS]
+    begin = start if same else 0  # within one tree each pair comes once
+    reach = b.radius[top][begin:] + limit + _ROUNDING
+    slack = np.finfo(np.float32).eps * (a.points.shape[1] + 8)
+    least = lambda r: (1.0 - r * r / 2.0 - slack).astype(np.float32)
+    cos = a.points[a.centers[top][start : start + _ROOTS]].astype(np.float32) @ b.points[b.centers[top][begin:]].astype(np.float32).T
+    near = cos >= least(reach)
+    wide = np.flatnonzero(radius > 0)
+    near[wide] = cos[wide] >= least(radius[wide, None] + reach)
+    if same:
+        near &= np.arange(len(radius))[:, None] <= np.arange(len(reach))
+    x, y = np.nonzero(near)
+    return np.stack([x + start, y + begin])
+
+
 def traverse(a: Tree, b: Tree, cosine: float, links: Links, same: bool) -> None:
     """Find all linked pairs of points of two trees, or within one (``same``)."""
     limit = float(_distance(np.float64(cosine)))
     sides = (0, 0) if same else (0, 1)
     top = len(RADII)
-    starts = []
-    for i in range(0, len(a.centers[top]), 1024):  # the roots, in blocks
-        some = np.arange(i, min(i + 1024, len(a.centers[top])))
-        d = _distance(a.points[a.centers[top][some]] @ b.points[b.centers[top]].T)
-        near = d <= a.radius[top][some][:, None] + b.radius[top][None, :] + limit + _ROUNDING
-        if same:
-            near &= some[:, None] <= np.arange(len(b.centers[top]))[None, :]
-        x, y = np.nonzero(near)
-        starts.append(np.stack([some[x], y]))
+    starts = [_near_roots(a, b, i, limit, same) for i in range(0, len(a.centers[top]), _ROOTS)]
     first = np.concatenate(starts, axis=1) if starts else np.empty((2, 0), np.int64)
     # parts of pairs come one at a time, so that few are held at each level
     stack = [(top, iter(np.array_split(first, first.shape[1] // _OPENED + 1, axis=1)))]

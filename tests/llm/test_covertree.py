@@ -112,3 +112,21 @@ def test_odd_rows(spark):
     got = covertree.embedding_links(spark.createDataFrame(rows, ROWS)).collect()
     assert sorted(map(tuple, got), key=str) == [(4, 1, 4, True), (4, 1, 4, True), (None, 0, None, True)]
     assert covertree.embedding_links(spark.createDataFrame([], ROWS)).collect() == []
+
+
+@pytest.mark.parametrize("same", [True, False])
+def test_unrelated_roots_are_told_apart_without_distances(monkeypatch, same):
+    draw = np.random.default_rng(8)
+    points = covertree.unit(draw.normal(size=(3000, 64)))
+    points[::7] = covertree.unit(points[1::7][: len(points[::7])] + 0.05 * draw.normal(size=(len(points[::7]), 64)))
+    points[2] = points[5] * 0.9 + covertree.unit(points[6:7] - (points[6] @ points[5]) * points[5])[0] * np.sqrt(0.19)
+    a, b = (points, points) if same else (points[::2], points[1::2])
+    one = covertree.Tree.over(a)
+    other = one if same else covertree.Tree.over(b)
+    links = covertree.Links([np.ones(len(a), np.int64), np.ones(0 if same else len(b), np.int64)])
+    distance, computed = covertree._distance, []
+    monkeypatch.setattr(covertree, "_distance", lambda cos: (computed.append(np.size(cos)), distance(cos))[1])
+    covertree.traverse(one, other, 0.9, links, same=same)
+    near = a @ b.T >= 0.9
+    assert links.counts[0].tolist() == (near.sum(axis=1) - same).tolist() and near.sum() > same * len(a) + 100
+    assert sum(computed) < len(a) * len(b) / 10
