@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import decontaminate, langid, minhash, packing, pii
-from ledgerloom.llm.storage import free_name, stored
+from ledgerloom.llm.storage import free_name, small_batches, stored
 
 #: A document whose best language has a mean probability below so many times that of a blind guess is no text of any.
 LEAST_OVER_CHANCE = 1.2
@@ -29,6 +29,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     two languages and repeated rows stay or go together; an empty table stays empty; further
     columns pass through.
     """
+    small_batches(spark)
     network = langid.fit(langid.sample_of(docs))
     if network is None:
         return docs.where(F.col("text").rlike(r"\p{L}"))
@@ -46,6 +47,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     stay; rows that repeat an id stay or go together; an empty table stays empty; further
     columns pass through, whatever their names.
     """
+    small_batches(spark)
     gone = minhash.near_duplicates(docs, words=5, percent=80).where(~F.col("kept"))
     return _without(docs, gone.select("doc_id").distinct())
 

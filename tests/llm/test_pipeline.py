@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -105,3 +106,17 @@ def test_language_stage_with_nothing_or_much_to_learn(spark):
     rows = [(i, text_of("aa", 7, 3) + f" {many[i % 24] * 30}", many[i % 24], "s", 1) for i in range(240)]
     kept = corpus_pipeline.language(spark, spark.createDataFrame(rows, DOCS), "").count()
     assert kept > 200  # no text is lost because there are many languages
+
+
+@pytest.mark.parametrize("stage", [corpus_pipeline.language, corpus_pipeline.near_dedup])
+def test_stages_bound_batches_by_their_bytes(spark, sf_dir, stage):
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(setting)
+    stage(spark, spark.read.parquet(f"{sf_dir}/documents.parquet"), sf_dir)
+    long = spark.range(200).repartition(1).select(F.repeat(F.lit("some words "), 10_000).alias("text"))  # 22 MB
+
+    def size(parts):
+        for part in parts:
+            yield pa.RecordBatch.from_arrays([pa.array([part.num_rows], pa.int32())], ["n"])
+
+    assert long.mapInArrow(size, "n int").count() >= 4
