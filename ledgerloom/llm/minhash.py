@@ -316,8 +316,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, table: n
             .agg(F.min_by("node", F.struct("rank", "node")).alias("leader"))
             .select("bucket", "leader")
         )
-        pairs = live.join(leaders, "bucket").where("node != leader").select("node", "leader").distinct()
-        met = stored(_met(pairs, nodes, texts, words, table, percent), "met")
+        led = live.join(leaders, "bucket").where("node != leader").select("bucket", "node", "leader")
+        met = stored(_met(led.select("node", "leader").distinct(), nodes, texts, words, table, percent), "met")
         if slots == 1:
             marked_far = met.withColumn("far", F.lit(True))
         else:
@@ -328,7 +328,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, table: n
         links.append(stored(direct.unionByName(apart), "links"))
         # All links of a near member are to members that its leader has met, so it is done in
         # this bucket, as the leader is.
-        seen = met.select("node", "leader", "near").join(leaders, "leader")
+        seen = led.join(met.select("node", "leader", "near"), ["node", "leader"])
         done = seen.where("near").select("bucket", "node").unionByName(leaders.select("bucket", F.col("leader").alias("node")))
         rest = live.join(done, ["bucket", "node"], "left_anti")
         if slots == 1:

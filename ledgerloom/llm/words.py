@@ -13,8 +13,8 @@ from functools import lru_cache
 
 import numpy as np
 
-#: Texts are hashed in batches of about so many bytes.
-BATCH_BYTES = 1 << 20
+#: Texts are hashed in batches of about so many bytes; arrays of some 50 times as many are held meanwhile.
+BATCH_BYTES = 1 << 18
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 SEPARATOR = 256
@@ -59,7 +59,7 @@ def word_hashes(texts: list[bytes], table: np.ndarray) -> tuple[np.ndarray, np.n
     inside = (buffer != SEPARATOR).view(np.int8)
     edges = np.diff(inside, prepend=np.int8(0))
     begins, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
-    up, down = _powers(1 << max(20, int(len(buffer) - 1).bit_length()))
+    up, down = _powers(1 << max(18, int(len(buffer) - 1).bit_length()))
     sums = np.empty(len(buffer) + 1, np.uint64)
     sums[0] = 0
     np.cumsum(_BYTE_VALUES[buffer] * up[: len(buffer)], dtype=np.uint64, out=sums[1:])
