@@ -195,3 +195,21 @@ def test_load_stamps_come_after_the_exchange_of_a_fact(spark, tmp_path, capsys):
     plan = capsys.readouterr().out
     assert {r["ETLBatchID"] for r in stamped.collect()} == {3}
     assert plan.index("ETLBatchID") < plan.index("Exchange") and "ETLBatchID" not in plan[plan.index("Exchange") :]
+
+
+def test_large_exchanges_have_some_tasks_a_core(spark):
+    settings = ("spark.sql.adaptive.coalescePartitions.initialPartitionNum", *readers._FEWEST)
+    rows = spark.range(500_000).selectExpr("id", "uuid() as a", "uuid() as b")
+    tasks = lambda df: df.repartition("id").rdd.getNumPartitions()
+    try:
+        spark.conf.set(settings[0], "64")
+        before = tasks(rows)
+        assert readers.even_tasks(spark) == 32
+        assert tasks(rows) > max(before, 16)
+        assert tasks(spark.range(1000)) == 1
+        spark.conf.set(settings[1], "5")
+        readers.even_tasks(spark)
+        assert spark.conf.get(settings[1]) == "5"
+    finally:
+        for setting in settings:
+            spark.conf.unset(setting)
