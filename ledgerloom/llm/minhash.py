@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.components import components
-from ledgerloom.llm.storage import stored
+from ledgerloom.llm.storage import removed, stored, stored_in
 from ledgerloom.llm.words import SPACED, mix, shingle_sets
 
 #: Minima of a band, and bands: a pair of similarity 0.8 shares no bucket once in 300,000 pairs.
@@ -247,7 +247,7 @@ def _gathered(live: DataFrame, nodes: DataFrame, texts: DataFrame, words: int, t
     components, so a bucket whose members are all in one is done, whatever links are
     left in it; that is where groups of near copies end.
     """
-    roots = nodes.select("node", F.col("node").alias("root")).limit(0)
+    roots = live.select("node", F.col("node").alias("root")).limit(0)
     live = live.withColumn("root", F.col("node"))
     for turn in range(ROUNDS):
         order = F.xxhash64("node", F.lit(turn)) if turn else F.col("rank")
@@ -267,6 +267,11 @@ def _gathered(live: DataFrame, nodes: DataFrame, texts: DataFrame, words: int, t
     return live, roots
 
 
+def _of(live: DataFrame, rows: DataFrame) -> DataFrame:
+    """The ``rows`` of nodes that are in ``live`` buckets."""
+    return rows.join(live.select("node").distinct(), "node")
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, table: np.ndarray = SPACED) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``n_shingles``, ``component_id``, ``kept``.
 
@@ -280,27 +285,34 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, table: n
     if percent < 80:
         raise ValueError("the bands are made for similarities from 0.8 on")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    marked = stored(signatures(docs, words, table), "signatures")
+    spark = docs.sparkSession
+    # bands, sketches and texts are most of what is written, and go when no later step reads them
+    full, full_at = stored_in(signatures(docs, words, table), "signatures")
+    marked = stored(full.select("doc_id", "n_shingles", "low", "high"), "sizes")
     classes = stored(
         marked.where("n_shingles > 0 and doc_id is not null").groupBy("low", "high").agg(F.min("doc_id").alias("node")),
         "classes",
     )
-    nodes = stored(
-        marked.join(classes, ["low", "high"]).where("doc_id = node").select("node", "n_shingles", "bands", "sketch"),
+    banded, banded_at = stored_in(
+        full.join(classes, ["low", "high"]).where("doc_id = node").select("node", "n_shingles", "bands", "sketch"),
         "nodes",
     )
-    members = nodes.select("node", F.explode("bands").alias("bucket"))
+    removed(spark, full_at)
+    members = banded.select("node", F.explode("bands").alias("bucket"))
     shared = members.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     sized = stored(members.join(shared, "bucket"), "sized")
     # the most central ones come first
     ranks = sized.groupBy("node").agg((-F.sum("size")).alias("rank"))
     live = stored(sized.select("bucket", "node").join(ranks, "node"), "buckets")
-    texts = stored(
-        docs.withColumnRenamed("doc_id", "node").join(live.select("node").distinct(), "node"),
-        "texts",
-    )
+    nodes, nodes_at = stored_in(_of(live, banded.drop("bands")), "sketches")
+    removed(spark, banded_at)
+    texts, texts_at = stored_in(_of(live, docs.withColumnRenamed("doc_id", "node")), "texts")
 
     live, roots = _gathered(live, nodes, texts, words, table, percent)
+    # few are left as a rule, and each further round moves all sketches and texts it is given
+    nodes, texts = stored(_of(live, nodes), "sketches"), stored(_of(live, texts), "texts")
+    removed(spark, nodes_at)
+    removed(spark, texts_at)
     root_of = stored(live.select("node", "root").distinct(), "roots")
     leader_root = root_of.select(F.col("node").alias("leader"), F.col("root").alias("leader_root"))
     links, slots = [roots.select(F.col("node").alias("a"), F.col("root").alias("b"))], 1

@@ -28,7 +28,7 @@ PIECE = 512
 #: Pieces that are packed together.
 BLOCK = 1500
 #: Entries of a generation of a worker's memory of words.
-REMEMBERED = 600_000
+REMEMBERED = 150_000
 #: Bytes of text that are encoded together.
 AT_ONCE = 16 << 20
 END_ID = 1
@@ -172,7 +172,7 @@ def _slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
 
 
 def _pieces(path: str, with_ids: bool):
-    def work(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pieces(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             if not part.num_rows:
                 continue
@@ -195,6 +195,11 @@ def _pieces(path: str, with_ids: bool):
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(columns, names)
 
+    def work(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from pieces(parts)
+        # the worker goes on to tasks of other stages, without what arrays of this one have held
+        pa.default_memory_pool().release_unused()
+
     return work
 
 

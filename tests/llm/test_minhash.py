@@ -1,10 +1,11 @@
 from __future__ import annotations
 
 import itertools
+from pathlib import Path
 
 import pytest
 
-from ledgerloom.llm import minhash
+from ledgerloom.llm import minhash, storage
 from ledgerloom.llm.components import components
 from tests.llm.fixtures import docs, edited, empty, odd_table, prose, rows  # noqa: F401
 
@@ -83,3 +84,32 @@ def test_components_of_a_chain_and_a_star(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, x) for x in range(101, 130)] + [(7, 7), (None, 3)]
     got = components(spark.createDataFrame(links, "a long, b long"), "a", "b").collect()
     assert sorted(map(tuple, got)) == [(i, 0) for i in range(1, 41)] + [(x, 100) for x in range(101, 130)]
+
+
+def test_wide_steps_go_and_later_rounds_move_the_texts_that_are_left(spark, monkeypatch):
+    # twenty groups of near copies, done in the rounds before; one group that goes on
+    base = prose(1, 150)
+    far = edited(base, 77, 0.05)
+    texts = [base, *(edited(far if i % 2 else base, i, 0.015) for i in range(1, 40))]
+    texts += [edited(prose(100 + g, 200), i, 0.002) for g in range(20) for i in range(4)]
+    table, kept, moved = list(enumerate(texts)), [], []
+    write, met = storage.stored_in, minhash._met
+
+    def noted(df, label, *rest):
+        got = write(df, label, *rest)
+        kept.append((label, got[1]))
+        return got
+
+    def counted(pairs, nodes, texts, *rest):
+        moved.append((nodes.count(), texts.count()))
+        return met(pairs, nodes, texts, *rest)
+
+    monkeypatch.setattr(storage, "stored_in", noted)
+    monkeypatch.setattr(minhash, "stored_in", noted)
+    monkeypatch.setattr(minhash, "_met", counted)
+    got = minhash.near_duplicates(spark.createDataFrame(table, "doc_id long, text string"), 3, 85)
+    assert sorted(map(tuple, got.collect())) == brute(table, 3, 85)
+    there = [label for label, path in kept if Path(path.removeprefix("file:")).exists()]
+    assert not {"signatures", "nodes"} & {*there}
+    assert there.count("sketches") == there.count("texts") == 1
+    assert moved[0][0] > 60 and all(n <= 40 and t <= 40 for n, t in moved[minhash.ROUNDS :])

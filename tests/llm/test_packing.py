@@ -1,6 +1,9 @@
 from __future__ import annotations
 
+import subprocess
+import sys
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -93,3 +96,26 @@ def test_odd_rows(spark):
     assert len(got) == 6 and got.doc_id.isna().sum() == 1
     assert got[got.doc_id == 5].doc_tokens.tolist() == [1, 1]
     assert packing.pack(empty(spark), PATH).collect() == []
+
+
+def test_a_worker_holds_little_after_its_task():
+    # in a process of its own, as workers are; 4,000 texts of 300 words, most words new
+    code = f"""
+import re
+import pyarrow as pa
+from ledgerloom.llm import packing
+from tests.llm.fixtures import prose
+
+def held():
+    return sum(map(int, re.findall(r"\\nPss_Anon:\\s+(\\d+)", open("/proc/self/smaps_rollup").read()))) / 1024
+
+def part(i):
+    texts = [prose(j, 40) + " " + " ".join(f"q{{(j * 1009 + k) % 700001}}x" for k in range(260)) for j in range(i, i + 1000)]
+    return pa.RecordBatch.from_arrays([pa.array(range(i, i + 1000)), pa.array(texts)], ["doc_id", "text"])
+
+for i in range(0, 4000, 1000):
+    sum(p.num_rows for p in packing._pieces({PATH!r}, False)(iter([part(i)])))
+print(held())
+"""
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, cwd=Path(__file__).parents[2])
+    assert float(done.stdout) < 190
