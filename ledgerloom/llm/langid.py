@@ -244,8 +244,8 @@ def sample_of(docs: DataFrame, per_language: int = SAMPLE_DOCS, most: int = MOST
     slots = max(1, min(per_language, most // max(1, languages)))
     slot = F.pmod(F.xxhash64("doc_id"), F.lit(slots)).alias("slot")
     picked = labelled.groupBy("lang", slot).agg(F.min("doc_id").alias("doc_id")).select("lang", "doc_id")
-    ids = picked.orderBy(F.xxhash64("lang", "doc_id")).limit(most).collect()
-    chosen = docs.sparkSession.createDataFrame(ids, "lang string, doc_id long")  # at most ``most`` rows
+    # rows made on the driver would start Python workers of their own kind on all executors
+    chosen = picked.orderBy(F.xxhash64("lang", "doc_id")).limit(most)
     rows = labelled.join(F.broadcast(chosen), ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min("text").alias("text")).collect()
     return sorted({(r["lang"], r["text"]) for r in rows})
 

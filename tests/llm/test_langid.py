@@ -79,3 +79,15 @@ def test_samples_are_bounded_whatever_the_ids_and_languages(spark):
     few = langid.sample_of(docs, per_language=3, most=300)
     assert len(few) == 250 and len({lang for lang, _ in few}) == 250
     assert len(langid.sample_of(docs, most=40)) == 40
+
+
+def test_learning_starts_no_python_on_executors(spark, monkeypatch):
+    """Rows that the driver hands over are made in Python workers, which then stay beside those of the prediction."""
+    rows = [(i, f"text {i}", lang) for i in range(40) for lang in ("aa", "bb")]
+    table = spark.createDataFrame([*rows, *rows[:4], (None, "none", "aa"), (7, None, "aa"), (7, "none", None)], "doc_id long, text string, lang string").persist()
+    table.count()
+    monkeypatch.setattr(type(spark), "createDataFrame", None)
+    found = langid.sample_of(table, per_language=8, most=10)
+    assert len(found) == 10 and {lang for lang, _ in found} == {"aa", "bb"}
+    assert not any(t == "none" for _, t in found)
+    table.unpersist()
