@@ -180,3 +180,18 @@ def test_equal_batches_have_equal_fingerprints(spark):
     rows = raw_rows(spark, FIRST)
     assert fingerprint(rows) == fingerprint(rows.repartition(5).orderBy(F.desc("TransactionID")))
     assert fingerprint(rows) != fingerprint(rows.limit(23)) != fingerprint(rows.unionByName(rows))
+
+
+def test_columns_of_many_values_are_written_without_a_dictionary(spark, tmp_path):
+    from pyarrow.parquet import ParquetFile
+
+    opened(spark, tmp_path, raw_rows(spark, [("C1", "Pune", i % 300) for i in range(2000)])).load()
+    for table, balance in (("RawTransactions", "CustAccountBalance"), ("Stg_Transaction", "AccountBalance"), ("Fact_Transaction", "AccountBalance")):
+        coded = {}
+        for file in (tmp_path / table).rglob("part-*.parquet"):
+            groups = ParquetFile(file).metadata
+            for column in (groups.row_group(g).column(c) for g in range(groups.num_row_groups) for c in range(groups.num_columns)):
+                coded.setdefault(column.path_in_schema, set()).add("RLE_DICTIONARY" in column.encodings or "PLAIN_DICTIONARY" in column.encodings)
+        # all balances are equal here, so that a dictionary would not be given up
+        assert coded["TransactionID"] == coded["TransactionAmount"] == coded[balance] == {False}
+        assert True in set().union(*coded.values())
